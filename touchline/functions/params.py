@@ -1,7 +1,9 @@
 """Key lookup in the repeated ``event_params`` key/value array.
 
-A higher-order ``filter`` keeps the lookup inside the row (no explode,
-no shuffle, stays in whole-stage codegen).
+``array_position`` over the extracted ``key`` array finds the first
+match, and ``get`` reads the value at that slot (NULL when the key is
+absent).  Both are ordinary expressions, so the lookup stays inside the
+row and inside whole-stage codegen: no explode, no shuffle, no lambda.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ def param(key: str, field: str = "int_value", params: str = "event_params",
     """
     if field not in VALUE_FIELDS:
         raise ValueError(f"unknown param value field {field!r}")
-    matches = F.filter(F.col(params), lambda p: p["key"] == F.lit(key))
-    value = F.get(matches, 0)["value"][field]
+    keys = F.col(f"{params}.key")
+    pos = F.array_position(keys, F.lit(key))
+    value = F.get(F.col(f"{params}.value.{field}"), (pos - 1).cast("int"))
     if strict:
-        too_many = F.coalesce(F.size(matches), F.lit(0)) > 1
-        value = F.when(too_many, F.raise_error(F.lit(f"event param {key!r} occurs more than once"))).otherwise(value)
+        last = F.size(keys) - F.array_position(F.reverse(keys), F.lit(key)) + 1
+        repeated = (pos > 0) & (last != pos)
+        value = F.when(repeated, F.raise_error(F.lit(f"event param {key!r} occurs more than once"))).otherwise(value)
     return value

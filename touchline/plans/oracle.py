@@ -272,6 +272,49 @@ mart_attribution_comparison AS (
 """
 
 
+STREAM = """,
+stream_rows AS (
+  SELECT substr(sha256(CAST(uid AS VARCHAR) || '-' || event_name || '-' || CAST(event_timestamp AS VARCHAR)), 1, 16) AS event_id,
+    CAST(make_timestamp(event_timestamp) AS DATE) AS event_date, event_timestamp, event_name,
+    CAST(uid AS VARCHAR) AS user_pseudo_id, src_source AS source, src_medium AS medium,
+    make_timestamp(event_timestamp) + to_seconds(event_timestamp % 5 + 1) AS ingestion_timestamp
+  FROM raw WHERE event_name IS NOT NULL
+),
+arrivals AS (
+  SELECT * FROM stream_rows
+  UNION ALL
+  SELECT * REPLACE (ingestion_timestamp + INTERVAL 30 MINUTE AS ingestion_timestamp)
+  FROM stream_rows WHERE event_timestamp % 10 = 0
+),
+stream_sink AS (
+  SELECT * FROM arrivals
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingestion_timestamp) = 1
+)
+"""
+
+SESSIONS = """,
+gap_flags AS (
+  SELECT event_id, user_pseudo_id, event_timestamp, event_datetime,
+    CAST(event_datetime AS DATE) AS session_day,
+    CASE WHEN lag(event_timestamp) OVER w IS NULL
+           OR event_timestamp - lag(event_timestamp) OVER w > 1800000000 THEN 1 ELSE 0 END AS new_flag
+  FROM stg_events
+  WINDOW w AS (PARTITION BY user_pseudo_id, CAST(event_datetime AS DATE) ORDER BY event_timestamp, event_id)
+),
+gap_assigned AS (
+  SELECT *, CAST(sum(new_flag) OVER (PARTITION BY user_pseudo_id, session_day ORDER BY event_timestamp, event_id
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS gap_session_index
+  FROM gap_flags
+),
+gap_sessions AS (
+  SELECT user_pseudo_id || '-' || strftime(session_day, '%Y%m%d') || '-' || CAST(gap_session_index AS VARCHAR) AS gap_session_id,
+    user_pseudo_id, session_day, min(event_datetime) AS session_start, max(event_datetime) AS session_end,
+    count(*) AS events
+  FROM gap_assigned GROUP BY 1, 2, 3
+)
+"""
+
+
 def q(select: str) -> str:
     """Wrap a final SELECT with the shared CTE chain."""
-    return "WITH " + BASE.strip() + "\n" + select.strip()
+    return "WITH " + BASE.strip() + STREAM + SESSIONS + "\n" + select.strip()

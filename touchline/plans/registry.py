@@ -10,6 +10,7 @@ places and averages / percentages to 6 on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,14 @@ from touchline.plans import serving
 from touchline.plans.models import Models
 from touchline.plans.oracle import AS_OF, STREAM_AS_OF, q
 from touchline.session import ensure_utc
+from touchline.operators.quality import CUSTOM_CHECKS, MODEL_CHECKS, oracle_check_sql, run_checks
+from touchline.operators.sessionize import (
+    gap_sessions, sessionize_by_gap, sessions_by_window, top_conversion_per_session,
+)
 from touchline.sources.scan import raw_events
+from touchline.streaming.ingest import (
+    first_arrivals, ingest, new_scratch, stream_rows_from_raw, with_resends, write_json_lines,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,9 +43,14 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
+# "Now" for the sane-time filter, fixed once per process so every model of
+# a run uses the same cut-off (and the same compiled code).
+RUN_AS_OF = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0).isoformat(sep=" ")
+
+
 def models(spark: SparkSession, sf_dir: str, **kw) -> Models:
     ensure_utc(spark)
-    cfg = kw.pop("cfg", AttributionConfig())
+    cfg = kw.pop("cfg", AttributionConfig(as_of=RUN_AS_OF))
     return Models(raw_events(spark, sf_dir), cfg, **kw)
 
 
@@ -108,7 +121,8 @@ SELECT user_pseudo_id || '-' || channel || '-' || event_date AS touchpoint_id,
 FROM stg_events WHERE user_pseudo_id IS NOT NULL AND channel IS NOT NULL
 GROUP BY user_pseudo_id, event_date, channel"""))
 def q_touchpoints_channel_day(spark, sf_dir):
-    return ntz(models(spark, sf_dir, cfg=AttributionConfig(touchpoint_grain="channel_day")).touchpoints)
+    cfg = AttributionConfig(as_of=RUN_AS_OF, touchpoint_grain="channel_day")
+    return ntz(models(spark, sf_dir, cfg=cfg).touchpoints)
 
 
 @register("int_user_journeys", q("SELECT * FROM int_user_journeys"))
@@ -277,6 +291,99 @@ def q_linear(spark, sf_dir):
     return rounded(models(spark, sf_dir).linear(), ("total_attributed_value",))
 
 
+# ---------------------------------------------------------------- streaming
+def _stream_rows(spark, sf_dir):
+    return stream_rows_from_raw(raw_events(spark, sf_dir))
+
+
+STREAM_COLS = ("event_id", "event_date", "event_timestamp", "event_name", "user_pseudo_id",
+               "source", "medium", "ingestion_timestamp")
+
+
+def _stream_view(df):
+    return ntz(df.select("event_id", "event_date", "event_timestamp", "event_name", "user_pseudo_id",
+                         F.col("traffic_source.source").alias("source"),
+                         F.col("traffic_source.medium").alias("medium"), "ingestion_timestamp"))
+
+
+@register("stream_ingest", q("SELECT * FROM stream_sink"))
+def q_stream_ingest(spark, sf_dir):
+    """The real Structured Streaming ingest (file source, availableNow,
+    watermark + sink anti-join dedup) over the arrival feed derived from
+    the events table; returns what the sink holds."""
+    base = new_scratch(spark, "stream-ingest")
+    src = write_json_lines(with_resends(_stream_rows(spark, sf_dir)), f"{base}/incoming")
+    report = ingest(spark, src, f"{base}/sink", f"{base}/checkpoint", f"{base}/dead_letter")
+    if not report.success:
+        raise RuntimeError(f"ingest failed: {report.errors}")
+    return _stream_view(spark.read.parquet(f"{base}/sink"))
+
+
+@register("recent_stream_events", q("""
+SELECT event_id, event_name, user_pseudo_id, make_timestamp(event_timestamp) AS event_time,
+       source, medium, ingestion_timestamp
+FROM stream_sink ORDER BY ingestion_timestamp DESC, event_id LIMIT 20"""))
+def q_recent_stream(spark, sf_dir):
+    sink = first_arrivals(with_resends(_stream_rows(spark, sf_dir)))
+    return ntz(serving.recent_stream_events(sink))
+
+
+@register("duplicate_event_ids", q("SELECT event_id, count(*) AS count FROM arrivals GROUP BY event_id HAVING count(*) > 1"))
+def q_duplicates(spark, sf_dir):
+    return serving.duplicate_event_ids(with_resends(_stream_rows(spark, sf_dir)))
+
+
+@register("stream_health", q(f"""
+SELECT count(*) AS total_events, count(DISTINCT user_pseudo_id) AS unique_users,
+       max(ingestion_timestamp) AS last_event_time,
+       date_sub('second', max(ingestion_timestamp), TIMESTAMP '{STREAM_AS_OF}') AS seconds_since_last
+FROM stream_sink WHERE ingestion_timestamp >= TIMESTAMP '{STREAM_AS_OF}' - INTERVAL 1 HOUR"""))
+def q_stream_health(spark, sf_dir):
+    sink = first_arrivals(with_resends(_stream_rows(spark, sf_dir)))
+    return ntz(serving.stream_health(sink, as_of=STREAM_AS_OF))
+
+
+# ---------------------------------------------------------------- sessions, options
+@register("sessions_by_gap", q("SELECT * FROM gap_sessions"))
+def q_gap_sessions(spark, sf_dir):
+    return ntz(gap_sessions(sessionize_by_gap(models(spark, sf_dir).events)))
+
+
+@register("sessions_by_window", q("SELECT user_pseudo_id, session_day, session_start, session_end, events FROM gap_sessions"))
+def q_window_sessions(spark, sf_dir):
+    return ntz(sessions_by_window(models(spark, sf_dir).events))
+
+
+@register("top_conversion_per_session", q("""
+SELECT * EXCLUDE (rnk) FROM (
+  SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY conversion_priority ASC,
+         conversion_value DESC, conversion_timestamp ASC, conversion_id ASC) AS rnk
+  FROM stg_conversions) WHERE conversion_event = 'purchase' OR rnk = 1"""))
+def q_top_conversion(spark, sf_dir):
+    return ntz(top_conversion_per_session(models(spark, sf_dir).conversions))
+
+
+_ORACLE_CTE = {
+    "stg_ga4_events": "stg_events", "stg_ga4_sessions": "stg_sessions",
+    "stg_ga4_conversions": "stg_conversions", "int_touchpoints": "int_touchpoints",
+    "int_user_journeys": "int_user_journeys", "mart_first_click_attribution": "mart_first_click",
+    "mart_last_click_attribution": "mart_last_click",
+    "mart_attribution_comparison": "mart_attribution_comparison",
+}
+ALL_CHECKS = MODEL_CHECKS + CUSTOM_CHECKS
+
+
+@register("quality_checks", q(" UNION ALL ".join(oracle_check_sql(c, _ORACLE_CTE) for c in ALL_CHECKS)))
+def q_quality(spark, sf_dir):
+    return run_checks(models(spark, sf_dir).tables(), ALL_CHECKS)
+
+
+@register("approx_unique_users")
+def q_approx_users(spark, sf_dir):
+    """HyperLogLog estimate next to the exact count (bounded error, no oracle)."""
+    return serving.approx_unique_users(models(spark, sf_dir).events)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

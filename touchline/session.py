@@ -20,6 +20,9 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Stages whose generated method exceeds HotSpot's JIT limit fall back to
+    # per-operator code instead of running interpreted bytecode.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -53,12 +53,9 @@ SESSION_SPAN_MICROS = 43_200_000_000  # two sessions per UTC day
 
 
 def _pick(index: Column, options: list) -> Column:
-    """CASE index WHEN i THEN options[i] over a small fixed list."""
-    expr = None
-    for i, value in enumerate(options):
-        lit = F.lit(value)
-        expr = F.when(index == i, lit) if expr is None else expr.when(index == i, lit)
-    return expr
+    """``options[index]`` over a small fixed list (a constant array lookup,
+    which keeps generated code small)."""
+    return F.get(F.array(*[F.lit(v).cast("string") for v in options]), index.cast("int"))
 
 
 def _param(key: str, string_value=None, int_value=None) -> Column:
@@ -92,17 +89,16 @@ def raw_events_from_driver(events: DataFrame) -> DataFrame:
         session_id.alias("_sid"),
     )
     is_purchase = F.col("event_name") == "purchase"
+    # The "value" param is present on every event; only checkouts carry a number.
     params = F.array(
         _param("ga_session_id", int_value=F.col("_sid")),
         _param("ga_session_number", int_value=(F.lit(1) + F.col("_sid") % 5).cast("bigint")),
         _param("page_location", string_value=F.concat(F.lit("https://example.com/"), F.col("event_name"))),
         _param("engagement_time_msec", int_value=(F.lit(1000) + F.col("_k") * 100).cast("bigint")),
         _param("session_engaged", string_value=F.when(F.col("_k") % 2 == 0, "1").otherwise("0")),
+        _param("value", int_value=F.when(F.col("event_name") == "begin_checkout",
+                                         F.floor("_value").cast("bigint"))),
     )
-    params = F.when(
-        F.col("event_name") == "begin_checkout",
-        F.concat(params, F.array(_param("value", int_value=F.floor("_value").cast("bigint")))),
-    ).otherwise(params)
 
     b = F.col("_k") % 10
     d = F.col("_k") % 3

@@ -21,9 +21,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores
+    (a single-row-group file).  Large inputs already have more splits than
+    cores and pass through without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw nested events derived from the driver ``events`` table."""
-    return raw_events_from_driver(read_table(spark, sf_dir, "events"))
+    return raw_events_from_driver(spread(read_table(spark, sf_dir, "events")))
 
 
 def read_sharded_events(spark: SparkSession, path: str, lo: str | None = None,
