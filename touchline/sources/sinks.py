@@ -22,6 +22,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _clustered(df: DataFrame, partition_col: str, cluster_by: tuple[str, ...]) -> DataFrame:
+    df = df.repartition(partition_col)
+    return df.sortWithinPartitions(*cluster_by) if cluster_by else df
+
+
 def ensure_event_table(spark: SparkSession, path: str, schema: T.StructType,
                        partition_col: str = "event_date") -> bool:
     """Create an empty table partitioned by ``partition_col`` if absent.
@@ -38,8 +43,7 @@ def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: tu
     ``cluster_by`` inside each file, so Parquet min/max statistics prune
     reads on those columns.  Rows are shuffled by the partition value, so
     each date is written by few tasks (few, large files)."""
-    (df.repartition(partition_col).sortWithinPartitions(*cluster_by)
-     .write.mode(mode).partitionBy(partition_col).parquet(path))
+    _clustered(df, partition_col, cluster_by).write.mode(mode).partitionBy(partition_col).parquet(path)
 
 
 def register_views(tables: dict[str, DataFrame]) -> list[str]:
@@ -60,7 +64,7 @@ def write_incremental(df: DataFrame, path: str, partition_col: str,
                       cluster_by: tuple[str, ...] = ()) -> None:
     """Replace only the partitions present in ``df`` (dynamic partition
     overwrite); other dates stay as they are."""
-    (df.repartition(partition_col).sortWithinPartitions(*cluster_by)
+    (_clustered(df, partition_col, cluster_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
