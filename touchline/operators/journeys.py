@@ -55,7 +55,8 @@ def _day_bucket(ts: Column, bucket_days: int) -> Column:
     return F.floor(F.unix_date(F.to_date(ts)) / F.lit(bucket_days)).cast("int")
 
 
-def journey_pairs(conversions: DataFrame, touchpoints: DataFrame, bucket_days: int = 1) -> DataFrame:
+def journey_pairs(conversions: DataFrame, touchpoints: DataFrame, bucket_days: int = 1,
+                  extra_touch_cols: tuple[str, ...] = ()) -> DataFrame:
     """All (conversion, touchpoint) pairs of the same user with
     ``window_start <= touch_datetime <= window_end`` and
     ``touch_timestamp < conversion_timestamp``.
@@ -73,6 +74,7 @@ def journey_pairs(conversions: DataFrame, touchpoints: DataFrame, bucket_days: i
     t = touchpoints.select(
         F.col("user_pseudo_id").alias("_t_user"),
         *[F.col(x).alias(f"tp_{x}") if x in ("user_id", "session_id") else F.col(x) for x in TOUCH_SIDE],
+        *[F.col(x) for x in extra_touch_cols],
     ).withColumn("_bucket", _day_bucket(F.col("touchpoint_datetime"), bucket_days))
     cond = (
         (c["user_pseudo_id"] == t["_t_user"])
@@ -106,17 +108,32 @@ def journey_type(total: Column) -> Column:
     )
 
 
-def user_journeys(conversions: DataFrame, touchpoints: DataFrame, bucket_days: int = 1,
-                  audit: bool = False) -> DataFrame:
-    """Row-level journeys with position, size and first/last flags."""
-    pairs = journey_pairs(conversions, touchpoints, bucket_days)
-    by_conv = Window.partitionBy("conversion_id")
-    ordered = by_conv.orderBy(*touch_order())
-    j = pairs.withColumns({
-        "touchpoint_position": F.row_number().over(ordered).cast("bigint"),
-        "total_touchpoints": F.count(F.lit(1)).over(by_conv),
-        "journey_length_days": F.max("days_to_conversion").over(by_conv),
-    })
+def rank_touches(touchpoints: DataFrame, rank_bucket_minutes: int = 1440) -> DataFrame:
+    """Add ``user_touch_rank``: the 1-based position of each touchpoint among
+    all touchpoints of its user, in :data:`TOUCH_ORDER`.
+
+    Two levels keep every task bounded: a row number inside each
+    (user, time bucket) group, plus the number of the user's touchpoints in
+    earlier buckets.  That offset comes from a small per-(user, bucket)
+    count table whose per-user window has at most one row per bucket.
+    """
+    bucket_micros = rank_bucket_minutes * 60 * 1_000_000
+    tp = touchpoints.withColumn(
+        "_rb", F.floor(F.col("touchpoint_timestamp") / F.lit(bucket_micros)).cast("bigint"))
+    order = [F.col(c).asc_nulls_first() for c in TOUCH_ORDER]
+    local = Window.partitionBy("user_pseudo_id", "_rb").orderBy(*order)
+    tp = tp.withColumn("_local_rank", F.row_number().over(local))
+    # Bucket sizes = the largest local rank; reading the windowed rows keeps
+    # the same exchange, so Spark reuses it instead of recomputing.
+    counts = tp.groupBy("user_pseudo_id", "_rb").agg(F.max("_local_rank").cast("bigint").alias("_n"))
+    earlier = Window.partitionBy("user_pseudo_id").orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    ranked = tp.join(offsets.select("user_pseudo_id", "_rb", "_offset"), ["user_pseudo_id", "_rb"])
+    return ranked.withColumn("user_touch_rank", (F.col("_offset") + F.col("_local_rank")).cast("bigint")) \
+        .drop("_rb", "_local_rank", "_offset")
+
+
+def _finish(j: DataFrame, audit: bool) -> DataFrame:
     j = j.withColumns({
         "journey_id": dash_id("conversion_id", "touchpoint_id"),
         "is_in_attribution_window": F.col("touchpoint_datetime") >= F.col("attribution_window_start"),
@@ -130,3 +147,47 @@ def user_journeys(conversions: DataFrame, touchpoints: DataFrame, bucket_days: i
     if audit:
         out.insert(28, F.current_timestamp().alias("_updated_at"))
     return j.select(*out)
+
+
+def user_journeys(conversions: DataFrame, touchpoints: DataFrame, bucket_days: int = 1,
+                  audit: bool = False, plan: str = "ranked", rank_bucket_minutes: int = 1440) -> DataFrame:
+    """Row-level journeys with position, size and first/last flags.
+
+    ``plan="ranked"`` (default) never sorts a whole journey in one task:
+    a journey is a contiguous run of its user's touchpoints (both window
+    bounds depend on time only), so ``position = user_touch_rank - first
+    rank of the journey + 1``.  The first rank, the size and the longest
+    distance come from one numeric grouped aggregate per conversion
+    (partial + final hash aggregation), joined back to the pairs; AQE's
+    skew join splits a conversion with a huge journey there.
+
+    ``touchpoints`` may already carry ``user_touch_rank`` (see
+    :func:`rank_touches`); the pairs are then built twice from that table,
+    so it pays to materialise it first.
+
+    ``plan="windowed"`` is the direct form: ``row_number`` / ``count`` /
+    ``max`` over a window partitioned by conversion.
+    """
+    if plan == "windowed":
+        pairs = journey_pairs(conversions, touchpoints, bucket_days)
+        by_conv = Window.partitionBy("conversion_id")
+        ordered = by_conv.orderBy(*touch_order())
+        j = pairs.withColumns({
+            "touchpoint_position": F.row_number().over(ordered).cast("bigint"),
+            "total_touchpoints": F.count(F.lit(1)).over(by_conv),
+            "journey_length_days": F.max("days_to_conversion").over(by_conv),
+        })
+        return _finish(j, audit)
+    if plan != "ranked":
+        raise ValueError("plan must be 'ranked' or 'windowed'")
+    ranked = touchpoints if "user_touch_rank" in touchpoints.columns \
+        else rank_touches(touchpoints, rank_bucket_minutes)
+    pairs = journey_pairs(conversions, ranked, bucket_days, extra_touch_cols=("user_touch_rank",))
+    stats = pairs.groupBy("conversion_id").agg(
+        F.min("user_touch_rank").alias("_first_rank"),
+        F.count(F.lit(1)).alias("total_touchpoints"),
+        F.max("days_to_conversion").alias("journey_length_days"),
+    )
+    j = pairs.join(stats, "conversion_id").withColumn(
+        "touchpoint_position", (F.col("user_touch_rank") - F.col("_first_rank") + 1).cast("bigint"))
+    return _finish(j, audit)

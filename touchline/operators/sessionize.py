@@ -53,12 +53,20 @@ def sessions_by_window(events: DataFrame, timeout_minutes: int = 30) -> DataFram
 
 def top_conversion_per_session(conversions: DataFrame) -> DataFrame:
     """Keep every purchase; of the other conversions of a session keep only
-    the highest-priority, highest-value one (ties: earliest, then id).
+    the highest-priority, highest-value one (ties: earliest, then id), and
+    only when the session has no purchase.
 
-    Sessions are bounded by the session id, and ``row_number() = 1`` plans
-    as a window group limit (the top row is found while sorting)."""
-    w = Window.partitionBy("session_id").orderBy(
-        F.col("conversion_priority").asc(), F.col("conversion_value").desc(),
-        F.col("conversion_timestamp").asc(), F.col("conversion_id").asc())
-    ranked = conversions.withColumn("_rank", F.row_number().over(w))
-    return ranked.where((F.col("conversion_event") == "purchase") | (F.col("_rank") == 1)).drop("_rank")
+    The best conversion per session is a ``min`` over an ordered struct, a
+    partial + final aggregate, so a huge session is combined map-side
+    rather than sorted in one window task.
+    """
+    best = conversions.groupBy("session_id").agg(F.min(F.struct(
+        F.col("conversion_priority").alias("p"), (-F.col("conversion_value")).alias("v"),
+        F.col("conversion_timestamp").alias("t"), F.col("conversion_id").alias("id"),
+    )).alias("_best"))
+    keep = best.where(F.col("_best.p") != 1).select(
+        F.col("session_id").alias("_sid"), F.col("_best.id").alias("_cid"))
+    others = conversions.where(F.col("conversion_event") != "purchase")
+    others = others.join(keep, (others["conversion_id"] == keep["_cid"])
+                         & others["session_id"].eqNullSafe(keep["_sid"]), "left_semi")
+    return conversions.where(F.col("conversion_event") == "purchase").unionByName(others)

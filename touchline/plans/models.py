@@ -21,7 +21,7 @@ from touchline.operators.attribution import (
     attribute, attribute_from_summary, conversion_touch_summary, linear_credit,
 )
 from touchline.operators.comparison import attribution_comparison
-from touchline.operators.journeys import user_journeys
+from touchline.operators.journeys import rank_touches, user_journeys
 from touchline.operators.staging import stage_conversions, stage_events, stage_sessions
 from touchline.operators.touchpoints import touchpoints
 from touchline.session import checkpoint_dir
@@ -31,13 +31,18 @@ class Models:
     """Lazily built derived tables over one raw event DataFrame."""
 
     def __init__(self, raw: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
-                 bucket_days: int = 1, mart_plan: str = "single_pass"):
+                 bucket_days: int = 1, mart_plan: str = "single_pass", journey_plan: str = "ranked",
+                 reuse: str = "checkpoint"):
         if mart_plan not in ("single_pass", "windowed"):
             raise ValueError("mart_plan must be 'single_pass' or 'windowed'")
         self.raw = raw
         self.cfg = cfg
         self.bucket_days = bucket_days
         self.mart_plan = mart_plan
+        self.journey_plan = journey_plan
+        if reuse not in ("checkpoint", "none"):
+            raise ValueError("reuse must be 'checkpoint' or 'none'")
+        self.reuse = reuse
         self._events = None
 
     @property
@@ -51,7 +56,7 @@ class Models:
         spark = self.raw.sparkSession
         checkpoint_dir(spark)
         self._events = self.events.checkpoint(eager=True)
-        for name in ("sessions", "conversions", "touchpoints", "summary", "journeys",
+        for name in ("sessions", "conversions", "touchpoints", "ranked_touchpoints", "summary", "journeys",
                      "first_click", "last_click", "comparison"):
             self.__dict__.pop(name, None)
         return self
@@ -68,9 +73,21 @@ class Models:
     def touchpoints(self) -> DataFrame:
         return touchpoints(self.events, self.cfg.touchpoint_grain)
 
+    @cached_property
+    def ranked_touchpoints(self) -> DataFrame:
+        """Touchpoints with their rank inside the user.  The ranked journey
+        plan reads this table twice, so it is written once as a reliable
+        checkpoint (shared storage; survives executor loss)."""
+        ranked = rank_touches(self.touchpoints)
+        if self.reuse == "checkpoint":
+            checkpoint_dir(ranked.sparkSession)
+            ranked = ranked.checkpoint(eager=True)
+        return ranked
+
     @cached_property
     def journeys(self) -> DataFrame:
-        return user_journeys(self.conversions, self.touchpoints, self.bucket_days)
+        tps = self.ranked_touchpoints if self.journey_plan == "ranked" else self.touchpoints
+        return user_journeys(self.conversions, tps, self.bucket_days, plan=self.journey_plan)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -96,6 +113,17 @@ class Models:
     def linear(self, by: tuple[str, ...] = ("channel",)) -> DataFrame:
         return linear_credit(self.journeys, by)
 
+    def materialized_tables(self) -> dict[str, DataFrame]:
+        """Every derived table written once as a reliable checkpoint, each
+        computed from the checkpoints before it.  For consumers that read
+        every table several times (the quality checks)."""
+        self.materialize()
+        for name in ("sessions", "conversions", "touchpoints"):
+            self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
+        for name in ("journeys", "first_click", "last_click", "comparison"):
+            self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
+        return self.tables()
+
     def tables(self) -> dict[str, DataFrame]:
         return {
             "stg_ga4_events": self.events,

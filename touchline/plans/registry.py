@@ -130,6 +130,11 @@ def q_journeys(spark, sf_dir):
     return ntz(models(spark, sf_dir).journeys)
 
 
+@register("int_user_journeys_windowed", q("SELECT * FROM int_user_journeys"))
+def q_journeys_windowed(spark, sf_dir):
+    return ntz(models(spark, sf_dir, journey_plan="windowed").journeys)
+
+
 @register("mart_first_click_attribution", q("SELECT * FROM mart_first_click"))
 def q_first(spark, sf_dir):
     return ntz(models(spark, sf_dir).first_click)
@@ -195,7 +200,7 @@ WHERE conversion_date >= (SELECT max(conversion_date) - INTERVAL 14 DAY FROM mar
     f"round(last_click_revenue, 2) AS last_click_revenue) FROM ({_SERIES_SQL}) s ORDER BY conversion_date"))
 def q_series(spark, sf_dir):
     m = models(spark, sf_dir)
-    return rounded(serving.trailing_time_series(m.comparison), SERIES_CENTS)
+    return rounded(serving.trailing_time_series(m.comparison, bound_from=m.conversions), SERIES_CENTS)
 
 
 @register("daily_totals", q(f"""
@@ -207,7 +212,8 @@ SELECT conversion_date,
 FROM ({_SERIES_SQL}) s GROUP BY conversion_date"""))
 def q_daily(spark, sf_dir):
     m = models(spark, sf_dir)
-    return rounded(serving.daily_totals(serving.trailing_time_series(m.comparison)), SERIES_CENTS)
+    series = serving.trailing_time_series(m.comparison, bound_from=m.conversions)
+    return rounded(serving.daily_totals(series), SERIES_CENTS)
 
 
 @register("channel_breakdown", q("""
@@ -375,7 +381,7 @@ ALL_CHECKS = MODEL_CHECKS + CUSTOM_CHECKS
 
 @register("quality_checks", q(" UNION ALL ".join(oracle_check_sql(c, _ORACLE_CTE) for c in ALL_CHECKS)))
 def q_quality(spark, sf_dir):
-    return run_checks(models(spark, sf_dir).tables(), ALL_CHECKS)
+    return run_checks(models(spark, sf_dir).materialized_tables(), ALL_CHECKS)
 
 
 @register("approx_unique_users")

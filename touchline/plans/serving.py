@@ -27,10 +27,16 @@ def attribution_summary(first: DataFrame, last: DataFrame) -> DataFrame:
     return _mart_totals(first, "First-Click").unionByName(_mart_totals(last, "Last-Click"))
 
 
-def trailing_time_series(comparison: DataFrame, days: int = 14) -> DataFrame:
+def trailing_time_series(comparison: DataFrame, days: int = 14,
+                         bound_from: DataFrame | None = None) -> DataFrame:
     """Comparison rows with ``conversion_date >= max(conversion_date) - days``
-    (``days + 1`` dates inclusive).  The bound is a scalar subquery."""
-    max_date = comparison.select(F.max("conversion_date")).scalar()
+    (``days + 1`` dates inclusive).  The bound is a scalar subquery.
+
+    ``bound_from`` may name a cheaper table with the same dates, e.g. the
+    conversions (every conversion appears in both marts), so the subquery
+    does not rebuild the comparison."""
+    src = comparison if bound_from is None else bound_from
+    max_date = src.select(F.max("conversion_date")).scalar()
     return comparison.where(F.col("conversion_date") >= F.date_sub(max_date, days)).select(
         "conversion_date", "channel", "first_click_conversions", "last_click_conversions",
         "first_click_revenue", "last_click_revenue",

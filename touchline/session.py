@@ -23,6 +23,8 @@ LOCAL_DEFAULTS = {
     # Stages whose generated method exceeds HotSpot's JIT limit fall back to
     # per-operator code instead of running interpreted bytecode.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Remove checkpoint files once their RDDs are garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
