@@ -71,7 +71,7 @@ def _param(key: str, string_value=None, int_value=None) -> Column:
 
 def raw_events_from_driver(events: DataFrame) -> DataFrame:
     """Map the driver ``events`` table onto the raw nested event layout."""
-    k = F.regexp_extract("props", r"[0-9]+", 0).cast("int")
+    k = F.regexp_extract("props", r"[0-9]+", 0).try_cast("int")
     ts = F.col("ts").cast("timestamp")
     micros = F.unix_micros(ts)
     name_map = F.create_map(*[F.lit(x) for pair in EVENT_NAME_MAP for x in pair])
