@@ -52,3 +52,12 @@ def test_marts_equal_on_skewed_user(spark):
     for name in ("first_click", "last_click"):
         x, y = getattr(a, name), getattr(b, name)
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_gap_sessions_independent_of_bucket_width(spark):
+    from touchline.operators.sessionize import sessionize_by_gap
+    events = Models(raw_df(spark, rows()), CFG).events
+    base = sessionize_by_gap(events, bucket_minutes=1440)
+    for minutes in (5, 60):
+        other = sessionize_by_gap(events, bucket_minutes=minutes)
+        assert base.exceptAll(other).count() == 0 and other.exceptAll(base).count() == 0

@@ -1,8 +1,12 @@
 """Gap-based sessionization (30-minute inactivity, split at UTC midnight).
 
-Because a session never crosses midnight, the window partitions by
-``(user, event_date)`` rather than by user: a heavy user is spread over
-one task per day, and the running sum never spans more than one day.
+No window spans a whole user or user-day.  Events are windowed per
+(user, time bucket) (default one hour; buckets never cross midnight), which
+flags gaps inside a bucket.  A small per-bucket summary (first / last
+time, number of new sessions) is then windowed per (user, day), with at
+most ``24 * 60 / bucket_minutes`` rows per group.  That tells whether a
+bucket's first event opens a session, and how many sessions started in
+earlier buckets of the day.
 """
 
 from __future__ import annotations
@@ -13,21 +17,37 @@ from pyspark.sql import functions as F
 from touchline.functions.ids import dash_id
 
 
-def sessionize_by_gap(events: DataFrame, timeout_minutes: int = 30) -> DataFrame:
+def sessionize_by_gap(events: DataFrame, timeout_minutes: int = 30, bucket_minutes: int = 60) -> DataFrame:
     """Per event: ``gap_session_index`` (1-based within user-day) and
     ``gap_session_id``.  A gap of exactly ``timeout_minutes`` stays in the
     same session; a longer gap or a new UTC date starts a new one."""
-    day = F.to_date("event_datetime")
+    if (24 * 60) % bucket_minutes:
+        raise ValueError("bucket_minutes must divide a day")
+    gap = F.lit(timeout_minutes * 60 * 1_000_000)
+    bucket = F.floor(F.col("event_timestamp") / F.lit(bucket_minutes * 60 * 1_000_000)).cast("bigint")
     ev = events.select("event_id", "user_pseudo_id", "event_timestamp", "event_datetime") \
-        .withColumn("session_day", day)
-    w = Window.partitionBy("user_pseudo_id", "session_day").orderBy("event_timestamp", "event_id")
-    prev = F.lag("event_timestamp").over(w)
-    gap_micros = F.lit(timeout_minutes * 60 * 1_000_000)
-    new = F.when(prev.isNull() | ((F.col("event_timestamp") - prev) > gap_micros), 1).otherwise(0)
-    ev = ev.withColumn("_new", new)
-    ev = ev.withColumn("gap_session_index",
-                       F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return ev.drop("_new").withColumn(
+        .withColumns({"session_day": F.to_date("event_datetime"), "_b": bucket})
+
+    in_bucket = Window.partitionBy("user_pseudo_id", "_b").orderBy("event_timestamp", "event_id")
+    prev = F.lag("event_timestamp").over(in_bucket)
+    ev = ev.withColumn("_new", F.when(prev.isNotNull() & ((F.col("event_timestamp") - prev) > gap), 1).otherwise(0))
+    ev = ev.withColumn("_cum", F.sum("_new").over(in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    per_bucket = ev.groupBy("user_pseudo_id", "session_day", "_b").agg(
+        F.min("event_timestamp").alias("_first"), F.max("event_timestamp").alias("_last"),
+        F.sum("_new").alias("_n_new"))
+    day = Window.partitionBy("user_pseudo_id", "session_day").orderBy("_b")
+    prev_last = F.lag("_last").over(day)
+    per_bucket = per_bucket.withColumn(
+        "_opens", F.when(prev_last.isNull() | ((F.col("_first") - prev_last) > gap), 1).otherwise(0))
+    per_bucket = per_bucket.withColumn(
+        "_offset", F.coalesce(F.sum(F.col("_opens") + F.col("_n_new")).over(
+            day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+
+    out = ev.join(per_bucket.select("user_pseudo_id", "_b", "_opens", "_offset"), ["user_pseudo_id", "_b"])
+    out = out.withColumn("gap_session_index", (F.col("_offset") + F.col("_opens") + F.col("_cum")).cast("bigint"))
+    return out.select("event_id", "user_pseudo_id", "event_timestamp", "event_datetime", "session_day",
+                      "gap_session_index").withColumn(
         "gap_session_id", dash_id("user_pseudo_id", F.date_format("session_day", "yyyyMMdd"), "gap_session_index"))
 
 
