@@ -56,8 +56,14 @@ def test_marts_equal_on_skewed_user(spark):
 
 def test_gap_sessions_independent_of_bucket_width(spark):
     from touchline.operators.sessionize import sessionize_by_gap
-    events = Models(raw_df(spark, rows()), CFG).events
+    t = datetime(2024, 3, 1, 20, 0, tzinfo=timezone.utc)
+    mixed = []
+    for i in range(400):  # gaps of 1..41 minutes (some exactly 30), across hours and midnights
+        t += timedelta(minutes=(i * 7) % 41 + 1)
+        mixed.append(ev("g", "page_view", t.strftime("%Y-%m-%d %H:%M:%S")))
+    events = Models(raw_df(spark, rows() + mixed), CFG).events
     base = sessionize_by_gap(events, bucket_minutes=1440)
+    assert 1 < base.where("user_pseudo_id = 'g'").select("gap_session_id").distinct().count() < 400
     for minutes in (5, 60):
         other = sessionize_by_gap(events, bucket_minutes=minutes)
         assert base.exceptAll(other).count() == 0 and other.exceptAll(base).count() == 0
