@@ -349,6 +349,18 @@ def q_stream_health(spark, sf_dir):
     return ntz(serving.stream_health(sink, as_of=STREAM_AS_OF))
 
 
+@register("ingest_latency", q("""
+SELECT count(*) AS events,
+       round(avg(epoch_us(ingestion_timestamp) - event_timestamp) / 1e6, 6) AS avg_latency_seconds,
+       round(max(epoch_us(ingestion_timestamp) - event_timestamp) / 1e6, 6) AS max_latency_seconds,
+       round(min(epoch_us(ingestion_timestamp) - event_timestamp) / 1e6, 6) AS min_latency_seconds
+FROM stream_sink"""))
+def q_latency(spark, sf_dir):
+    sink = first_arrivals(with_resends(_stream_rows(spark, sf_dir)))
+    return rounded(serving.ingest_latency(sink), (), ("avg_latency_seconds", "max_latency_seconds",
+                                                       "min_latency_seconds"))
+
+
 # ---------------------------------------------------------------- sessions, options
 @register("sessions_by_gap", q("SELECT * FROM gap_sessions"))
 def q_gap_sessions(spark, sf_dir):

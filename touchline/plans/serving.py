@@ -148,3 +148,14 @@ def approx_unique_users(events: DataFrame, rsd: float = 0.05) -> DataFrame:
     """HyperLogLog distinct users (bounded-error alternative to exact)."""
     return events.agg(F.approx_count_distinct("user_pseudo_id", rsd).alias("approx_unique_users"),
                       F.countDistinct("user_pseudo_id").alias("exact_unique_users"))
+
+
+def ingest_latency(stream: DataFrame) -> DataFrame:
+    """Arrival minus event time over the streamed rows (seconds)."""
+    lag_us = F.unix_micros("ingestion_timestamp") - F.col("event_timestamp")
+    return stream.agg(
+        F.count(F.lit(1)).alias("events"),
+        (F.avg(lag_us) / 1e6).alias("avg_latency_seconds"),
+        (F.max(lag_us) / 1e6).alias("max_latency_seconds"),
+        (F.min(lag_us) / 1e6).alias("min_latency_seconds"),
+    )
