@@ -145,6 +145,20 @@ def attribute_from_summary(conversions: DataFrame, summary: DataFrame, model: st
     )
 
 
+def attribution_both(conversions: DataFrame, summary: DataFrame) -> DataFrame:
+    """One row per conversion with both attributed channels (first and
+    last) and the journey measures the two marts share."""
+    j = conversions.join(summary, "conversion_id", "left")
+    hit = F.col("total_touchpoints").isNotNull()
+    return j.select(
+        "conversion_id", "conversion_date", "conversion_value", "user_pseudo_id",
+        F.when(hit, F.col("_first.channel")).otherwise(F.col("conversion_channel")).alias("first_channel"),
+        F.when(hit, F.col("_last.channel")).otherwise(F.col("conversion_channel")).alias("last_channel"),
+        F.coalesce(F.col("total_touchpoints"), F.lit(1).cast("bigint")).alias("total_touchpoints"),
+        F.coalesce(F.col("journey_length_days"), F.lit(0).cast("bigint")).alias("journey_length_days"),
+    )
+
+
 def attribute_single_pass(conversions: DataFrame, touchpoints: DataFrame, model: str = "first",
                           bucket_days: int = 1) -> DataFrame:
     summary = conversion_touch_summary(conversions, touchpoints, bucket_days)

@@ -18,9 +18,12 @@ from pyspark.sql import DataFrame
 
 from touchline.config import DEFAULT_CONFIG, AttributionConfig
 from touchline.operators.attribution import (
-    attribute, attribute_from_summary, conversion_touch_summary, linear_credit,
+    attribute, attribute_from_summary, attribution_both, conversion_touch_summary, linear_credit,
 )
-from touchline.operators.comparison import attribution_comparison
+from touchline.operators.comparison import (
+    attribution_comparison, channel_breakdown_from_both, comparison_from_both,
+)
+from touchline.plans import serving
 from touchline.operators.journeys import rank_touches, user_journeys
 from touchline.operators.staging import stage_conversions, stage_events, stage_sessions
 from touchline.operators.touchpoints import touchpoints
@@ -56,7 +59,7 @@ class Models:
         spark = self.raw.sparkSession
         checkpoint_dir(spark)
         self._events = self.events.checkpoint(eager=True)
-        for name in ("sessions", "conversions", "touchpoints", "ranked_touchpoints", "summary", "journeys",
+        for name in ("sessions", "conversions", "touchpoints", "ranked_touchpoints", "summary", "both", "journeys",
                      "first_click", "last_click", "comparison"):
             self.__dict__.pop(name, None)
         return self
@@ -106,10 +109,22 @@ class Models:
     def last_click(self) -> DataFrame:
         return self.mart("last")
 
+    @cached_property
+    def both(self) -> DataFrame:
+        """Per conversion: first- and last-click channel and journey measures."""
+        return attribution_both(self.conversions, self.summary)
+
     @cached_property
     def comparison(self) -> DataFrame:
+        if self.mart_plan == "single_pass":
+            return comparison_from_both(self.both)
         return attribution_comparison(self.first_click, self.last_click)
 
+    def channel_breakdown(self) -> DataFrame:
+        if self.mart_plan == "single_pass":
+            return channel_breakdown_from_both(self.both)
+        return serving.channel_breakdown(self.first_click, self.last_click)
+
     def linear(self, by: tuple[str, ...] = ("channel",)) -> DataFrame:
         return linear_credit(self.journeys, by)
 

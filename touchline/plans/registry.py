@@ -166,11 +166,45 @@ COMPARISON_FINE = ("avg_journey_days_fc", "avg_touchpoints_fc", "avg_journey_day
                    "avg_touchpoints_lc", "conversion_shift_percent", "revenue_shift_percent")
 
 
-@register("mart_attribution_comparison", q(
-    f"SELECT {_sql_round(COMPARISON_COLS, COMPARISON_CENTS, COMPARISON_FINE)} "
-    "FROM mart_attribution_comparison ORDER BY conversion_date DESC, channel"))
+def comparison_out(df: DataFrame) -> DataFrame:
+    """Registered form of the comparison: revenue in cents, and the revenue
+    shift and its percentage derived from the cent values (the sums are
+    whole cents, so this is exact and independent of summation order);
+    averages and the conversion percentage to 6 places."""
+    fr, lr = F.round("first_click_revenue", 2), F.round("last_click_revenue", 2)
+    return df.withColumns({
+        "first_click_revenue": fr, "last_click_revenue": lr,
+        "revenue_shift": F.round(lr - fr, 2),
+        "revenue_shift_percent": F.round(F.when(fr > 0, (lr - fr) / fr * 100), 6),
+        **{c: F.round(c, 6) for c in COMPARISON_FINE if c != "revenue_shift_percent"},
+    })
+
+
+_COMPARISON_OUT_SQL = """
+SELECT channel, conversion_date, first_click_conversions, round(first_click_revenue, 2) AS first_click_revenue,
+  round(avg_journey_days_fc, 6) AS avg_journey_days_fc, round(avg_touchpoints_fc, 6) AS avg_touchpoints_fc,
+  last_click_conversions, round(last_click_revenue, 2) AS last_click_revenue,
+  round(avg_journey_days_lc, 6) AS avg_journey_days_lc, round(avg_touchpoints_lc, 6) AS avg_touchpoints_lc,
+  conversion_shift,
+  round(round(last_click_revenue, 2) - round(first_click_revenue, 2), 2) AS revenue_shift,
+  round(conversion_shift_percent, 6) AS conversion_shift_percent,
+  round(CASE WHEN round(first_click_revenue, 2) > 0
+        THEN (round(last_click_revenue, 2) - round(first_click_revenue, 2)) / round(first_click_revenue, 2) * 100
+        END, 6) AS revenue_shift_percent
+FROM mart_attribution_comparison ORDER BY conversion_date DESC, channel"""
+
+
+@register("mart_attribution_comparison", q(_COMPARISON_OUT_SQL))
 def q_comparison(spark, sf_dir):
-    return rounded(models(spark, sf_dir).comparison, COMPARISON_CENTS, COMPARISON_FINE)
+    return comparison_out(models(spark, sf_dir).comparison)
+
+
+@register("mart_attribution_comparison_two_marts", q(_COMPARISON_OUT_SQL))
+def q_comparison_two_marts(spark, sf_dir):
+    """The comparison as a full outer join of the two marts."""
+    from touchline.operators.comparison import attribution_comparison
+    m = models(spark, sf_dir)
+    return comparison_out(attribution_comparison(m.first_click, m.last_click))
 
 
 # ---------------------------------------------------------------- serving
@@ -230,7 +264,7 @@ FULL OUTER JOIN (SELECT attributed_channel AS channel, count(DISTINCT conversion
 ORDER BY last_click_conversions DESC, channel"""))
 def q_channels(spark, sf_dir):
     m = models(spark, sf_dir)
-    return rounded(serving.channel_breakdown(m.first_click, m.last_click), SERIES_CENTS)
+    return rounded(m.channel_breakdown(), SERIES_CENTS)
 
 
 _LIVE_SQL = f"""
