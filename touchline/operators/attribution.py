@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.functions.timefns import elapsed
 from touchline.operators.journeys import TOUCH_ORDER, journey_pairs, journey_type
 
 MODELS = {"first": "First-Click", "last": "Last-Click"}
@@ -104,7 +105,13 @@ def _ordered_touch() -> Column:
 def conversion_touch_summary(conversions: DataFrame, touchpoints: DataFrame,
                              bucket_days: int = 1) -> DataFrame:
     """One row per conversion id with a touch: first and last touch, count,
-    longest distance in days.  Partial aggregation bounds every task."""
+    longest distance in days.  Partial aggregation bounds every task.
+
+    With ranked touchpoints (``user_touch_rank``) the pairs stay numeric:
+    first / last touch are the min / max rank (a hash aggregate), and their
+    fields are fetched by an equi-join on (user, rank)."""
+    if "user_touch_rank" in touchpoints.columns:
+        return _summary_from_ranks(conversions, touchpoints, bucket_days)
     pairs = journey_pairs(conversions, touchpoints, bucket_days)
     return pairs.groupBy("conversion_id").agg(
         F.min(_ordered_touch()).alias("_first"),
@@ -114,6 +121,34 @@ def conversion_touch_summary(conversions: DataFrame, touchpoints: DataFrame,
     )
 
 
+def _summary_from_ranks(conversions: DataFrame, ranked: DataFrame, bucket_days: int) -> DataFrame:
+    pairs = journey_pairs(conversions, ranked, bucket_days, extra_touch_cols=("user_touch_rank",))
+    stats = pairs.groupBy("conversion_id", "user_pseudo_id", "conversion_datetime").agg(
+        F.min("user_touch_rank").alias("_r_first"),
+        F.max("user_touch_rank").alias("_r_last"),
+        F.count(F.lit(1)).alias("total_touchpoints"),
+        F.max("days_to_conversion").alias("journey_length_days"),
+    )
+    payload = [c for c in _PAYLOAD if c != "days_to_conversion"]
+
+    def touch(side: str, rank_col: str) -> DataFrame:
+        t = ranked.select(F.col("user_pseudo_id").alias(f"{side}_u"), F.col("user_touch_rank").alias(f"{side}_r"),
+                          *[F.col(c).alias(f"{side}_{c}") for c in payload])
+        return t
+
+    f, l = touch("_f", "_r_first"), touch("_l", "_r_last")
+    j = stats.join(f, (stats["user_pseudo_id"] == f["_f_u"]) & (stats["_r_first"] == f["_f_r"]), "left") \
+             .join(l, (stats["user_pseudo_id"] == l["_l_u"]) & (stats["_r_last"] == l["_l_r"]), "left")
+
+    def as_struct(side: str) -> Column:
+        fields = [F.col(f"{side}_{c}").alias(c) for c in payload]
+        fields.append(elapsed("day", f"{side}_touchpoint_datetime", "conversion_datetime").alias("days_to_conversion"))
+        return F.struct(*fields)
+
+    return j.select("conversion_id", as_struct("_f").alias("_first"), as_struct("_l").alias("_last"),
+                    "total_touchpoints", "journey_length_days")
+
+
 def attribute_from_summary(conversions: DataFrame, summary: DataFrame, model: str = "first") -> DataFrame:
     label = _check(model)
     side = "_first" if model == "first" else "_last"

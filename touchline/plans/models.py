@@ -27,7 +27,7 @@ from touchline.plans import serving
 from touchline.operators.journeys import rank_touches, user_journeys
 from touchline.operators.staging import stage_conversions, stage_events, stage_sessions
 from touchline.operators.touchpoints import touchpoints
-from touchline.session import checkpoint_dir
+from touchline.session import materialize
 
 
 class Models:
@@ -55,10 +55,8 @@ class Models:
         return self._events
 
     def materialize(self) -> "Models":
-        """Checkpoint the staged events (reliable, in spark.checkpoint.dir)."""
-        spark = self.raw.sparkSession
-        checkpoint_dir(spark)
-        self._events = self.events.checkpoint(eager=True)
+        """Write the staged events once as a table in the checkpoint folder."""
+        self._events = materialize(self.events, "stg_events")
         for name in ("sessions", "conversions", "touchpoints", "ranked_touchpoints", "summary", "both", "journeys",
                      "first_click", "last_click", "comparison"):
             self.__dict__.pop(name, None)
@@ -79,12 +77,11 @@ class Models:
     @cached_property
     def ranked_touchpoints(self) -> DataFrame:
         """Touchpoints with their rank inside the user.  The ranked journey
-        plan reads this table twice, so it is written once as a reliable
-        checkpoint (shared storage; survives executor loss)."""
+        plan reads this table twice, so it is written once as a table in the
+        checkpoint folder (shared storage; survives executor loss)."""
         ranked = rank_touches(self.touchpoints)
         if self.reuse == "checkpoint":
-            checkpoint_dir(ranked.sparkSession)
-            ranked = ranked.checkpoint(eager=True)
+            ranked = materialize(ranked, "ranked_touchpoints")
         return ranked
 
     @cached_property
@@ -94,7 +91,8 @@ class Models:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return conversion_touch_summary(self.conversions, self.touchpoints, self.bucket_days)
+        tps = self.ranked_touchpoints if self.journey_plan == "ranked" else self.touchpoints
+        return conversion_touch_summary(self.conversions, tps, self.bucket_days)
 
     def mart(self, model: str) -> DataFrame:
         if self.mart_plan == "windowed":
@@ -129,14 +127,13 @@ class Models:
         return linear_credit(self.journeys, by)
 
     def materialized_tables(self) -> dict[str, DataFrame]:
-        """Every derived table written once as a reliable checkpoint, each
-        computed from the checkpoints before it.  For consumers that read
+        """Every derived table written once as a table in the checkpoint
+        folder, each computed from the tables before it.  For consumers that read
         every table several times (the quality checks)."""
         self.materialize()
-        for name in ("sessions", "conversions", "touchpoints"):
-            self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
-        for name in ("journeys", "first_click", "last_click", "comparison"):
-            self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
+        for name in ("sessions", "conversions", "touchpoints", "journeys", "first_click",
+                     "last_click", "comparison"):
+            self.__dict__[name] = materialize(getattr(self, name), name)
         return self.tables()
 
     def tables(self) -> dict[str, DataFrame]:

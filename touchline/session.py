@@ -64,3 +64,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a Parquet table under the checkpoint folder and
+    return a reader over it.
+
+    This cuts lineage like ``checkpoint()`` but computes the input once (an
+    eager reliable checkpoint runs its input twice) and keeps columnar
+    storage, so later readers prune columns and push filters down.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
