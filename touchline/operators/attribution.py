@@ -89,6 +89,11 @@ def attribute(journeys: DataFrame, conversions: DataFrame, model: str = "first")
     return touched.unionByName(_direct_rows(untouched, model))
 
 
+# A conversion id fixes its user and time; grouping and joining on all three
+# lets Catalyst see the summary as distinct on the join keys, so a left join
+# whose right columns go unused (totals, counts) is removed from the plan.
+SUMMARY_KEYS = ("conversion_id", "user_pseudo_id", "conversion_datetime")
+
 # Payload carried with the ordering key through min/max.
 _PAYLOAD = (
     "channel", "traffic_source", "traffic_medium", "traffic_campaign", "landing_page",
@@ -113,7 +118,7 @@ def conversion_touch_summary(conversions: DataFrame, touchpoints: DataFrame,
     if "user_touch_rank" in touchpoints.columns:
         return _summary_from_ranks(conversions, touchpoints, bucket_days)
     pairs = journey_pairs(conversions, touchpoints, bucket_days)
-    return pairs.groupBy("conversion_id").agg(
+    return pairs.groupBy(*SUMMARY_KEYS).agg(
         F.min(_ordered_touch()).alias("_first"),
         F.max(_ordered_touch()).alias("_last"),
         F.count(F.lit(1)).alias("total_touchpoints"),
@@ -123,7 +128,7 @@ def conversion_touch_summary(conversions: DataFrame, touchpoints: DataFrame,
 
 def _summary_from_ranks(conversions: DataFrame, ranked: DataFrame, bucket_days: int) -> DataFrame:
     pairs = journey_pairs(conversions, ranked, bucket_days, extra_touch_cols=("user_touch_rank",))
-    stats = pairs.groupBy("conversion_id", "user_pseudo_id", "conversion_datetime").agg(
+    stats = pairs.groupBy(*SUMMARY_KEYS).agg(
         F.min("user_touch_rank").alias("_r_first"),
         F.max("user_touch_rank").alias("_r_last"),
         F.count(F.lit(1)).alias("total_touchpoints"),
@@ -145,14 +150,14 @@ def _summary_from_ranks(conversions: DataFrame, ranked: DataFrame, bucket_days:
         fields.append(elapsed("day", f"{side}_touchpoint_datetime", "conversion_datetime").alias("days_to_conversion"))
         return F.struct(*fields)
 
-    return j.select("conversion_id", as_struct("_f").alias("_first"), as_struct("_l").alias("_last"),
+    return j.select(*SUMMARY_KEYS, as_struct("_f").alias("_first"), as_struct("_l").alias("_last"),
                     "total_touchpoints", "journey_length_days")
 
 
 def attribute_from_summary(conversions: DataFrame, summary: DataFrame, model: str = "first") -> DataFrame:
     label = _check(model)
     side = "_first" if model == "first" else "_last"
-    j = conversions.join(summary, "conversion_id", "left")
+    j = conversions.join(summary, list(SUMMARY_KEYS), "left")
     hit = F.col("total_touchpoints").isNotNull()
 
     def pick(field: str, fallback: Column) -> Column:
@@ -183,7 +188,7 @@ def attribute_from_summary(conversions: DataFrame, summary: DataFrame, model: st
 def attribution_both(conversions: DataFrame, summary: DataFrame) -> DataFrame:
     """One row per conversion with both attributed channels (first and
     last) and the journey measures the two marts share."""
-    j = conversions.join(summary, "conversion_id", "left")
+    j = conversions.join(summary, list(SUMMARY_KEYS), "left")
     hit = F.col("total_touchpoints").isNotNull()
     return j.select(
         "conversion_id", "conversion_date", "conversion_value", "user_pseudo_id",

@@ -145,6 +145,11 @@ def q_last(spark, sf_dir):
     return ntz(models(spark, sf_dir).last_click)
 
 
+@register("mart_first_click_rank_summary", q("SELECT * FROM mart_first_click"))
+def q_first_rank(spark, sf_dir):
+    return ntz(models(spark, sf_dir, mart_summary="rank").first_click)
+
+
 @register("mart_first_click_windowed", q("SELECT * FROM mart_first_click"))
 def q_first_windowed(spark, sf_dir):
     return ntz(models(spark, sf_dir, mart_plan="windowed").first_click)
@@ -217,6 +222,7 @@ SELECT 'Last-Click', count(DISTINCT conversion_id), round(sum(conversion_value),
        count(DISTINCT user_pseudo_id)
 FROM mart_last_click"""))
 def q_summary(spark, sf_dir):
+    # The totals use no touch column: Catalyst drops the touch side.
     m = models(spark, sf_dir)
     return rounded(serving.attribution_summary(m.first_click, m.last_click), ("revenue",))
 
