@@ -28,6 +28,7 @@ class Check:
     to_table: str | None = None
     to_column: str | None = None
     expr: str | None = None
+    uses: tuple = ()  # further columns an expression check reads
 
     @property
     def name(self) -> str:
@@ -78,12 +79,23 @@ MODEL_CHECKS: tuple[Check, ...] = tuple(
 # Documented custom checks: purchases carry revenue, sessions last < 24 h.
 CUSTOM_CHECKS: tuple[Check, ...] = (
     Check("stg_ga4_conversions", "expression", "conversion_value",
-          expr="conversion_event <> 'purchase' OR conversion_value > 0"),
+          expr="conversion_event <> 'purchase' OR conversion_value > 0", uses=("conversion_event",)),
     Check("stg_ga4_sessions", "expression", "session_duration_seconds",
           expr="session_duration_seconds < 86400"),
 )
 
 
+def checked_columns(checks) -> dict[str, set]:
+    """Columns each table must provide for ``checks`` (so a caller can
+    materialise only those)."""
+    need: dict[str, set] = {}
+    for ch in checks:
+        need.setdefault(ch.table, set()).update((ch.column, *ch.uses))
+        if ch.kind == "relationships":
+            need.setdefault(ch.to_table, set()).add(ch.to_column)
+    return need
+
+
 def _row(check: Check, failures) -> DataFrame:
     return failures.select(
         F.lit(check.table).alias("table_name"), F.lit(check.kind).alias("check_name"),

@@ -136,15 +136,28 @@ class Models:
     def linear(self, by: tuple[str, ...] = ("channel",)) -> DataFrame:
         return linear_credit(self.journeys, by)
 
-    def materialized_tables(self) -> dict[str, DataFrame]:
-        """Every derived table written once as a table in the checkpoint
-        folder, each computed from the tables before it.  For consumers that read
-        every table several times (the quality checks)."""
+    def materialized_tables(self, columns: dict[str, set] | None = None) -> dict[str, DataFrame]:
+        """The derived tables, each written once as a table in the checkpoint
+        folder, for consumers that read every table several times (the
+        quality checks).
+
+        Tables that feed other models (events, conversions, touchpoints,
+        the mart summary) are written whole first, so everything downstream
+        is computed from them once.  The leaf tables are narrowed to the
+        columns a consumer reads (``columns``: table name -> column set)."""
         self.materialize()
-        for name in ("sessions", "conversions", "touchpoints", "journeys", "first_click",
-                     "last_click", "comparison"):
+        for name in ("conversions", "touchpoints", "summary"):
             self.__dict__[name] = materialize(getattr(self, name), name)
-        return self.tables()
+        out = {}
+        for name, df in self.tables().items():
+            if columns is not None and name not in columns:
+                continue
+            if name == "stg_ga4_events":
+                out[name] = df
+                continue
+            keep = [c for c in df.columns if columns is None or c in columns[name]]
+            out[name] = materialize(df.select(*keep), name)
+        return out
 
     def tables(self) -> dict[str, DataFrame]:
         return {

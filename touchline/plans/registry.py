@@ -21,7 +21,9 @@ from touchline.plans import serving
 from touchline.plans.models import Models
 from touchline.plans.oracle import AS_OF, STREAM_AS_OF, q
 from touchline.session import ensure_utc
-from touchline.operators.quality import CUSTOM_CHECKS, MODEL_CHECKS, oracle_check_sql, run_checks
+from touchline.operators.quality import (
+    CUSTOM_CHECKS, MODEL_CHECKS, checked_columns, oracle_check_sql, run_checks,
+)
 from touchline.operators.sessionize import (
     gap_sessions, sessionize_by_gap, sessions_by_window, top_conversion_per_session,
 )
@@ -433,7 +435,8 @@ ALL_CHECKS = MODEL_CHECKS + CUSTOM_CHECKS
 
 @register("quality_checks", q(" UNION ALL ".join(oracle_check_sql(c, _ORACLE_CTE) for c in ALL_CHECKS)))
 def q_quality(spark, sf_dir):
-    return run_checks(models(spark, sf_dir).materialized_tables(), ALL_CHECKS)
+    m = models(spark, sf_dir)
+    return run_checks(m.materialized_tables(checked_columns(ALL_CHECKS)), ALL_CHECKS)
 
 
 @register("approx_unique_users")
