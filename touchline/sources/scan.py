@@ -25,10 +25,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that has fewer splits than the cluster has cores
     (a single-row-group file).  Large inputs already have more splits than
     cores and pass through without a shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
