@@ -125,13 +125,12 @@ def raw_events_from_driver(events: DataFrame) -> DataFrame:
             _pick(g, [t[1] for t in GEO_BUCKETS]).alias("region"),
             _pick(g, [t[2] for t in GEO_BUCKETS]).alias("city"),
         ).alias("geo"),
-        F.when(
-            is_purchase,
-            F.struct(
-                F.concat(F.lit("T"), F.col("_src_event_id").cast("string")).alias("transaction_id"),
-                F.col("_value").alias("purchase_revenue"),
-                (F.lit(1) + F.col("_k") % 3).cast("bigint").alias("total_item_quantity"),
-            ),
+        # Per-field CASE (not a CASE around the struct) so a reader of one
+        # field is simplified to that field and prunes the others' inputs.
+        F.struct(
+            F.when(is_purchase, F.concat(F.lit("T"), F.col("_src_event_id").cast("string"))).alias("transaction_id"),
+            F.when(is_purchase, F.col("_value")).alias("purchase_revenue"),
+            F.when(is_purchase, (F.lit(1) + F.col("_k") % 3).cast("bigint")).alias("total_item_quantity"),
         ).alias("ecommerce"),
         F.lit("WEB").alias("platform"),
         F.lit("web_stream_001").alias("stream_id"),
