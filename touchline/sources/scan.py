@@ -34,7 +34,12 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw nested events derived from the driver ``events`` table."""
+    """Raw nested events derived from the driver ``events`` table.
+
+    The table's timestamps are UTC wall-clock values, so the session time
+    zone is pinned to UTC before they are converted."""
+    from touchline.session import ensure_utc
+    ensure_utc(spark)
     return raw_events_from_driver(spread(read_table(spark, sf_dir, "events")))
 
 
