@@ -6,9 +6,10 @@ missing a required field go to a dead-letter sink.
 
 Deduplication runs on two horizons:
 
-* short: ``withWatermark('ingestion_timestamp', '1 minute')`` +
-  ``dropDuplicatesWithinWatermark(['event_id'])``.  The watermark is on
-  *arrival* time, so late events (old event time) are never dropped;
+* short: ``dropDuplicatesWithinWatermark`` over the payload key (id and
+  producer stamp), with a 1-minute watermark on *processing* time (when
+  the row reached this job), so no row is ever behind the watermark and
+  late or re-stamped events are never dropped as late data;
 * long: inside ``foreachBatch`` the batch is de-duplicated and anti-joined
   against the sink on ``event_id``, reading only the ``event_date``
   partitions the batch touches (the id embeds the timestamp, so a
@@ -127,8 +128,12 @@ def split_dead_letters(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dedup_short_horizon(stream: DataFrame, window: str = DEDUP_WINDOW) -> DataFrame:
-    """Drop repeats of an id arriving within ``window`` of each other."""
-    return stream.withWatermark("ingestion_timestamp", window).dropDuplicatesWithinWatermark(["event_id"])
+    """Drop repeats of the same payload (id + producer stamp) reaching the
+    job within ``window`` of processing time of each other."""
+    return (stream.withColumn("_arrival", F.current_timestamp())
+            .withWatermark("_arrival", window)
+            .dropDuplicatesWithinWatermark(["event_id", "ingestion_timestamp"])
+            .drop("_arrival"))
 
 
 def _existing(spark: SparkSession, sink: str) -> bool:
@@ -206,11 +211,18 @@ def ingest(spark: SparkSession, source_dir: str, sink: str, checkpoint: str,
             df.unpersist()
 
     parsed = parse_lines(spark.readStream.format("text").load(source_dir))
-    # Bad lines have no id: key them by their own text so they are never
-    # merged with each other; the watermark falls back to processing time.
+    # Short horizon: the state drops repeats of the same payload (same id and
+    # producer stamp) seen within ``dedup_window`` of *processing* time.  The
+    # watermark must not use the producer's stamp: rows stamped earlier than
+    # ones already seen (clock skew, retries) would fall behind it and be
+    # dropped as late.  Repeats with a different stamp are resolved in the
+    # batch body (earliest stamp in the batch, then the sink anti-join).
+    # Bad lines are keyed by their own text, so they never merge with others.
     keyed = parsed.withColumns({
-        "_key": F.when(F.col("_valid"), F.col("event_id")).otherwise(F.concat(F.lit("bad:"), F.sha2("_line", 256))),
-        "_arrival": F.coalesce(F.col("ingestion_timestamp"), F.current_timestamp()),
+        "_key": F.when(F.col("_valid"), F.concat_ws("|", F.col("event_id"),
+                                                     F.col("ingestion_timestamp").cast("string")))
+                 .otherwise(F.concat(F.lit("bad:"), F.sha2("_line", 256))),
+        "_arrival": F.current_timestamp(),
     })
     deduped = keyed.withWatermark("_arrival", dedup_window).dropDuplicatesWithinWatermark(["_key"])
     t0 = time.perf_counter()
