@@ -50,3 +50,13 @@ def test_custom_conversion_events_and_lookback(spark):
     short = AttributionConfig(as_of="2024-06-01 00:00:00", conversion_events=("add_to_cart",), lookback_days=2)
     (g,) = Models(raw, short).first_click.collect()
     assert g.attributed_medium == "direct"
+
+
+def test_cluster_conf_sizes_partitions():
+    from touchline.session import cluster_conf
+    conf = cluster_conf(100 * (1 << 40), executors=1000, cores_per_executor=8)
+    # 100 TB at 256 MB per partition
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    small = cluster_conf(1 << 20, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -79,3 +79,34 @@ def materialize(df, name: str):
     path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the input and the cluster.
+
+    * initial shuffle partitions: enough for ``target_partition_bytes`` per
+      partition of the scanned input, and at least 2 per core, so no task
+      holds an oversized share.  AQE then coalesces small partitions to the
+      advisory size and splits skewed ones;
+    * scan splits of the same size;
+    * skew-join detection: a partition is skewed at 4x the median size and
+      above 4x the target.  A hot (user, day) join key is split that way;
+    * broadcast only sides under 64 MB by Spark's own size estimate (the
+      planner checks the size; above it, sort-merge join).
+    """
+    cores = max(1, executors * cores_per_executor)
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+    }
