@@ -23,6 +23,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from touchline.operators.comparison import attribution_comparison  # noqa: E402
 from touchline.plans import registry, serving  # noqa: E402
 from touchline.session import local_session  # noqa: E402
 from touchline.sources.sinks import write_mart  # noqa: E402
@@ -66,8 +67,6 @@ def main():
                                                   write_mart(m.last_click, f"{marts}/last")))}
     first = spark.read.parquet(f"{marts}/first")
     last = spark.read.parquet(f"{marts}/last")
-    comparison = serving_comparison = None
-    from touchline.operators.comparison import attribution_comparison
     comparison = attribution_comparison(first, last)
     for name, df in (("attribution_summary", serving.attribution_summary(first, last)),
                      ("channel_breakdown", serving.channel_breakdown(first, last)),

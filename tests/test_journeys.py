@@ -152,7 +152,6 @@ def test_journey_type_labels(spark):
 
 
 def test_plans_agree_and_invariants(spark):
-    import glob
     from touchline.sources.scan import raw_events
     m = Models(raw_events(spark, "/root/testdata/sf0.001"), CFG)
     w = Models(raw_events(spark, "/root/testdata/sf0.001"), CFG, mart_plan="windowed")

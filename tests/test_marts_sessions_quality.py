@@ -2,7 +2,6 @@ from datetime import date
 
 from builders import ev, raw_df
 from touchline.config import AttributionConfig
-from touchline.operators.comparison import attribution_comparison
 from touchline.operators.quality import MODEL_CHECKS, Check, run_checks, store_failures
 from touchline.operators.sessionize import gap_sessions, sessionize_by_gap, sessions_by_window
 from touchline.plans.models import Models

@@ -136,12 +136,11 @@ def _summary_from_ranks(conversions: DataFrame, ranked: DataFrame, bucket_days:
     )
     payload = [c for c in _PAYLOAD if c != "days_to_conversion"]
 
-    def touch(side: str, rank_col: str) -> DataFrame:
-        t = ranked.select(F.col("user_pseudo_id").alias(f"{side}_u"), F.col("user_touch_rank").alias(f"{side}_r"),
-                          *[F.col(c).alias(f"{side}_{c}") for c in payload])
-        return t
+    def touch(side: str) -> DataFrame:
+        return ranked.select(F.col("user_pseudo_id").alias(f"{side}_u"), F.col("user_touch_rank").alias(f"{side}_r"),
+                             *[F.col(c).alias(f"{side}_{c}") for c in payload])
 
-    f, l = touch("_f", "_r_first"), touch("_l", "_r_last")
+    f, l = touch("_f"), touch("_l")
     j = stats.join(f, (stats["user_pseudo_id"] == f["_f_u"]) & (stats["_r_first"] == f["_f_r"]), "left") \
              .join(l, (stats["user_pseudo_id"] == l["_l_u"]) & (stats["_r_last"] == l["_l_r"]), "left")
 
