@@ -60,3 +60,12 @@ def test_cluster_conf_sizes_partitions():
     small = cluster_conf(1 << 20, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_materialize_writes_under_checkpoint_dir(spark):
+    from touchline.session import materialize
+    base = spark.conf.get("spark.checkpoint.dir")
+    df = materialize(spark.range(5), "probe")
+    paths = df.inputFiles()
+    assert paths and all(base in p for p in paths)
+    assert df.count() == 5
