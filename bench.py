@@ -51,10 +51,9 @@ def run(spark, name, sf_dir):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cpus, shuffle_partitions=cpus)
     scratch = tempfile.mkdtemp(prefix="touchline-bench-", dir="/tmp")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
+    spark = local_session(cpus, shuffle_partitions=cpus,
+                          extra={"spark.checkpoint.dir": os.path.join(scratch, "checkpoints")})
 
     for n in HEADLINE:
         run(spark, n, sf_dir)  # warm-up

@@ -10,10 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from touchline.session import local_session
-    s = local_session(4, shuffle_partitions=4, app_name="touchline-tests")
     # Tests own their checkpoint folder (on a cluster it comes from the conf).
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tl-test-ckpt-", dir="/tmp"))
+    shared = tempfile.mkdtemp(prefix="tl-test-ckpt-", dir="/tmp")
+    s = local_session(4, shuffle_partitions=4, app_name="touchline-tests", extra={"spark.checkpoint.dir": shared})
     yield s
     s.stop()
 

@@ -53,16 +53,19 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    Only when the setting is absent (local tests) is a fresh scratch folder
-    created and registered.
+    Only in local mode, where driver and tasks share one disk, may the setting be
+    absent; a fresh scratch folder is then made and registered.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    path = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        path = context.getCheckpointDir()
+    if not path:
+        if context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="touchline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
     return path
 
 
