@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 <
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0)).astype(np.int64)
+        sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0)).astype(np.int64)
         begin, held = 0, 0
         for i, n in enumerate(sizes):
             if i > begin and held + n > most_bytes:

@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 from touchline.llm.packing import op1_best_fit_packing
+from touchline.llm.token_files import op5_token_frames
+from touchline.llm.warc import OP9_SQL, op9_warc_revisits
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op5_token_frames": op5_token_frames,
+    "op9_warc_revisits": op9_warc_revisits,
+}
+ORACLE_SQL = {
+    "op9_warc_revisits": OP9_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}
