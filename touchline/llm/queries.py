@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from touchline.llm.packing import op1_best_fit_packing
+from touchline.llm.simhash import op3_simhash_pivots
 from touchline.llm.token_files import op5_token_frames
 from touchline.llm.warc import OP9_SQL, op9_warc_revisits
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_simhash_pivots": op3_simhash_pivots,
     "op5_token_frames": op5_token_frames,
     "op9_warc_revisits": op9_warc_revisits,
 }

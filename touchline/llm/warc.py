@@ -174,8 +174,8 @@ def read_archives(manifest: DataFrame, out: str) -> DataFrame:
 def resolve(headers: DataFrame) -> DataFrame:
     """Joins revisit records to the responses they refer to, for their page_id and payload length."""
     revisits = headers.filter("record_type = 'revisit'").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALT)).cast("int"))
-    wanted = revisits.select("refers_to_record").distinct()
-    originals = (headers.filter("record_type = 'response'").join(wanted, F.col("record_id") == F.col("refers_to_record"), "left_semi")
+    wanted = revisits.select(F.col("refers_to_record").alias("wanted")).distinct()
+    originals = (headers.filter("record_type = 'response'").join(wanted, F.col("record_id") == F.col("wanted"), "left_semi")
                  .select(F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full"),
                          F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
