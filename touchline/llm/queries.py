@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from touchline.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from touchline.llm.packing import op1_best_fit_packing
 from touchline.llm.simhash import op3_simhash_pivots
 from touchline.llm.token_files import op5_token_frames
@@ -11,8 +12,10 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_simhash_pivots": op3_simhash_pivots,
     "op5_token_frames": op5_token_frames,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_warc_revisits": op9_warc_revisits,
 }
 ORACLE_SQL = {
+    "op8_benchmark_decontamination": OP8_SQL,
     "op9_warc_revisits": OP9_SQL,
 }
