@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from touchline.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
+from touchline.llm.line_dedup import op10_line_dedup
 from touchline.llm.packing import op1_best_fit_packing
 from touchline.llm.simhash import op3_simhash_pivots
 from touchline.llm.token_files import op5_token_frames
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_token_frames": op5_token_frames,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_warc_revisits": op9_warc_revisits,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLE_SQL = {
     "op8_benchmark_decontamination": OP8_SQL,
