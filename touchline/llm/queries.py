@@ -5,6 +5,7 @@ from __future__ import annotations
 from touchline.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from touchline.llm.line_dedup import op10_line_dedup
 from touchline.llm.packing import op1_best_fit_packing
+from touchline.llm.perplexity import op4_perplexity_rules
 from touchline.llm.simhash import op3_simhash_pivots
 from touchline.llm.token_files import op5_token_frames
 from touchline.llm.warc import OP9_SQL, op9_warc_revisits
@@ -12,6 +13,7 @@ from touchline.llm.warc import OP9_SQL, op9_warc_revisits
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_simhash_pivots": op3_simhash_pivots,
+    "op4_perplexity_rules": op4_perplexity_rules,
     "op5_token_frames": op5_token_frames,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_warc_revisits": op9_warc_revisits,
