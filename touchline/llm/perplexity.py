@@ -31,8 +31,8 @@ from touchline.llm.common import input_table, materialize, slices, table
 ORDER = 4
 HASH_BITS = 22
 #: Band edges: so many interquartile ranges (at least LEAST_RANGE each) beyond the quartiles.
-BAND = 4.0
-LEAST_RANGE = 0.05
+BAND = 6.0
+LEAST_RANGE = 0.1
 STEP = 0.005
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -79,8 +79,8 @@ def _repeated(code: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     # Number the windows exactly: first the pairs of words, then the pairs of pair and word.
     base = int(code.max()) + 1
     at = np.flatnonzero((owner[2:] == owner[:-2]))
-    _, pair = np.unique(code[at] * base + code[at + 1], return_inverse=True)
-    _, window = np.unique(pair * base + code[at + 2], return_inverse=True)
+    pair = _codes(code[at] * base + code[at + 1])
+    window = _codes(pair * base + code[at + 2])
     key = window * n + owner[at]
     order = np.argsort(key, kind="stable")
     same = key[order][1:] == key[order][:-1]
@@ -99,18 +99,26 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     Each word has one space before it.  An n-gram is 16 bits a character, the last one lowest;
     what is before a text's start is zero.  Characters beyond 16 bits are folded into them.
     """
-    words, owner = _words(texts)
-    if not len(words):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    data = " " + " ".join(words.to_pylist())
+    filled = pc.ascii_trim(texts.cast(pa.large_string()).fill_null(""), BLANKS)
+    filled = pc.binary_join(pc.ascii_split_whitespace(filled), pa.scalar(" ", pa.large_string()))
+    size = np.asarray(pc.utf8_length(filled)).astype(np.int64)
+    size += size > 0
+    data = "".join(" " + x for x in filled.to_pylist() if x)
     points = np.frombuffer(data.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     points = ((points & 0xFFFF) ^ (points >> 16)).astype(np.uint64)
-    owner = np.repeat(owner, np.asarray(pc.utf8_length(words)).astype(np.int64) + 1)
-    key = points.copy()
+    key, starts = points.copy(), np.cumsum(size) - size
     for n in range(1, ORDER):
-        same = owner[n:] == owner[:-n]
-        key[n:] |= np.where(same, points[:-n], 0) << np.uint64(16 * n)
-    return key, owner
+        part = points[:-n] << np.uint64(16 * n)
+        # The first n places of a text have another text's characters n places before.
+        near = (starts[size > 0][:, None] + np.arange(n)).ravel() - n
+        part[near[(near >= 0) & (near < len(part))]] = 0
+        key[n:] |= part
+    return key, np.repeat(np.arange(len(size)), size)
+
+
+def _codes(values: np.ndarray) -> np.ndarray:
+    """Equal values get equal numbers, the first value 0."""
+    return np.asarray(pa.array(values).dictionary_encode().indices).astype(np.int64)
 
 
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, pa.Array]]:
@@ -280,8 +288,8 @@ def measured(docs: DataFrame, model: Model) -> DataFrame:
             size = np.zeros(batch.num_rows)
             for lang, rows, texts in _by_language(batch):
                 gram, owner = grams(texts)
-                different, at = np.unique(gram, return_inverse=True)
-                logs = own.log_probabilities(lang, different)[at]
+                coded = pa.array(gram).dictionary_encode()
+                logs = own.log_probabilities(lang, np.asarray(coded.dictionary))[np.asarray(coded.indices)]
                 score[rows] = np.bincount(owner, logs, minlength=len(rows))
                 size[rows] = np.bincount(owner, minlength=len(rows))
             with np.errstate(invalid="ignore", divide="ignore"):
