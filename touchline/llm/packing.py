@@ -52,7 +52,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.of(vocabulary)
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 16 << 20):
             ids, counts = encoder.encode(batch.column("text"))
             ends = np.cumsum(counts)
             ids = np.insert(ids, ends, end_id).astype("<u4")

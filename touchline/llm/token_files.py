@@ -179,7 +179,7 @@ def write_token_files(docs: DataFrame, out: str, vocabulary: str | None = None,
         from pyspark import TaskContext
 
         part, system, path, writer, n_docs, n_ids = TaskContext.get().partitionId(), None, "", None, 0, 0
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 16 << 20):
             if writer is None:
                 system, where = open_folder(out)
                 path = f"{where}/{spread_name(f'part-{part:06d}', '.zst')}"

@@ -31,7 +31,7 @@ class WordEncoder:
 
     _made: dict[str, WordEncoder] = {}
 
-    def __init__(self, vocabulary: str, most_words: int = 500_000):
+    def __init__(self, vocabulary: str, most_words: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -90,15 +90,15 @@ class WordEncoder:
                 cores.append(core.lower() if core.isascii() and core.isalpha() else core)
                 tails.append(tail)
             self._learn([x for x in dict.fromkeys(cores) if x not in known])
-            core = np.fromiter(map(known.__getitem__, cores), dtype=np.int64, count=len(new))
-            tail = np.fromiter(map(known.__getitem__, tails), dtype=np.int64, count=len(new))
-            both = np.stack([core, tail], axis=1).ravel()
-            sizes = self.begins[both + 1] - self.begins[both]
-            ids = self.stock[joined_ranges(self.begins[both], sizes)]
-            self._add([chunks[i] for i in new], ids, sizes.reshape(-1, 2).sum(axis=1))
-            made = len(self.begins) - 1 - len(new)
-            for at, i in enumerate(new, made):
-                entries[i] = at
+            # What is not its own core gets an entry too: its core's ids, then its tail's.
+            made = [(i, x, c, t) for i, x, c, t in zip(new, map(chunks.__getitem__, new), cores, tails) if x != c]
+            if made:
+                both = np.array([known[y] for _, _, c, t in made for y in (c, t)], dtype=np.int64)
+                sizes = self.begins[both + 1] - self.begins[both]
+                ids = self.stock[joined_ranges(self.begins[both], sizes)]
+                self._add([x for _, x, _, _ in made], ids, sizes.reshape(-1, 2).sum(axis=1))
+            for i in new:
+                entries[i] = known[chunks[i]]
         return np.array(entries, dtype=np.int64)
 
     def _forget(self, chunks: list[str], entries: np.ndarray) -> np.ndarray:
