@@ -78,15 +78,17 @@ def records(source, chunk: int = 1 << 20) -> Iterator[tuple[dict[str, str], byte
 
 
 def with_digest(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload (null html: empty) and its bytes and SHA-1."""
+    """page_id, page_key, url, payload (null html: empty) and its bytes and SHA-1."""
     rows = input_table(pages, page_id="long", url="string", html="string")
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    return rows.select("page_id", "url", payload.alias("payload")).select(
+    # A key without null, so that joining and numbering need the same distribution.
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("page_key")
+    return rows.select("page_id", key, "url", payload.alias("payload")).select(
         "*", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"))
 
 
 def verdicts(headers: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """page_id, payload_digest, original of the pages whose payload other pages have too.
+    """page_key, payload_digest, original of the pages whose payload other pages have too.
 
     original: the largest page_id with the payload.  Pages of one payload look it up in SALT
     shares, so a payload that a third of all pages have is no single task's.
@@ -97,7 +99,7 @@ def verdicts(headers: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))))
     salted = long.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALT)).cast("int"))
     return (salted.join(groups, ["payload_digest", "payload_bytes", "salt"])
-            .select("page_id", "payload_digest", "original").distinct())
+            .select("page_key", "payload_digest", "original", F.lit(True).alias("shared")).distinct())
 
 
 def write_archives(pages: DataFrame, out: str, least_bytes: int = LEAST_BYTES) -> DataFrame:
@@ -109,14 +111,11 @@ def write_archives(pages: DataFrame, out: str, least_bytes: int = LEAST_BYTES) -
     page_ids count as smaller than all others.  An empty table gives no archives.
     """
     rows = with_digest(pages)
-    found = verdicts(rows.select("page_id", "payload_bytes", "payload_digest"), least_bytes).select(
-        F.col("page_id").alias("found_id"), F.col("payload_digest").alias("found_digest"), "original")
-    same = F.col("page_id").eqNullSafe(F.col("found_id")) & (F.col("payload_digest") == F.col("found_digest"))
-    joined = rows.join(found, same, "left").select(
-        "page_id", "url", "payload", "payload_digest", "original", F.col("found_digest").isNotNull().alias("shared"))
+    found = verdicts(rows.select("page_id", "page_key", "payload_bytes", "payload_digest"), least_bytes)
+    joined = rows.join(found, ["page_key", "payload_digest"], "left").withColumn("shared", F.col("shared").isNotNull())
     # Repeats of the original's own row; other rows need no order.
     is_original = F.col("shared") & F.col("page_id").eqNullSafe(F.col("original"))
-    nth = F.row_number().over(Window.partitionBy("page_id", "payload_digest").orderBy("url"))
+    nth = F.row_number().over(Window.partitionBy("page_key", "payload_digest").orderBy("url"))
     judged = joined.withColumn("revisit", F.col("shared") & (~is_original | (nth > 1)))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
