@@ -8,11 +8,13 @@ from touchline.llm.packing import op1_best_fit_packing
 from touchline.llm.perplexity import op4_perplexity_rules
 from touchline.llm.simhash import op3_simhash_pivots
 from touchline.llm.token_files import op5_token_frames
+from touchline.llm.toxicity import op2_counterfactual_toxicity
 from touchline.llm.warc import OP9_SQL, op9_warc_revisits
 from touchline.llm.weak_quality import op6_weak_label_quality
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_counterfactual_toxicity": op2_counterfactual_toxicity,
     "op3_simhash_pivots": op3_simhash_pivots,
     "op4_perplexity_rules": op4_perplexity_rules,
     "op5_token_frames": op5_token_frames,
