@@ -6,6 +6,7 @@ from touchline.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from touchline.llm.line_dedup import op10_line_dedup
 from touchline.llm.packing import op1_best_fit_packing
 from touchline.llm.perplexity import op4_perplexity_rules
+from touchline.llm.secrets import op7_crf_secrets
 from touchline.llm.simhash import op3_simhash_pivots
 from touchline.llm.token_files import op5_token_frames
 from touchline.llm.toxicity import op2_counterfactual_toxicity
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_perplexity_rules": op4_perplexity_rules,
     "op5_token_frames": op5_token_frames,
     "op6_weak_label_quality": op6_weak_label_quality,
+    "op7_crf_secrets": op7_crf_secrets,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_warc_revisits": op9_warc_revisits,
     "op10_line_dedup": op10_line_dedup,
