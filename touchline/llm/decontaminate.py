@@ -124,11 +124,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
-    # Rows are told apart by a number of their own, so repeated or null doc_ids don't matter.
-    marked = docs.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("row"), words_of(F.col("text").cast("string")).alias("words"))
+    # What is found depends on the text alone, so 128 bits of it are the key: doc_ids may repeat or be null.
+    text = F.col("text").cast("string")
+    key = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(WINDOW_WORDS), text).alias("b"))
+    marked = docs.select(F.struct("*").alias("whole"), key.alias("row"), words_of(text).alias("words"))
     places = occurrences(marked.select("row", "words"), item_windows(benchmark, window_words), most_windows).filter("at IS NOT NULL")
     if remove == "documents":
-        return marked.join(places.select("row").distinct(), "row", "left_anti").select("whole.*")
+        return marked.select("whole", "row").join(places.select("row").distinct(), "row", "left_anti").select("whole.*")
     spots = places.select("row", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("at"))
     cut = spots.groupBy("row").agg(F.collect_set("at").alias("cut"))
     # The text as word, break, word, ...: a word keeps the break after it.
@@ -137,7 +139,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     left = F.filter(F.transform(pieces, lambda x, i: F.struct(x.alias("piece"), (i + 1).alias("at"))), lambda x: ~F.array_contains("cut", x["at"]))
     rest = F.concat(lead, F.array_join(F.transform(left, lambda x: x["piece"]), ""))
     text = F.when(F.col("cut").isNull(), F.col("whole.text")).otherwise(rest)
-    out = marked.join(cut, "row", "left").select("whole", text.alias("rest"))
+    out = marked.select("whole", "row").join(cut, "row", "left").select("whole", text.alias("rest"))
     return out.select(*[F.col("rest").alias(c) if c == "text" else F.col(f"whole.`{c}`") for c in docs.columns])
 
 

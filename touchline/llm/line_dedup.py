@@ -190,28 +190,28 @@ def node_of(line: str) -> Column:
 
 
 def within_edits(left: np.ndarray, left_size: np.ndarray, right: np.ndarray, right_size: np.ndarray, most_edits: int) -> np.ndarray:
-    """Which pairs of lines (rows of code points, padded) are within most_edits edits.
+    """Which pairs of lines (columns of code points, padded) are within most_edits edits.
 
     Bit k of a pair's word stands for the cell of the band where the right line is k - most_edits
     ahead of the left one; words[d] has the cells reached with at most d edits.  One step over
     a code point of the left lines moves all cells of all pairs at once.
     """
-    band, n = 2 * most_edits + 1, len(left)
+    band, n = 2 * most_edits + 1, len(left_size)
     kind = np.uint8 if band <= 7 else np.uint64
     shift = right_size - left_size
     ok = np.abs(shift) <= most_edits
-    # Code points beyond a line's end differ from all others.
-    columns = int(left_size.max(initial=0))
-    padded = np.full((n, columns + band), -2, dtype=np.int64)
-    width = min(right.shape[1], columns + most_edits)
-    padded[:, most_edits : most_edits + width] = np.where(np.arange(width) < right_size[:, None], right[:, :width], -2)
+    length = int(left_size.max(initial=0))
+    # Beyond a line's end are code points that differ from all others.
+    ahead = np.full((length + band, n), -2, dtype=np.int32)
+    height = min(len(right), length + most_edits)
+    ahead[most_edits : most_edits + height] = np.where(np.arange(height)[:, None] < right_size, right[:height], -2)
     words = [np.full(n, sum(1 << (most_edits + j) for j in range(d + 1)), dtype=kind) for d in range(most_edits + 1)]
     final = [w.copy() for w in words]
     full = kind((1 << band) - 1)
-    for i in range(columns):
+    for i in range(length):
         equal = np.zeros(n, dtype=kind)
         for k in range(band):
-            equal |= (padded[:, i + k] == left[:, i]).astype(kind) << kind(k)
+            equal |= (ahead[i + k] == left[i]).astype(kind) << kind(k)
         above = None
         for d in range(most_edits + 1):
             new = words[d] & equal
@@ -238,16 +238,18 @@ def linked_lines(cell: np.ndarray, side: np.ndarray, probe: np.ndarray, lines: l
 
     def verify(u: np.ndarray, v: np.ndarray) -> None:
         nonlocal root
-        for a in range(0, len(u), pairs_at_once):
-            x, y = u[a : a + pairs_at_once], v[a : a + pairs_at_once]
-            apart = root[x] != root[y]
-            x, y = x[apart], y[apart]
-            # Long lines in smaller lots, so that a lot's code points are bounded.
-            lot = max(1, (1 << 22) // max(1, int(size[y].max(initial=1))))
-            for b in range(0, len(x), lot):
-                p, q = x[b : b + lot], y[b : b + lot]
+        # Pairs of like lengths together, in lots of bounded code points.
+        order = np.argsort(size[v], kind="stable")
+        u, v = u[order], v[order]
+        while len(u):
+            apart = root[u] != root[v]
+            u, v = u[apart], v[apart]
+            lot = min(pairs_at_once, max(1, (1 << 21) // max(1, int(size[v[:pairs_at_once]].max(initial=1)))))
+            p, q, u, v = u[:lot], v[:lot], u[lot:], v[lot:]
+            if len(p):
                 close = within_edits(*_padded(coded, p, size), *_padded(coded, q, size), most_edits)
-                root = _forest(np.concatenate([p[close], np.arange(n)]), np.concatenate([q[close], root]), n)
+                if close.any():
+                    root = _forest(np.concatenate([p[close], np.arange(n)]), np.concatenate([q[close], root]), n)
 
     step, at = 1, np.arange(max(0, n - 1))
     while len(at):
@@ -262,10 +264,13 @@ def linked_lines(cell: np.ndarray, side: np.ndarray, probe: np.ndarray, lines: l
 
 
 def _padded(coded: list[np.ndarray], rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    out = np.full((len(rows), int(size[rows].max(initial=0))), -1, dtype=np.int64)
-    for k, r in enumerate(rows):
-        out[k, : len(coded[r])] = coded[r]
-    return out, size[rows]
+    """The rows' code points as columns, and their lengths."""
+    sizes = size[rows]
+    height = int(sizes.max(initial=0))
+    out = np.full((len(rows), height), -1, dtype=np.int32)
+    if len(rows):
+        out[np.arange(height) < sizes[:, None]] = np.concatenate([coded[r] for r in rows])
+    return np.ascontiguousarray(out.T), sizes
 
 
 def line_links(texts: DataFrame, most_edits: int = MOST_EDITS, least_chars: int = LEAST_CHARS, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -328,22 +333,20 @@ def repeated_lines(docs: DataFrame, most_edits: int = MOST_EDITS, least_chars: i
 
 
 def without_repeated_lines(docs: DataFrame, most_edits: int = MOST_EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """whole (a struct of all columns), lines (kept), n_lines, n_removed for each document.
+    """whole (a struct of all columns), rest (the text without repeated lines), n_removed for each document.
 
-    Shorter lines always stay.  Null texts have no lines and empty ones one; rows that have the same doc_id
-    and text are one document and are treated alike; an empty table gives no rows.
+    Shorter lines always stay.  Null texts stay null; rows that have the same doc_id and text
+    are one document and are treated alike; an empty table gives no rows.
     """
     gone = (repeated_lines(docs, most_edits, least_chars).groupBy("doc_key", "text_key")
             .agg(F.sort_array(F.collect_set("line_no")).alias("gone")))
-    wide = docs.select(F.struct("*").alias("whole"), *_doc_key())
-    joined = wide.join(gone, ["doc_key", "text_key"], "left")
-    lines = F.split(F.col("whole.text").cast("string"), "\n", -1)
-    n_lines = F.coalesce(F.size(lines), F.lit(0))
-    n_lines = F.when(F.col("whole.text").isNull(), 0).otherwise(n_lines)
+    joined = docs.select(F.struct("*").alias("whole"), *_doc_key()).join(gone, ["doc_key", "text_key"], "left")
+    text = F.col("whole.text").cast("string")
+    lines = F.split(text, "\n", -1)
     numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    kept = F.when(F.col("gone").isNull(), lines).otherwise(F.transform(numbers, lambda i: F.get(lines, i)))
-    return joined.select("whole", kept.alias("lines"), n_lines.alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed_or_null")).select(
-        "whole", "lines", "n_lines", F.greatest("n_removed_or_null", F.lit(0)).alias("n_removed"))
+    rest = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n")
+    return joined.select("whole", F.when(F.col("gone").isNull(), text).otherwise(rest).alias("rest"),
+                         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("n_removed"))
 
 
 def drop_repeated_lines(docs: DataFrame, most_edits: int = MOST_EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
@@ -352,14 +355,14 @@ def drop_repeated_lines(docs: DataFrame, most_edits: int = MOST_EDITS, least_cha
     A document that had lines and of which none is left with a word goes altogether: earlier documents
     have all of it.  Documents without a repeated line are returned as they are.
     """
-    out = without_repeated_lines(docs, most_edits, least_chars).withColumn("rest", F.array_join("lines", "\n"))
+    out = without_repeated_lines(docs, most_edits, least_chars)
     out = out.filter((F.col("n_removed") == 0) | F.col("rest").rlike(r"[^\x20\x09-\x0D]"))
-    text = F.when(F.col("n_removed") == 0, F.col("whole.text").cast("string")).otherwise(F.col("rest"))
-    return out.select(*[text.alias(c) if c == "text" else F.col(f"whole.`{c}`").alias(c) for c in docs.columns])
+    return out.select(*[F.col("rest").alias(c) if c == "text" else F.col(f"whole.`{c}`").alias(c) for c in docs.columns])
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_lines, n_removed, kept_sha256 (of what stays) for each document."""
+    """doc_id, n_removed, rest_chars, rest_sha256 (of what stays) for each document."""
     found = without_repeated_lines(table(spark, sf_dir, "documents"))
-    return found.select(F.col("whole.doc_id").alias("doc_id"), F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"),
-                        F.sha2(F.encode(F.array_join(F.coalesce("lines", F.array().cast("array<string>")), "\n"), "UTF-8"), 256).alias("kept_sha256"))
+    rest = F.coalesce("rest", F.lit(""))
+    return found.select(F.col("whole.doc_id").alias("doc_id"), F.col("n_removed").cast("long").alias("n_removed"),
+                        F.char_length(rest).cast("long").alias("rest_chars"), F.sha2(F.encode(rest, "UTF-8"), 256).alias("rest_sha256"))
