@@ -10,7 +10,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.llm.common import materialize, table
+from touchline.llm.decontaminate import decontaminate
+from touchline.llm.line_dedup import drop_repeated_lines
 from touchline.llm.packing import pack
+from touchline.llm.simhash import keep_one
+from touchline.llm.weak_quality import keep_good
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly trained scorer takes for good."""
+    return keep_good(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that an earlier document has, or nearly; those of which nothing is left go."""
+    return drop_repeated_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near-duplicates."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"), remove="documents")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +43,10 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", quality),
+    ("line_dedup", lines),
+    ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontamination),
     ("best_fit_packing", packing),
 ]
 
