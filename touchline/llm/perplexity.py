@@ -76,14 +76,16 @@ def _repeated(code: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """Words that lie in a window of three found more than once in their text."""
     if len(code) < 3:
         return np.zeros(n, dtype=np.int64)
-    # Number the windows exactly: first the pairs of words, then the pairs of pair and word.
     base = int(code.max()) + 1
     at = np.flatnonzero((owner[2:] == owner[:-2]))
-    pair = _codes(code[at] * base + code[at + 1])
-    window = _codes(pair * base + code[at + 2])
-    key = window * n + owner[at]
+    # Three codes make one number, or else (over two million words) the first two are numbered anew.
+    pair = code[at] * base + code[at + 1]
+    if base >= 1 << 21:
+        pair = np.unique(pair, return_inverse=True)[1]
+    key = pair * base + code[at + 2]
+    # Stable: equal windows stay in order of their texts.
     order = np.argsort(key, kind="stable")
-    same = key[order][1:] == key[order][:-1]
+    same = (key[order][1:] == key[order][:-1]) & (owner[at[order]][1:] == owner[at[order]][:-1])
     often = np.zeros(len(key), dtype=bool)
     often[order[1:][same]] = True
     often[order[:-1][same]] = True
@@ -116,11 +118,6 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return key, np.repeat(np.arange(len(size)), size)
 
 
-def _codes(values: np.ndarray) -> np.ndarray:
-    """Equal values get equal numbers, the first value 0."""
-    return np.asarray(pa.array(values).dictionary_encode().indices).astype(np.int64)
-
-
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, pa.Array]]:
     langs = batch.column("lang").dictionary_encode()
     for code, lang in enumerate(langs.dictionary.to_pylist()):

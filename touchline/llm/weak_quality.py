@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import input_table, slices, table
 from touchline.llm.linear import fit, sigmoid
-from touchline.llm.perplexity import _codes, _repeated, _words
+from touchline.llm.perplexity import _repeated, _words
 
 SAMPLE = 20_000
 FEATURES = 1 << 14
@@ -87,11 +87,12 @@ def measures(texts: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray, np.nda
     echo = owner[1:][(owner[1:] == owner[:-1]) & (code[1:] == code[:-1])]
     out["echoes"] = np.bincount(echo, minlength=n) / each
     # Different words among at most as many as a page has, as long texts repeat theirs anyway.
-    kinds = np.bincount(np.unique(owner * max(1, len(different)) + code) // max(1, len(different)), minlength=n)
+    pairs = np.sort(owner * max(1, len(different)) + code)
+    kinds = np.bincount(pairs[np.diff(pairs, prepend=-1) > 0] // max(1, len(different)), minlength=n)
     out["variety"] = np.where(n_words > 0, kinds / np.minimum(each, 300), 1.0).clip(0, 1)
     lines = pc.split_pattern(filled, "\n")
     line, line_owner = lines.flatten(), np.repeat(np.arange(n), np.asarray(pc.list_value_length(lines)))
-    line_code = _codes(line)
+    line_code = np.asarray(line.dictionary_encode().indices).astype(np.int64)
     different_lines = np.bincount(np.unique(line_owner + n * line_code) % n, minlength=n) if len(line_code) else np.zeros(n)
     n_lines = np.maximum(np.bincount(line_owner, minlength=n), 1)
     out["same_lines"] = (n_lines - np.maximum(different_lines, 1)) / n_lines
