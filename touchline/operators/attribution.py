@@ -5,21 +5,20 @@ Two equivalent plans:
 * :func:`attribute` reads the row-level journeys: keep the first (or
   last) touch of each conversion, and add conversions that have no touch
   (``left_anti``) as their own channel with medium ``direct``.
-* :func:`attribute_single_pass` never builds positions.  Each conversion's
-  pairs are reduced by one grouped aggregate (min / max of an ordered
-  struct, count, max days).  That aggregate is partial + final, so a
-  conversion with a huge journey is combined map-side instead of landing
-  in one window task; one left join with the conversions then yields
-  both the attributed and the touch-less rows, and both marts.
+* :func:`attribute_single_pass` needs one summary row per conversion id
+  (first and last touch, count, length), by default from touch counts at the
+  ends of each journey, without any pair; one left join with the
+  conversions then yields both the attributed and the touch-less rows, and
+  both marts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.timefns import elapsed
-from touchline.operators.journeys import TOUCH_ORDER, journey_pairs, journey_type
+from touchline.operators.journeys import TOUCH_ORDER, journey_pairs, journey_type, number_copies
 
 MODELS = {"first": "First-Click", "last": "Last-Click"}
 
@@ -89,12 +88,7 @@ def attribute(journeys: DataFrame, conversions: DataFrame, model: str = "first")
     return touched.unionByName(_direct_rows(untouched, model))
 
 
-# A conversion id fixes its user and time; grouping and joining on all three
-# lets Catalyst see the summary as distinct on the join keys, so a left join
-# whose right columns go unused (totals, counts) is removed from the plan.
-SUMMARY_KEYS = ("conversion_id", "user_pseudo_id", "conversion_datetime")
-
-# Payload carried with the ordering key through min/max.
+# Payload of the first and the last touch.
 _PAYLOAD = (
     "channel", "traffic_source", "traffic_medium", "traffic_campaign", "landing_page",
     "touchpoint_date", "touchpoint_datetime", "days_to_conversion",
@@ -107,18 +101,20 @@ def _ordered_touch() -> Column:
     return F.struct(*keys, *[F.col(c).alias(c) for c in _PAYLOAD])
 
 
-def conversion_touch_summary(conversions: DataFrame, touchpoints: DataFrame,
-                             bucket_days: int = 1) -> DataFrame:
-    """One row per conversion id with a touch: first and last touch, count,
-    longest distance in days.  Partial aggregation bounds every task.
+def conversion_touch_summary(conversions: DataFrame, touchpoints: DataFrame, bucket_days: int = 1,
+                             plan: str = "markers", rank_bucket_minutes: int = 1440) -> DataFrame:
+    """One row per conversion id with a touch: first and last touch, number of
+    touches (times the copies of the conversion), longest distance in days.
 
-    With ranked touchpoints (``user_touch_rank``) the pairs stay numeric:
-    first / last touch are the min / max rank (a hash aggregate), and their
-    fields are fetched by an equi-join on (user, rank)."""
-    if "user_touch_rank" in touchpoints.columns:
-        return _summary_from_ranks(conversions, touchpoints, bucket_days)
+    ``plan="markers"`` (default) forms no pairs: see :func:`_summary_from_markers`.
+    ``plan="struct"`` reduces the pairs by min / max of an ordered struct.
+    """
+    if plan == "markers":
+        return _summary_from_markers(conversions, touchpoints, rank_bucket_minutes)
+    if plan != "struct":
+        raise ValueError("plan must be 'markers' or 'struct'")
     pairs = journey_pairs(conversions, touchpoints, bucket_days)
-    return pairs.groupBy(*SUMMARY_KEYS).agg(
+    return pairs.groupBy("conversion_id").agg(
         F.min(_ordered_touch()).alias("_first"),
         F.max(_ordered_touch()).alias("_last"),
         F.count(F.lit(1)).alias("total_touchpoints"),
@@ -126,37 +122,85 @@ def conversion_touch_summary(conversions: DataFrame, touchpoints: DataFrame,
     )
 
 
-def _summary_from_ranks(conversions: DataFrame, ranked: DataFrame, bucket_days: int) -> DataFrame:
-    pairs = journey_pairs(conversions, ranked, bucket_days, extra_touch_cols=("user_touch_rank",))
-    stats = pairs.groupBy(*SUMMARY_KEYS).agg(
-        F.min("user_touch_rank").alias("_r_first"),
-        F.max("user_touch_rank").alias("_r_last"),
-        F.count(F.lit(1)).alias("total_touchpoints"),
-        F.max("days_to_conversion").alias("journey_length_days"),
-    )
+def _summary_from_markers(conversions: DataFrame, touchpoints: DataFrame, rank_bucket_minutes: int) -> DataFrame:
+    """The summary without pairing conversions and touches.
+
+    Each conversion id puts two markers among its user's touches, at its
+    window's start and at its own time.  The number of touches before a
+    marker is a running count in one (user, time bucket) plus the user's
+    touches in earlier buckets, so work grows with touches plus conversions
+    and no task holds a whole user.  Touches between the markers are the
+    journey: the first has the start's count + 1 as its rank, the last the
+    end's count, and both are fetched by (user, rank).
+    """
+    bucket_micros = rank_bucket_minutes * 60 * 1_000_000
+    ids = conversions.groupBy("conversion_id").agg(
+        F.min("user_pseudo_id").alias("user_pseudo_id"), F.min("conversion_timestamp").alias("_end"),
+        F.min("conversion_datetime").alias("_at"), F.min(F.unix_micros("attribution_window_start")).alias("_start"),
+        F.count(F.lit(1)).alias("_copies"))
+    conv = F.struct("conversion_id", "_at", "_copies")
+    markers = ids.select("user_pseudo_id", F.explode(F.array(
+        F.struct(F.col("_start").alias("_ts"), F.lit(True).alias("_is_start"), conv.alias("_conv")),
+        F.struct(F.col("_end").alias("_ts"), F.lit(False).alias("_is_start"), conv.alias("_conv")),
+    )).alias("_m")).select("user_pseudo_id", "_m.*")
     payload = [c for c in _PAYLOAD if c != "days_to_conversion"]
+    rest = [c for c in TOUCH_ORDER if c not in payload and c != "touchpoint_timestamp"]
+    touches = touchpoints.select("user_pseudo_id", F.col("touchpoint_timestamp").alias("_ts"),
+                                 F.struct(*payload, *rest).alias("_touch"))
+    both = touches.unionByName(markers, allowMissingColumns=True).withColumn(
+        "_rb", F.floor(F.col("_ts") / F.lit(bucket_micros)).cast("bigint"))
+    is_touch = F.col("_touch").isNotNull()
+    # At one instant markers come first: a window holds its start and not its end.
+    local = Window.partitionBy("user_pseudo_id", "_rb").orderBy(
+        "_ts", is_touch, *[F.col(f"_touch.{c}").asc_nulls_first() for c in TOUCH_ORDER if c != "touchpoint_timestamp"])
+    counted = both.withColumn("_n", F.sum(is_touch.cast("bigint")).over(local.rowsBetween(Window.unboundedPreceding, 0)))
+    sizes = counted.groupBy("user_pseudo_id", "_rb").agg(F.max("_n").alias("_size"))
+    earlier = Window.partitionBy("user_pseudo_id").orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("user_pseudo_id", "_rb", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    placed = counted.join(offsets, ["user_pseudo_id", "_rb"]).withColumn("_rank", F.col("_before") + F.col("_n"))
+
+    start = F.max(F.when(F.col("_is_start"), F.col("_rank")))
+    end = F.max(F.when(~F.col("_is_start"), F.col("_rank")))
+    spans = (placed.where("_conv IS NOT NULL").groupBy("_conv.conversion_id")
+             .agg(F.first("user_pseudo_id").alias("_user"), F.first("_conv._at").alias("_at"), F.first("_conv._copies").alias("_copies"),
+                  (start + 1).alias("_r_first"), end.alias("_r_last"))
+             .where(F.col("_r_last") >= F.col("_r_first")))
+    ranked = placed.where(is_touch)
 
     def touch(side: str) -> DataFrame:
-        return ranked.select(F.col("user_pseudo_id").alias(f"{side}_u"), F.col("user_touch_rank").alias(f"{side}_r"),
-                             *[F.col(c).alias(f"{side}_{c}") for c in payload])
+        return ranked.select(F.col("user_pseudo_id").alias(f"_u{side}"), F.col("_rank").alias(f"_k{side}"), F.col("_touch").alias(f"_t{side}"))
 
-    f, l = touch("_f"), touch("_l")
-    j = stats.join(f, (stats["user_pseudo_id"] == f["_f_u"]) & (stats["_r_first"] == f["_f_r"]), "left") \
-             .join(l, (stats["user_pseudo_id"] == l["_l_u"]) & (stats["_r_last"] == l["_l_r"]), "left")
+    f, l = touch("_first"), touch("_last")
+    j = (spans.join(f, (F.col("_user") == F.col("_u_first")) & (F.col("_r_first") == F.col("_k_first")))
+         .join(l, (F.col("_user") == F.col("_u_last")) & (F.col("_r_last") == F.col("_k_last"))))
 
     def as_struct(side: str) -> Column:
-        fields = [F.col(f"{side}_{c}").alias(c) for c in payload]
-        fields.append(elapsed("day", f"{side}_touchpoint_datetime", "conversion_datetime").alias("days_to_conversion"))
-        return F.struct(*fields)
+        fields = [F.col(f"_t{side}.{c}").alias(c) for c in payload]
+        return F.struct(*fields, elapsed("day", f"_t{side}.touchpoint_datetime", "_at").alias("days_to_conversion"))
+
+    return j.select(
+        "conversion_id", as_struct("_first").alias("_first"), as_struct("_last").alias("_last"),
+        ((F.col("_r_last") - F.col("_r_first") + 1) * F.col("_copies")).alias("total_touchpoints"),
+        # The first touch is the farthest from the conversion.
+        elapsed("day", "_t_first.touchpoint_datetime", "_at").alias("journey_length_days"),
+    )
+
+
+def _with_summary(conversions: DataFrame, summary: DataFrame) -> DataFrame:
+    """Conversions (all copies, numbered) with their id's summary."""
+    return number_copies(conversions).join(summary, "conversion_id", "left")
+
 
-    return j.select(*SUMMARY_KEYS, as_struct("_f").alias("_first"), as_struct("_l").alias("_last"),
-                    "total_touchpoints", "journey_length_days")
+def _attributed_row(model: str) -> Column:
+    """A touched conversion id has one row: the copy whose touch is the first
+    (or last) of all; an id without a touch keeps every copy."""
+    return F.col("total_touchpoints").isNull() | (F.col("_copy") == (F.lit(1) if model == "first" else F.col("_copies")))
 
 
 def attribute_from_summary(conversions: DataFrame, summary: DataFrame, model: str = "first") -> DataFrame:
     label = _check(model)
     side = "_first" if model == "first" else "_last"
-    j = conversions.join(summary, list(SUMMARY_KEYS), "left")
+    j = _with_summary(conversions, summary).where(_attributed_row(model))
     hit = F.col("total_touchpoints").isNotNull()
 
     def pick(field: str, fallback: Column) -> Column:
@@ -185,9 +229,9 @@ def attribute_from_summary(conversions: DataFrame, summary: DataFrame, model: st
 
 
 def attribution_both(conversions: DataFrame, summary: DataFrame) -> DataFrame:
-    """One row per conversion with both attributed channels (first and
-    last) and the journey measures the two marts share."""
-    j = conversions.join(summary, list(SUMMARY_KEYS), "left")
+    """Both marts' channels and shared measures, one row per conversion row;
+    ``in_first`` / ``in_last`` say which mart the row belongs to."""
+    j = _with_summary(conversions, summary)
     hit = F.col("total_touchpoints").isNotNull()
     return j.select(
         "conversion_id", "conversion_date", "conversion_value", "user_pseudo_id",
@@ -195,12 +239,13 @@ def attribution_both(conversions: DataFrame, summary: DataFrame) -> DataFrame:
         F.when(hit, F.col("_last.channel")).otherwise(F.col("conversion_channel")).alias("last_channel"),
         F.coalesce(F.col("total_touchpoints"), F.lit(1).cast("bigint")).alias("total_touchpoints"),
         F.coalesce(F.col("journey_length_days"), F.lit(0).cast("bigint")).alias("journey_length_days"),
+        _attributed_row("first").alias("in_first"), _attributed_row("last").alias("in_last"),
     )
 
 
 def attribute_single_pass(conversions: DataFrame, touchpoints: DataFrame, model: str = "first",
-                          bucket_days: int = 1) -> DataFrame:
-    summary = conversion_touch_summary(conversions, touchpoints, bucket_days)
+                          bucket_days: int = 1, plan: str = "markers") -> DataFrame:
+    summary = conversion_touch_summary(conversions, touchpoints, bucket_days, plan)
     return attribute_from_summary(conversions, summary, model)
 
 

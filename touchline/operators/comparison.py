@@ -56,10 +56,10 @@ def _stacked(both: DataFrame) -> DataFrame:
     return both.select(
         "conversion_id", "conversion_date", "conversion_value", "journey_length_days", "total_touchpoints",
         F.explode(F.array(
-            F.struct(F.lit("fc").alias("m"), F.col("first_channel").alias("channel")),
-            F.struct(F.lit("lc").alias("m"), F.col("last_channel").alias("channel")),
+            F.struct(F.lit("fc").alias("m"), F.col("first_channel").alias("channel"), F.col("in_first").alias("belongs")),
+            F.struct(F.lit("lc").alias("m"), F.col("last_channel").alias("channel"), F.col("in_last").alias("belongs")),
         )).alias("_a"),
-    ).select("_a.m", "_a.channel", "conversion_id", "conversion_date", "conversion_value",
+    ).where("_a.belongs").select("_a.m", "_a.channel", "conversion_id", "conversion_date", "conversion_value",
              "journey_length_days", "total_touchpoints")
 
 

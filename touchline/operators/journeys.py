@@ -56,7 +56,8 @@ def _day_bucket(ts: Column, bucket_days: int) -> Column:
 
 
 def journey_pairs(conversions: DataFrame, touchpoints: DataFrame, bucket_days: int = 1,
-                  extra_touch_cols: tuple[str, ...] = ()) -> DataFrame:
+                  extra_touch_cols: tuple[str, ...] = (),
+                  extra_conversion_cols: tuple[str, ...] = ()) -> DataFrame:
     """All (conversion, touchpoint) pairs of the same user with
     ``window_start <= touch_datetime <= window_end`` and
     ``touch_timestamp < conversion_timestamp``.
@@ -66,7 +67,7 @@ def journey_pairs(conversions: DataFrame, touchpoints: DataFrame, bucket_days: i
     """
     if bucket_days < 1:
         raise ValueError("bucket_days must be >= 1")
-    c = conversions.select(*CONVERSION_SIDE).withColumn(
+    c = conversions.select(*CONVERSION_SIDE, *extra_conversion_cols).withColumn(
         "_bucket",
         F.explode(F.sequence(_day_bucket(F.col("attribution_window_start"), bucket_days),
                              _day_bucket(F.col("attribution_window_end"), bucket_days))),
@@ -133,6 +134,22 @@ def rank_touches(touchpoints: DataFrame, rank_bucket_minutes: int = 1440) -> Dat
         .drop("_rb", "_local_rank", "_offset")
 
 
+# Order of rows that share a conversion id (replays of one conversion), so that
+# every plan picks the same row for the first and the last touch.
+COPY_ORDER = tuple(c for c in CONVERSION_SIDE if c != "conversion_id")
+
+
+def number_copies(conversions: DataFrame) -> DataFrame:
+    """Add ``_copy`` (1-based) and ``_copies``: a conversion id may come more
+    than once, and its journey then holds every touch once per copy."""
+    same = Window.partitionBy("conversion_id")
+    order = [F.col(c).asc_nulls_first() for c in COPY_ORDER]
+    return conversions.withColumns({
+        "_copy": F.row_number().over(same.orderBy(*order)).cast("bigint"),
+        "_copies": F.count(F.lit(1)).over(same),
+    })
+
+
 def _finish(j: DataFrame, audit: bool) -> DataFrame:
     j = j.withColumns({
         "journey_id": dash_id("conversion_id", "touchpoint_id"),
@@ -155,8 +172,9 @@ def user_journeys(conversions: DataFrame, touchpoints: DataFrame, bucket_days: i
 
     ``plan="ranked"`` (default) never sorts a whole journey in one task:
     a journey is a contiguous run of its user's touchpoints (both window
-    bounds depend on time only), so ``position = user_touch_rank - first
-    rank of the journey + 1``.  The first rank, the size and the longest
+    bounds depend on time only), so with ``n`` copies of the conversion the
+    touch of copy ``k`` has ``position = (user_touch_rank - first rank of
+    the journey) * n + k``.  The first rank, the size and the longest
     distance come from one numeric grouped aggregate per conversion
     (partial + final hash aggregation), joined back to the pairs; AQE's
     skew join splits a conversion with a huge journey there.
@@ -171,7 +189,7 @@ def user_journeys(conversions: DataFrame, touchpoints: DataFrame, bucket_days: i
     if plan == "windowed":
         pairs = journey_pairs(conversions, touchpoints, bucket_days)
         by_conv = Window.partitionBy("conversion_id")
-        ordered = by_conv.orderBy(*touch_order())
+        ordered = by_conv.orderBy(*touch_order(), *[F.col(c).asc_nulls_first() for c in COPY_ORDER])
         j = pairs.withColumns({
             "touchpoint_position": F.row_number().over(ordered).cast("bigint"),
             "total_touchpoints": F.count(F.lit(1)).over(by_conv),
@@ -182,12 +200,14 @@ def user_journeys(conversions: DataFrame, touchpoints: DataFrame, bucket_days: i
         raise ValueError("plan must be 'ranked' or 'windowed'")
     ranked = touchpoints if "user_touch_rank" in touchpoints.columns \
         else rank_touches(touchpoints, rank_bucket_minutes)
-    pairs = journey_pairs(conversions, ranked, bucket_days, extra_touch_cols=("user_touch_rank",))
+    pairs = journey_pairs(number_copies(conversions), ranked, bucket_days, extra_touch_cols=("user_touch_rank",),
+                          extra_conversion_cols=("_copy", "_copies"))
     stats = pairs.groupBy("conversion_id").agg(
         F.min("user_touch_rank").alias("_first_rank"),
         F.count(F.lit(1)).alias("total_touchpoints"),
         F.max("days_to_conversion").alias("journey_length_days"),
     )
     j = pairs.join(stats, "conversion_id").withColumn(
-        "touchpoint_position", (F.col("user_touch_rank") - F.col("_first_rank") + 1).cast("bigint"))
+        "touchpoint_position",
+        ((F.col("user_touch_rank") - F.col("_first_rank")) * F.col("_copies") + F.col("_copy")).cast("bigint"))
     return _finish(j, audit)

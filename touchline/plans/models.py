@@ -35,7 +35,7 @@ class Models:
 
     def __init__(self, raw: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
                  bucket_days: int = 1, mart_plan: str = "single_pass", journey_plan: str = "ranked",
-                 reuse: str = "checkpoint", mart_summary: str = "struct"):
+                 reuse: str = "checkpoint", mart_summary: str = "markers"):
         if mart_plan not in ("single_pass", "windowed"):
             raise ValueError("mart_plan must be 'single_pass' or 'windowed'")
         self.raw = raw
@@ -46,8 +46,8 @@ class Models:
         if reuse not in ("checkpoint", "none"):
             raise ValueError("reuse must be 'checkpoint' or 'none'")
         self.reuse = reuse
-        if mart_summary not in ("struct", "rank"):
-            raise ValueError("mart_summary must be 'struct' or 'rank'")
+        if mart_summary not in ("markers", "struct"):
+            raise ValueError("mart_summary must be 'markers' or 'struct'")
         self.mart_summary = mart_summary
         self._events = None
 
@@ -96,13 +96,10 @@ class Models:
     def summary(self) -> DataFrame:
         """Per conversion: first / last touch, count, longest distance.
 
-        ``mart_summary="struct"`` (default) aggregates ordered structs over
-        the pairs; it needs no ranking and stays lazy, so Catalyst can drop
-        it from plans that use no touch column.  ``"rank"`` keeps the pairs
-        numeric (min / max rank) and fetches the two touches by (user, rank)
-        from the ranked touchpoints table."""
-        tps = self.ranked_touchpoints if self.mart_summary == "rank" else self.touchpoints
-        return conversion_touch_summary(self.conversions, tps, self.bucket_days)
+        ``mart_summary="markers"`` (default) counts touches at both ends of
+        every journey and forms no pairs; ``"struct"`` aggregates ordered
+        structs over the pairs."""
+        return conversion_touch_summary(self.conversions, self.touchpoints, self.bucket_days, self.mart_summary)
 
     def mart(self, model: str) -> DataFrame:
         if self.mart_plan == "windowed":

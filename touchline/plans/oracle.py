@@ -315,6 +315,14 @@ gap_sessions AS (
 """
 
 
-def q(select: str) -> str:
-    """Wrap a final SELECT with the shared CTE chain."""
-    return "WITH " + BASE.strip() + STREAM + SESSIONS + "\n" + select.strip()
+def q(select: str, flat: str | None = None) -> str:
+    """Wrap a final SELECT with the shared CTE chain.
+
+    ``flat``: what the models read instead of the flat events.
+    """
+    base = BASE.strip()
+    if flat is not None:
+        head, tail = base.split("\nflat AS (", 1)
+        body, rest = tail.split("\n),", 1)
+        base = f"{head}\nflat AS (WITH flat AS ({body}\n) {flat}),{rest}"
+    return "WITH " + base + STREAM + SESSIONS + "\n" + select.strip()

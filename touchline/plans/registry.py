@@ -149,17 +149,44 @@ def q_last(spark, sf_dir):
 
 @register("mart_first_click_rank_summary", q("SELECT * FROM mart_first_click"))
 def q_first_rank(spark, sf_dir):
-    return ntz(models(spark, sf_dir, mart_summary="rank").first_click)
+    """The mart from an aggregate of ordered structs over the pairs."""
+    return ntz(models(spark, sf_dir, mart_summary="struct").first_click)
 
 
 @register("mart_first_click_windowed", q("SELECT * FROM mart_first_click"))
 def q_first_windowed(spark, sf_dir):
-    return ntz(models(spark, sf_dir, mart_plan="windowed").first_click)
+    return ntz(models(spark, sf_dir, mart_plan="windowed", journey_plan="windowed").first_click)
 
 
 @register("mart_last_click_windowed", q("SELECT * FROM mart_last_click"))
 def q_last_windowed(spark, sf_dir):
-    return ntz(models(spark, sf_dir, mart_plan="windowed").last_click)
+    return ntz(models(spark, sf_dir, mart_plan="windowed", journey_plan="windowed").last_click)
+
+
+# Every tenth raw event delivered twice: conversion ids then repeat.
+REPLAYS = "SELECT * FROM flat UNION ALL SELECT * FROM flat WHERE event_timestamp % 10 = 0"
+
+
+def replayed_models(spark: SparkSession, sf_dir: str, **kw) -> Models:
+    m = models(spark, sf_dir, **kw)
+    m.raw = m.raw.unionByName(m.raw.where(F.col("event_timestamp") % 10 == 0))
+    return m
+
+
+@register("journeys_with_replays", q("SELECT * FROM int_user_journeys", flat=REPLAYS))
+def q_journeys_replays(spark, sf_dir):
+    return ntz(replayed_models(spark, sf_dir).journeys)
+
+
+@register("marts_with_replays", q("""
+SELECT * RENAME (first_touch_to_conversion_days AS touch_to_conversion_days) FROM mart_first_click
+UNION ALL BY NAME
+SELECT * RENAME (last_touch_to_conversion_days AS touch_to_conversion_days) FROM mart_last_click""", flat=REPLAYS))
+def q_marts_replays(spark, sf_dir):
+    m = replayed_models(spark, sf_dir)
+    both = [df.withColumnRenamed(f"{x}_touch_to_conversion_days", "touch_to_conversion_days")
+            for x, df in (("first", m.first_click), ("last", m.last_click))]
+    return ntz(both[0].unionByName(both[1]))
 
 
 COMPARISON_COLS = [
