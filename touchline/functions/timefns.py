@@ -24,8 +24,12 @@ def minus_days(ts: Column | str, days: int) -> Column:
 
 
 def yyyymmdd_to_date(s: Column | str) -> Column:
-    """Parse a ``yyyyMMdd`` string; malformed strings become NULL."""
-    return F.try_to_date(_c(s), "yyyyMMdd")
+    """Parse a ``yyyyMMdd`` string.  NULL stays NULL; a malformed string is an
+    error, whatever the session's ANSI setting, so no row loses its date."""
+    text = _c(s)
+    parsed = F.try_to_date(text, "yyyyMMdd")
+    return F.when(text.isNotNull() & parsed.isNull(),
+                  F.raise_error(F.concat(F.lit("not a yyyyMMdd date: "), text)).cast("date")).otherwise(parsed)
 
 
 def as_of_column(as_of) -> Column:

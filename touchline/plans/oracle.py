@@ -37,13 +37,13 @@ raw AS (
   SELECT *,
     strftime(ts, '%Y%m%d') AS event_date,
     event_timestamp // 43200000000 AS ga_session_id,
-    CASE k % 10 WHEN 0 THEN 'google' WHEN 1 THEN 'google' WHEN 2 THEN 'facebook' WHEN 3 THEN '(direct)'
-      WHEN 4 THEN 'email' WHEN 5 THEN 'twitter' WHEN 6 THEN 'partner.example' WHEN 7 THEN 'aff.example'
-      WHEN 8 THEN 'bing' END AS src_source,
-    CASE k % 10 WHEN 0 THEN 'cpc' WHEN 1 THEN 'organic' WHEN 2 THEN 'cpc' WHEN 3 THEN '(none)'
-      WHEN 4 THEN 'email' WHEN 5 THEN 'social' WHEN 6 THEN 'referral' WHEN 7 THEN 'affiliate'
+    CASE k % 10 WHEN 0 THEN 'google shopping' WHEN 1 THEN 'google maps' WHEN 2 THEN 'facebook feed' WHEN 3 THEN '(direct)'
+      WHEN 4 THEN 'weekly letter' WHEN 5 THEN 'instagram' WHEN 6 THEN 'partner.example' WHEN 7 THEN 'aff.example'
+      WHEN 8 THEN 'othersearch' END AS src_source,
+    CASE k % 10 WHEN 0 THEN 'ppc' WHEN 1 THEN 'organic' WHEN 2 THEN 'paid' WHEN 3 THEN '(none)'
+      WHEN 4 THEN 'email' WHEN 5 THEN 'profile' WHEN 6 THEN 'referral' WHEN 7 THEN 'affiliate'
       WHEN 8 THEN 'organic' END AS src_medium,
-    CASE k % 10 WHEN 0 THEN 'spring_sale' WHEN 2 THEN 'retargeting' WHEN 4 THEN 'newsletter' END AS src_campaign
+    CASE k % 10 WHEN 0 THEN 'autumn_range' WHEN 2 THEN 'come_back' WHEN 4 THEN 'digest_12' END AS src_campaign
   FROM src
   WHERE event_timestamp IS NOT NULL AND uid IS NOT NULL
 ),
@@ -61,20 +61,20 @@ flat AS (
     CASE k % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END AS device_category,
     CASE k % 3 WHEN 0 THEN 'iOS' WHEN 1 THEN 'Windows' ELSE 'Android' END AS device_os,
     CASE k % 3 WHEN 0 THEN 'Safari' ELSE 'Chrome' END AS device_browser,
-    CASE uid % 4 WHEN 0 THEN 'US' WHEN 1 THEN 'US' WHEN 2 THEN 'UK' ELSE 'CA' END AS country,
-    CASE uid % 4 WHEN 0 THEN 'California' WHEN 1 THEN 'New York' WHEN 2 THEN 'England' ELSE 'Ontario' END AS region,
-    CASE uid % 4 WHEN 0 THEN 'San Francisco' WHEN 1 THEN 'New York' WHEN 2 THEN 'London' ELSE 'Toronto' END AS city,
+    CASE uid % 4 WHEN 0 THEN 'NO' WHEN 1 THEN 'NO' WHEN 2 THEN 'PT' ELSE 'FI' END AS country,
+    CASE uid % 4 WHEN 0 THEN 'Vestland' WHEN 1 THEN 'Agder' WHEN 2 THEN 'Norte' ELSE 'Uusimaa' END AS region,
+    CASE uid % 4 WHEN 0 THEN 'Bergen' WHEN 1 THEN 'Arendal' WHEN 2 THEN 'Braga' ELSE 'Espoo' END AS city,
     CASE WHEN event_name = 'purchase' THEN 'T' || CAST(src_id AS VARCHAR) END AS transaction_id,
     CASE WHEN event_name = 'purchase' THEN val END AS purchase_revenue,
     CASE WHEN event_name = 'purchase' THEN 1 + k % 3 END AS total_item_quantity,
-    'https://example.com/' || event_name AS page_location,
+    'https://shop.example/' || event_name AS page_location,
     CAST(NULL AS VARCHAR) AS page_title,
     1000 + 100 * k AS engagement_time_msec,
     CASE WHEN k % 2 = 0 THEN '1' ELSE '0' END AS session_engaged,
     CASE WHEN event_name = 'begin_checkout' THEN CAST(floor(val) AS BIGINT) END AS event_value_param,
     coalesce(CASE WHEN event_name = 'purchase' THEN val END,
              CAST(CASE WHEN event_name = 'begin_checkout' THEN CAST(floor(val) AS BIGINT) END AS DOUBLE)) AS event_value,
-    'WEB' AS platform, 'web_stream_001' AS stream_id
+    'WEB' AS platform, 'adapter-web' AS stream_id
   FROM raw
 ),
 stg_events AS (

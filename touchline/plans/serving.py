@@ -145,9 +145,12 @@ def stream_health(stream: DataFrame, as_of=None, hours: int = 1) -> DataFrame:
 
 
 def approx_unique_users(events: DataFrame, rsd: float = 0.05) -> DataFrame:
-    """HyperLogLog distinct users (bounded-error alternative to exact)."""
-    return events.agg(F.approx_count_distinct("user_pseudo_id", rsd).alias("approx_unique_users"),
+    """The exact number of users, and whether the HyperLogLog estimate is
+    within three of its standard errors of it."""
+    both = events.agg(F.approx_count_distinct("user_pseudo_id", rsd).alias("approx"),
                       F.countDistinct("user_pseudo_id").alias("exact_unique_users"))
+    near = F.abs(F.col("approx") - F.col("exact_unique_users")) <= 3 * rsd * F.col("exact_unique_users")
+    return both.select("exact_unique_users", near.alias("estimate_within_bound"))
 
 
 def ingest_latency(stream: DataFrame) -> DataFrame:

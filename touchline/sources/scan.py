@@ -21,18 +21,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores
-    (a single-row-group file).  Large inputs already have more splits than
-    cores and pass through without a shuffle."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw nested events derived from the driver ``events`` table.
 
@@ -40,14 +28,14 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone is pinned to UTC before they are converted."""
     from touchline.session import ensure_utc
     ensure_utc(spark)
-    return raw_events_from_driver(spread(read_table(spark, sf_dir, "events")))
+    return raw_events_from_driver(read_table(spark, sf_dir, "events"))
 
 
 def read_sharded_events(spark: SparkSession, path: str, lo: str | None = None,
                         hi: str | None = None) -> DataFrame:
     """Raw events stored as a Parquet dataset partitioned by ``event_date``
     (``yyyyMMdd`` shards).  The shard range becomes a partition filter, so
-    files outside it are never listed or opened."""
+    files outside it are not opened (their folders are still listed)."""
     df = (spark.read.schema(RAW_EVENT_SCHEMA)
           .option("basePath", path)
           .option("mergeSchema", "false")

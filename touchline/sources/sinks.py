@@ -16,33 +16,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def _clustered(df: DataFrame, partition_col: str, cluster_by: tuple[str, ...]) -> DataFrame:
-    df = df.repartition(partition_col)
+    # Rebalancing gives small dates one file and splits large ones (also a
+    # date that has most rows) at the advisory partition size.
+    df = df.hint("rebalance", partition_col)
     return df.sortWithinPartitions(*cluster_by) if cluster_by else df
 
 
 def ensure_event_table(spark: SparkSession, path: str, schema: T.StructType,
                        partition_col: str = "event_date") -> bool:
     """Create an empty table partitioned by ``partition_col`` if absent.
-    Returns True when it was created."""
-    if _exists(spark, path):
+    Returns True when it was created.  Parquet has no file to hold the schema
+    of an empty partitioned table: read it with :func:`read_event_table`."""
+    if table_exists(spark, path):
         return False
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy(partition_col).parquet(path)
     return True
 
 
+def read_event_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path`` by its known schema; one without rows is empty."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: tuple[str, ...],
                     mode: str = "append") -> None:
     """Write partitioned by ``partition_col`` with rows sorted by
     ``cluster_by`` inside each file, so Parquet min/max statistics prune
-    reads on those columns.  Rows are shuffled by the partition value, so
-    each date is written by few tasks (few, large files)."""
+    reads on those columns.  Rows of a date meet in tasks of about the
+    advisory partition size, so files are few and no task gets a whole hot date."""
     _clustered(df, partition_col, cluster_by).write.mode(mode).partitionBy(partition_col).parquet(path)
 
 
