@@ -342,9 +342,10 @@ def without_repeated_lines(docs: DataFrame, most_edits: int = MOST_EDITS, least_
             .agg(F.sort_array(F.collect_set("line_no")).alias("gone")))
     joined = docs.select(F.struct("*").alias("whole"), *_doc_key()).join(gone, ["doc_key", "text_key"], "left")
     text = F.col("whole.text").cast("string")
-    lines = F.split(text, "\n", -1)
-    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    rest = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n")
+    # The lines are bound to a name, or they'd be split again for each of them.
+    kept = F.transform(F.array(F.split(text, "\n", -1)), lambda lines: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i)))
+    rest = F.array_join(kept[0], "\n")
     return joined.select("whole", F.when(F.col("gone").isNull(), text).otherwise(rest).alias("rest"),
                          F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("n_removed"))
 
