@@ -27,8 +27,10 @@ from touchline.operators.quality import (
 from touchline.operators.sessionize import (
     gap_sessions, sessionize_by_gap, sessions_by_window, top_conversion_per_session,
 )
-from touchline.sources.scan import raw_events
-from touchline.sources.sinks import read_event_table
+from touchline.sources.scan import raw_events, read_sharded_events
+from touchline.sources.sinks import (
+    apply_retention, export_partition, read_event_table, restore_partition, write_clustered, write_incremental, write_mart,
+)
 from touchline.streaming.ingest import (
     STREAM_EVENT_SCHEMA, first_arrivals, ingest, new_scratch, stream_rows_from_raw, with_resends, write_json_lines,
 )
@@ -476,6 +478,70 @@ def q_approx_users(spark, sf_dir):
     return serving.approx_unique_users(models(spark, sf_dir).events)
 
 
+# ---------------------------------------------------------------- written tables, read back
+@register("events_in_shard_range", q("""
+SELECT event_date, count(*) AS events FROM raw
+WHERE event_date BETWEEN '20240105' AND '20240120' GROUP BY event_date"""))
+def q_shard_range(spark, sf_dir):
+    """Raw events stored by date, read by a shard range."""
+    path = new_scratch(spark, "shards")
+    raw = raw_events(spark, sf_dir).where("user_pseudo_id IS NOT NULL AND event_timestamp IS NOT NULL")
+    write_clustered(raw, path, "event_date", ("event_timestamp",), mode="overwrite")
+    shards = read_sharded_events(spark, path, "20240105", "20240120")
+    return shards.groupBy("event_date").agg(F.count(F.lit(1)).alias("events"))
+
+
+@register("mart_written_and_restored", q("SELECT * FROM mart_first_click"))
+def q_mart_restored(spark, sf_dir):
+    """The written mart after its last date was exported, overwritten with
+    other values, and restored."""
+    path = new_scratch(spark, "mart")
+    write_mart(models(spark, sf_dir).first_click, path)
+    stored = spark.read.parquet(path)
+    day = stored.agg(F.max("conversion_date")).first()[0]
+    export = export_partition(spark, path, day, f"{path}-export")
+    # What replaces the date comes from the export, not from the table it goes to.
+    spoilt = spark.read.parquet(export).withColumns({"conversion_value": F.lit(-1.0), "conversion_date": F.lit(day)})
+    write_incremental(spoilt.select(*stored.columns), path, "conversion_date")
+    restore_partition(spark, export, path, day)
+    return ntz(spark.read.parquet(path))
+
+
+@register("events_retained", q(f"""
+SELECT event_id, event_date FROM stream_sink
+WHERE CAST(ingestion_timestamp AS DATE) >= CAST(TIMESTAMP '{STREAM_AS_OF}' AS DATE) - 7"""))
+def q_retained(spark, sf_dir):
+    """What retention keeps of the stored stream events."""
+    path = new_scratch(spark, "stream-events")
+    write_clustered(first_arrivals(with_resends(_stream_rows(spark, sf_dir))), path, "event_date", ("event_name", "user_pseudo_id"))
+    return apply_retention(spark, path, f"{path}-kept", days=7, as_of=STREAM_AS_OF[:10]).select("event_id", "event_date")
+
+
+@register("dead_letters", q("""
+SELECT 'malformed_json' AS reason, count(*) AS lines FROM stream_rows WHERE event_timestamp % 20 = 0
+UNION ALL
+SELECT 'missing_required_field', count(*) FROM stream_rows WHERE event_timestamp % 20 = 1"""))
+def q_dead_letters(spark, sf_dir):
+    """Lines that the ingest set aside; a part of the feed comes as broken lines, all alike."""
+    base = new_scratch(spark, "dead-letters")
+    feed = _stream_rows(spark, sf_dir)
+    src = write_json_lines(feed, f"{base}/incoming")
+    broken = feed.where("event_timestamp % 20 = 0").select(F.lit("{broken").alias("value"))
+    lacking = feed.where("event_timestamp % 20 = 1").select(F.to_json(F.struct("event_id")).alias("value"))
+    broken.union(lacking).write.mode("append").text(src)
+    ingest(spark, src, f"{base}/sink", f"{base}/checkpoint", f"{base}/bad")
+    reasons = spark.createDataFrame([("malformed_json",), ("missing_required_field",)], "reason string")
+    counts = spark.read.schema("raw_line string, reason string, batch_id long").parquet(f"{base}/bad").groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+    return reasons.join(counts, "reason", "left").select("reason", F.coalesce("lines", F.lit(0)).cast("long").alias("lines"))
+
+
+@register("events_deduplicated", q("SELECT * FROM stg_events"))
+def q_deduplicated(spark, sf_dir):
+    """Staged events of a feed with repeats, each event once."""
+    cfg = AttributionConfig(as_of=RUN_AS_OF, dedup_events=True)
+    return ntz(replayed_models(spark, sf_dir, cfg=cfg).events)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
