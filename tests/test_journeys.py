@@ -174,3 +174,24 @@ def test_plans_agree_and_invariants(spark):
     one = Models(raw_events(spark, "/root/testdata/sf0.001"), CFG, bucket_days=1).journeys
     wide = Models(raw_events(spark, "/root/testdata/sf0.001"), CFG, bucket_days=400).journeys
     assert one.exceptAll(wide).count() == 0 and wide.exceptAll(one).count() == 0
+
+
+def test_replayed_conversions_have_one_attributed_row(spark):
+    rows = [
+        ev("u", "page_view", "2024-03-01 09:00:00", source="google", medium="organic", session=1),
+        ev("u", "page_view", "2024-03-03 09:00:00", source="facebook", medium="cpc", session=2),
+        ev("u", "purchase", "2024-03-05 09:00:00", source="email", medium="email", revenue=10.0, session=3),
+        ev("u", "purchase", "2024-03-05 09:00:00", source="email", medium="email", revenue=10.0, session=3),
+    ]
+    raw = raw_df(spark, rows)
+    for kw in ({}, {"mart_summary": "struct"}, {"mart_plan": "windowed", "journey_plan": "windowed"}, {"mart_plan": "windowed"}):
+        m = Models(raw, CFG, **kw)
+        positions = sorted((r.touchpoint_position, r.is_first_touchpoint, r.is_last_touchpoint, r.total_touchpoints) for r in m.journeys.collect())
+        n = len(positions)
+        assert [p[0] for p in positions] == list(range(1, n + 1)) and {p[3] for p in positions} == {n}
+        assert [p[1] for p in positions] == [True] + [False] * (n - 1) and [p[2] for p in positions] == [False] * (n - 1) + [True]
+        first, last = m.first_click.collect(), m.last_click.collect()
+        assert len(first) == len(last) == 1
+        assert first[0].attributed_channel == "Organic Search" and first[0].total_touchpoints == n
+        comparison = m.comparison.collect()
+        assert sum(r.first_click_revenue for r in comparison) == sum(r.last_click_revenue for r in comparison) == 10.0

@@ -69,3 +69,42 @@ def test_materialize_writes_under_checkpoint_dir(spark):
     paths = df.inputFiles()
     assert paths and all(base in p for p in paths)
     assert df.count() == 5
+
+
+def test_a_shared_checkpoint_folder_is_required_off_local_mode():
+    import pytest
+
+    from touchline.session import checkpoint_dir
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(Conf)
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session)
+
+
+def test_a_projection_of_events_moves_no_rows(spark):
+    from touchline.plans import registry
+    plan = registry.QUERIES["stg_ga4_events"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_malformed_dates_raise(spark):
+    import pytest
+
+    from touchline.functions.timefns import yyyymmdd_to_date
+    df = spark.createDataFrame([("20240131",), (None,)], "d string").select(yyyymmdd_to_date("d").alias("d"))
+    assert [str(r.d) for r in df.collect()] == ["2024-01-31", "None"]
+    bad = spark.createDataFrame([("2024-1-3",)], "d string").select(yyyymmdd_to_date("d"))
+    with pytest.raises(Exception, match="not a yyyyMMdd date"):
+        bad.collect()

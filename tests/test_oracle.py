@@ -24,7 +24,7 @@ def con():
 
 def test_entry(spark):
     df = entry_mod.entry(spark)
-    assert df.count() >= 0 and "channel" in df.columns
+    assert df.count() > 0 and "channel" in df.columns
 
 
 @pytest.mark.parametrize("name", sorted(entry_mod.queries()))
@@ -33,7 +33,8 @@ def test_query_matches_oracle(spark, con, name):
     rows = [tuple(r) for r in df.collect()]
     sql = entry_mod.oracle_sql().get(name)
     if sql is None:
-        assert rows is not None
+        # These are compared with brute force in tests/llm.
+        assert rows and (name == "pipeline" or name.startswith("op"))
         return
     res = con.sql(sql)
     drows, dcols = res.fetchall(), res.columns

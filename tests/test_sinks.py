@@ -23,8 +23,12 @@ def test_sharded_scan_prunes_partitions(spark, scratch):
     path = os.path.join(scratch, "raw")
     write_clustered(raw, path, "event_date", ("event_name", "user_pseudo_id"), mode="overwrite")
     df = read_sharded_events(spark, path, "20240105", "20240110")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan or "event_date" in plan
+    # Files of dates out of the range aren't opened: one of them may be damaged.
+    out = os.path.join(path, "event_date=20240120")
+    for f in os.listdir(out):
+        os.remove(os.path.join(out, f))
+    with open(os.path.join(out, "part-0.parquet"), "wb") as f:
+        f.write(b"damaged")
     assert df.count() == raw.where(F.col("event_date").between("20240105", "20240110")).count()
     assert Models(df, CFG).events.count() == df.count()
 
@@ -95,3 +99,23 @@ def test_stream_ingest_with_refresh_handles_late_events(spark, scratch):
         inc = spark.read.parquet(os.path.join(marts, name)).select(*getattr(full, name).columns)
         ref = getattr(full, name)
         assert inc.exceptAll(ref).count() == 0 and ref.exceptAll(inc).count() == 0
+
+
+def test_one_hot_date_is_written_by_many_tasks(spark, scratch):
+    path = os.path.join(scratch, "hot")
+    df = spark.range(400_000).select(F.lit("2024-01-01").cast("date").alias("event_date"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        write_clustered(df.repartition(8), path, "event_date", ("x",))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    out = spark.read.parquet(path)
+    assert len(out.inputFiles()) > 1 and out.count() == 400_000
+
+
+def test_created_table_is_readable_before_the_first_row(spark, scratch):
+    from touchline.sources.sinks import read_event_table
+    path = os.path.join(scratch, "fresh")
+    assert ensure_event_table(spark, path, STREAM_EVENT_SCHEMA)
+    assert read_event_table(spark, path, STREAM_EVENT_SCHEMA).count() == 0

@@ -25,15 +25,16 @@ def test_replay_and_late_resend_and_dead_letters(spark, scratch):
     # H-20: the same 10 resent 30 minutes later (past the 1-minute window) -> still 10
     write_json_lines(ten.withColumn("ingestion_timestamp", F.col("ingestion_timestamp") + F.expr("INTERVAL 30 MINUTES")), src)
     # H-22: malformed line and a line without required fields -> dead letters
-    spark.createDataFrame([("{oops",), ('{"event_id": "only-id"}',)], "value string").write.mode("append").text(src)
+    # (two equal bad lines are two bad lines)
+    spark.createDataFrame([("{oops",), ("{oops",), ('{"event_id": "only-id"}',)], "value string").write.mode("append").text(src)
     r2 = ingest(spark, src, sink, ck, dl)
-    assert r2.success and r2.rows_inserted == 0 and r2.dead_letters == 2
+    assert r2.success and r2.rows_inserted == 0 and r2.dead_letters == 3
     stored = spark.read.parquet(sink)
     assert stored.count() == 10
     assert stored.groupBy("event_id").count().where("count > 1").count() == 0
     assert verify_deduplication(spark, sink, ten.first().event_id)
     reasons = sorted(r.reason for r in spark.read.parquet(dl).collect())
-    assert reasons == ["malformed_json", "missing_required_field"]
+    assert reasons == ["malformed_json", "malformed_json", "missing_required_field"]
 
 
 def test_late_events_with_new_ids_are_kept(spark, scratch):
@@ -79,3 +80,28 @@ def test_stream_gap_sessions_match_batch(spark, scratch):
     # emitted must be a batch session
     assert got.count() > 0
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_the_batch_reads_only_its_dates_of_the_sink_and_damage_is_an_error(spark, scratch):
+    import pytest
+
+    from touchline.streaming.ingest import append_new_events
+    rows = first_arrivals(stream_rows_from_raw(raw_events(spark, "/root/testdata/sf0.001"))).persist()
+    sink = os.path.join(scratch, "sink")
+    assert append_new_events(rows, sink) == rows.count()
+    day = rows.agg(F.max("event_date")).first()[0]
+    # Another event with the id of a stored one is not a repeat of it.
+    one = rows.where(F.col("event_date") == F.lit(day)).limit(1)
+    other = one.withColumn("user_pseudo_id", F.lit("someone else"))
+    assert append_new_events(one.unionByName(other), sink) == 1
+    # A date that the batch does not have may be unreadable; one that it has may not.
+    broken = next(d for d in sorted(os.listdir(sink)) if d.startswith("event_date=") and d != f"event_date={day}")
+    for f in os.listdir(os.path.join(sink, broken)):
+        if f.startswith("part-"):
+            with open(os.path.join(sink, broken, f), "wb") as out:
+                out.write(b"damaged")
+    for f in [x for x in os.listdir(os.path.join(sink, broken)) if x.startswith(".part-")]:
+        os.remove(os.path.join(sink, broken, f))
+    assert append_new_events(one, sink) == 0
+    with pytest.raises(Exception):
+        append_new_events(rows.where(F.col("event_date") == F.lit(broken.split("=")[1]).cast("date")), sink)
