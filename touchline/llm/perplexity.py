@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from touchline.llm.common import input_table, materialize, slices, table
 
 ORDER = 4
-HASH_BITS = 22
+HASH_BITS = 21
 #: Band edges: so many interquartile ranges (at least LEAST_RANGE each) beyond the quartiles.
 BAND = 6.0
 LEAST_RANGE = 0.1
@@ -225,16 +225,16 @@ class Model:
                 rows = batch.to_pandas()
                 for (kind, n, lang), part in rows.groupby(["kind", "n", "lang"]):
                     h = entry_hash(lang, kind, int(n), part["gram"].to_numpy().view(np.uint64))
-                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(h)), pa.array(np.full(len(h), n, np.int32)), pa.array(h.astype(np.int32)), pa.array(part["value"].to_numpy(np.float64)), pa.array(part["c"].to_numpy())], names=["kind", "n", "h", "value", "c"])
+                    slot = np.full(len(h), n if kind == "p" else -n, np.int8)
+                    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(h.astype(np.int32)), pa.array(part["value"].to_numpy(np.float64)), pa.array(part["c"].to_numpy())], names=["slot", "h", "value", "c"])
 
-        best = (entries.mapInArrow(hashed, "kind string, n int, h int, value double, c long")
-                .groupBy("kind", "n", "h").agg(F.max(F.struct("c", "value")).alias("best")))
-        found = best.select("kind", "n", "h", F.col("best.value").cast("float").alias("value")).toArrow()
-        kind, n = np.asarray(found["kind"].to_numpy(zero_copy_only=False)), found["n"].to_numpy()
-        h, value = found["h"].to_numpy(), found["value"].to_numpy()
+        best = (entries.mapInArrow(hashed, "slot tinyint, h int, value double, c long")
+                .groupBy("slot", "h").agg(F.max(F.struct("c", "value")).alias("best")))
+        found = best.select("slot", "h", F.col("best.value").cast("float").alias("value")).toArrow()
+        slot, h, value = (found[x].to_numpy() for x in ("slot", "h", "value"))
         arrays = {}
         for key in [(k, i) for k in "pb" for i in range(1, ORDER + 1)]:
-            at = np.flatnonzero((kind == key[0]) & (n == key[1]))
+            at = np.flatnonzero(slot == (key[1] if key[0] == "p" else -key[1]))
             at = at[np.argsort(h[at])]
             arrays[key] = h[at].astype(np.uint32), value[at]
         return cls(arrays)
