@@ -3,14 +3,17 @@
 The model is over characters: orders 1 to ``ORDER`` of a text whose white space is one
 space between words.  Word n-grams of a corpus are nearly all different, so their counts don't
 fit in any task; character n-grams are few and repeat in every task.  Each task counts the
-n-grams of all its texts and Spark sums the counts, by language.  An n-gram is a hash of
-``HASH_BITS`` bits, so a model has at most 2 ** HASH_BITS entries of each order, whatever
-the corpus, and may be broadcast.
+n-grams of all its texts and Spark sums the counts, by language.  In the model an n-gram
+is a hash of 32 bits, and of those that agree in the first ``HASH_BITS`` the most frequent
+is kept (the others back off), so a model has at most 2 ** HASH_BITS entries of each
+order, whatever the corpus, and may be broadcast.
 
 Modified Kneser-Ney: three discounts for each order (from the counts of counts),
 lower orders counted by the number of different characters before them, all orders
 interpolated.  The result is kept as arrays sorted by hash: the logarithm of the
-probability of each n-gram and the back-off weight of each context.
+probability of each n-gram and the back-off weight of each context.  N-grams of two and
+more characters that were met once only are not looked up: a document is part of
+the corpus, and would otherwise find its own oddities well known.
 
 Bands: for each language the quartiles of all documents' log perplexity, found from a
 histogram of fixed steps; documents beyond either band are rejected.
@@ -202,13 +205,13 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
 
 
 def entry_hash(lang: str, kind: str, n: int, gram: np.ndarray) -> np.ndarray:
-    """The hash of HASH_BITS bits under which the model has an n-gram or a context."""
+    """The 32-bit hash under which the model has an n-gram or a context."""
     from xxhash import xxh64_intdigest
 
     seed = np.uint64(xxh64_intdigest(f"{kind}{n}{lang}"))
     x = (gram ^ seed) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (x >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
+    return (x >> np.uint64(32)).astype(np.uint32)
 
 
 class Model:
@@ -219,18 +222,19 @@ class Model:
 
     @classmethod
     def gathered(cls, entries: DataFrame) -> Model:
-        """From kneser_ney(): hashed in the tasks; of entries with one hash the most frequent is kept."""
+        """From kneser_ney(): hashed in the tasks; one entry for each value of the first HASH_BITS bits."""
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 rows = batch.to_pandas()
                 for (kind, n, lang), part in rows.groupby(["kind", "n", "lang"]):
                     h = entry_hash(lang, kind, int(n), part["gram"].to_numpy().view(np.uint64))
                     slot = np.full(len(h), n if kind == "p" else -n, np.int8)
-                    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(h.astype(np.int32)), pa.array(part["value"].to_numpy(np.float64)), pa.array(part["c"].to_numpy())], names=["slot", "h", "value", "c"])
+                    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(h.astype(np.int64)), pa.array(part["value"].to_numpy(np.float64)), pa.array(part["c"].to_numpy())], names=["slot", "h", "value", "c"])
 
-        best = (entries.mapInArrow(hashed, "slot tinyint, h int, value double, c long")
-                .groupBy("slot", "h").agg(F.max(F.struct("c", "value")).alias("best")))
-        found = best.select("slot", "h", F.col("best.value").cast("float").alias("value")).toArrow()
+        looked_up = entries.filter("kind = 'b' OR n = 1 OR c > 1")
+        best = (looked_up.mapInArrow(hashed, "slot tinyint, h long, value double, c long")
+                .groupBy("slot", F.shiftright("h", 32 - HASH_BITS).alias("first")).agg(F.max(F.struct("c", "h", "value")).alias("best")))
+        found = best.select("slot", F.col("best.h").alias("h"), F.col("best.value").cast("float").alias("value")).toArrow()
         slot, h, value = (found[x].to_numpy() for x in ("slot", "h", "value"))
         arrays = {}
         for key in [(k, i) for k in "pb" for i in range(1, ORDER + 1)]:
