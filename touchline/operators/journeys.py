@@ -141,13 +141,21 @@ COPY_ORDER = tuple(c for c in CONVERSION_SIDE if c != "conversion_id")
 
 def number_copies(conversions: DataFrame) -> DataFrame:
     """Add ``_copy`` (1-based) and ``_copies``: a conversion id may come more
-    than once, and its journey then holds every touch once per copy."""
-    same = Window.partitionBy("conversion_id")
-    order = [F.col(c).asc_nulls_first() for c in COPY_ORDER]
-    return conversions.withColumns({
-        "_copy": F.row_number().over(same.orderBy(*order)).cast("bigint"),
-        "_copies": F.count(F.lit(1)).over(same),
-    })
+    than once, and its journey then holds every touch once per copy.
+
+    Equal rows are counted first (combined map-side), so only the different
+    rows of one id meet, and each is then repeated as often as it came."""
+    columns = conversions.columns
+    ordered = [*COPY_ORDER, *[c for c in columns if c not in COPY_ORDER and c != "conversion_id"]]
+    counted = conversions.groupBy(*columns).agg(F.count(F.lit(1)).alias("_m"))
+    variants = counted.groupBy("conversion_id").agg(
+        F.sort_array(F.collect_list(F.struct(*ordered, "_m"))).alias("_v"), F.sum("_m").alias("_copies"))
+    each = variants.select("conversion_id", "_copies", F.posexplode("_v").alias("_at", "_row"), "_v")
+    before = F.aggregate(F.slice("_v", F.lit(1), F.col("_at")), F.lit(0).cast("bigint"), lambda n, x: n + x["_m"])
+    rows = each.select("conversion_id", "_row", "_copies", before.alias("_before"))
+    rows = rows.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_row._m"))))
+    return rows.select(*[F.col(c) if c == "conversion_id" else F.col(f"_row.{c}").alias(c) for c in columns],
+                       (F.col("_before") + F.col("_nth")).alias("_copy"), "_copies")
 
 
 def _finish(j: DataFrame, audit: bool) -> DataFrame:
