@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import ODD, docs, prose
-from touchline.llm.perplexity import Model, count_grams, _rows, kneser_ney, op4_perplexity_rules, quality_rules, train as train_model
+from touchline.llm.perplexity import Model, bands, count_grams, _rows, kneser_ney, op4_perplexity_rules, quality_rules, train as train_model
 from touchline.llm.weak_quality import estimate, keep_good, op6_weak_label_quality, patterns, quality_scores, votes
 
 
@@ -72,6 +72,23 @@ def test_rules(spark):
     assert quality_rules(docs(spark, [])).collect() == []
 
 
+def test_bands_follow_the_spread(spark):
+    # Quartiles 1.5 and 1.53: what is 0.2 away is far outside.
+    scores = [("en", 1.47 + 0.0006 * i) for i in range(151)] + [("en", 1.75), ("en", 1.3), ("de", 2.0), ("fr", None)]
+    got = {r.lang: r for r in bands(spark.createDataFrame(scores, "lang string, log_perplexity double")).collect()}
+    assert set(got) == {"en", "de"}
+    assert 1.3 < got["en"].low < 1.47 and 1.56 < got["en"].high < 1.75
+    assert got["de"].low < 2.0 < got["de"].high < 2.02
+
+
+def test_bands_reject_bad_documents_that_pass_the_base_rules(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    rows = op4_perplexity_rules(spark, sf).filter("NOT base_failed").join(labels, "doc_id").collect()
+    kept = {q: np.mean([r.kept for r in rows if r.quality == q]) for q in (0, 1)}
+    assert kept[0] < 0.9 and kept[1] > 0.93
+
+
 def test_query_has_all_rows(spark):
     assert op4_perplexity_rules(spark, "/root/testdata/sf0.001").count() == 200
 

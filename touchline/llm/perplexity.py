@@ -33,9 +33,9 @@ from touchline.llm.common import input_table, materialize, slices, table
 
 ORDER = 4
 HASH_BITS = 21
-#: Band edges: so many interquartile ranges (at least LEAST_RANGE each) beyond the quartiles.
-BAND = 6.0
-LEAST_RANGE = 0.1
+#: Band edges: so many interquartile ranges beyond the quartiles, 3.4 deviations of a normal distribution.
+BAND = 2.0
+#: Width of the histogram's steps; a range is one step at least.
 STEP = 0.005
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -314,7 +314,7 @@ def bands(scores: DataFrame, band: float = BAND) -> DataFrame:
     share = steps.select("lang", "step", (F.sum("n").over(by.orderBy("step")) / F.sum("n").over(by)).alias("upto"))
     quarter = lambda q: F.min(F.when(F.col("upto") >= q, F.col("step"))) * STEP
     found = share.groupBy("lang").agg(quarter(0.25).alias("q1"), quarter(0.75).alias("q3"))
-    reach = band * F.greatest(F.col("q3") - F.col("q1"), F.lit(LEAST_RANGE))
+    reach = band * (F.col("q3") + STEP - F.col("q1"))
     return found.select("lang", (F.col("q1") - reach).alias("low"), (F.col("q3") + STEP + reach).alias("high"))
 
 
