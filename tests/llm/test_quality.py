@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import ODD, docs, prose
-from touchline.llm.perplexity import Model, bands, count_grams, _rows, kneser_ney, op4_perplexity_rules, quality_rules, train as train_model
+from touchline.llm.perplexity import Model, bands, count_grams, grams, _rows, kneser_ney, measured, op4_perplexity_rules, quality_rules, train as train_model
 from touchline.llm.weak_quality import estimate, keep_good, op6_weak_label_quality, patterns, quality_scores, votes
 
 
@@ -56,6 +56,29 @@ def test_arrays_are_sorted(spark):
         assert (np.diff(hashes.astype(np.int64)) > 0).all() and len(hashes) == len(values)
 
 
+def test_no_counted_gram_is_lost(spark):
+    # Tens of thousands of n-grams: of a hashed model with fewer slots some would be missing.
+    r = np.random.default_rng(6)
+    texts = [(i, "".join(map(chr, 0x4E00 + r.zipf(1.2, 400) % 900)), "zh") for i in range(60)] + [(100 + i, prose(i, 150), "en") for i in range(20)]
+    texts += [(200, "", "zh"), (201, None, None), (202, texts[0][1], "zh")]
+    df = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    entries = kneser_ney(count_grams(_rows(df))).collect()
+    p = {(x.lang, x.n, x.gram): (x.c, x.value) for x in entries if x.kind == "p"}
+    b = {(x.lang, x.n, x.gram): x.value for x in entries if x.kind == "b"}
+
+    def looked_up(lang, n, gram):
+        gram &= (1 << 16 * n) - 1
+        c, value = p[lang, n, gram] if (lang, n, gram) in p else p[lang, n, gram - (1 << 64)]
+        return value if n == 1 or c > 1 else b[lang, n, gram >> 16] + looked_up(lang, n - 1, gram)
+
+    got = {x.doc_id: x.log_perplexity for x in measured(df, chunk_bytes=20_000).collect()}
+    assert len(got) == len(texts) and got[200] is None and got[201] is None
+    for d, text, lang in texts:
+        if text:
+            logs = [looked_up(lang, 4, int(g)) for g in grams(pa.array([text]))[0]]
+            assert got[d] == pytest.approx(-np.mean(logs), rel=1e-9)
+
+
 def test_rules(spark):
     good = [(i, prose(i, 120)) for i in range(40)]
     noise = "".join(chr(x) for x in np.random.default_rng(1).integers(33, 123, 900))

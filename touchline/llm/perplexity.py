@@ -2,18 +2,18 @@
 
 The model is over characters: orders 1 to ``ORDER`` of a text whose white space is one
 space between words.  Word n-grams of a corpus are nearly all different, so their counts don't
-fit in any task; character n-grams are few and repeat in every task.  Each task counts the
-n-grams of all its texts and Spark sums the counts, by language.  In the model an n-gram
-is a hash of 32 bits, and of those that agree in the first ``HASH_BITS`` the most frequent
-is kept (the others back off), so a model has at most 2 ** HASH_BITS entries of each
-order, whatever the corpus, and may be broadcast.
+fit in any task; character n-grams are few and repeat in every task.  Documents are dealt
+to chunks of about ``CHUNK_BYTES`` by hash; each chunk's different n-grams are counted
+and Spark sums the counts, by language.
 
 Modified Kneser-Ney: three discounts for each order (from the counts of counts),
 lower orders counted by the number of different characters before them, all orders
-interpolated.  The result is kept as arrays sorted by hash: the logarithm of the
-probability of each n-gram and the back-off weight of each context.  N-grams of two and
-more characters that were met once only are not looked up: a document is part of
-the corpus, and would otherwise find its own oddities well known.
+interpolated.  N-grams of two and more characters that were met once only are not looked
+up but back off: a document is part of the corpus, and would otherwise find its own
+oddities well known.  Every ORDER-gram of the corpus has a row with the logarithm of
+what it is looked up as.  These rows are joined to the chunks' different n-grams and go
+to the chunks' documents, so a task holds one chunk's n-grams, all counted n-grams
+are kept, and nothing of the model is gathered in the driver or broadcast.
 
 Bands: for each language the quartiles of all documents' log perplexity, found from a
 histogram of fixed steps; documents beyond either band are rejected.
@@ -26,13 +26,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.common import input_table, materialize, slices, table
 
 ORDER = 4
-HASH_BITS = 21
+#: Text bytes of the documents that are scored with the n-grams of one chunk.
+CHUNK_BYTES = 8 << 20
 #: Band edges: so many interquartile ranges beyond the quartiles, 3.4 deviations of a normal distribution.
 BAND = 2.0
 #: Width of the histogram's steps; a range is one step at least.
@@ -159,12 +160,63 @@ def count_grams(docs: DataFrame, held_most: int = 500_000) -> DataFrame:
     return docs.mapInArrow(tally, "lang string, gram long, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
-def kneser_ney(counts: DataFrame) -> DataFrame:
-    """kind (p: probability, b: back-off weight), n, lang, gram, value (its logarithm), c.
+def chunk_grams(docs: DataFrame) -> DataFrame:
+    """chunk, lang, gram, c: how often each ORDER-gram is in a chunk's texts, in one or more rows.
 
-    All orders of the modified Kneser-Ney model of each language.  A row of kind p is an n-gram; one of kind b the
-    context of n - 1 characters.
+    docs: chunk, text, lang (not null).
     """
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Chunks come one after another; the held sums are of one.
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        chunk = None
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                gram, c = _summed(parts)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), chunk)), pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(c)],
+                                                 names=["chunk", "lang", "gram", "c"])
+            held.clear()
+
+        for run in _runs(batches, "chunk"):
+            if run.column("chunk")[0].as_py() != chunk:
+                yield from out()
+                chunk = run.column("chunk")[0].as_py()
+            for part in slices([run], "text"):
+                for lang, _, texts in _by_language(part):
+                    gram, c = np.unique(grams(texts)[0], return_counts=True)
+                    held[lang] = [_summed([*held.get(lang, []), (gram, c.astype(np.int64))])]
+        yield from out()
+
+    placed = docs.select("chunk", "text", "lang").repartition("chunk").sortWithinPartitions("chunk")
+    return placed.mapInArrow(tally, "chunk long, lang string, gram long, c long")
+
+
+def _runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[pa.RecordBatch]:
+    """The batches cut where one of the columns (whole numbers) changes."""
+    for batch in batches:
+        if batch.num_rows:
+            new = np.zeros(batch.num_rows, dtype=bool)
+            for name in columns:
+                x = batch.column(name).to_numpy(zero_copy_only=False)
+                new[1:] |= x[1:] != x[:-1]
+            starts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            for a, z in zip(starts, starts[1:]):
+                yield batch.slice(a, z - a)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The different n-grams of all parts, sorted, and the sums of their counts."""
+    if len(parts) == 1:
+        return parts[0]
+    gram, c = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(gram, kind="stable")
+    gram, c = gram[order], c[order]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(gram)), bool), gram[1:] != gram[:-1]]))
+    return gram[starts], np.add.reduceat(c, starts) if len(gram) else c
+
+
+def _orders(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """For each order: lang, gram, c, p, seen (what the n-gram is looked up as); and lang, context, total, saved."""
     mask = lambda n: F.col("gram").bitwiseAND(F.lit(-1 if n == 4 else (1 << (16 * n)) - 1))
     tables = {ORDER: counts}
     for n in range(ORDER - 1, 0, -1):
@@ -188,16 +240,32 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         sums = of.groupBy("lang", "context").agg(F.sum("c").alias("total"), F.sum("off").alias("saved"))
         of = of.join(sums, ["lang", "context"])
         if n == 1:
-            below = 1 / F.col("types")
+            below, seen_below = 1 / F.col("types"), None
         else:
             of = of.withColumn("lower", mask(n - 1)).join(
-                lower.select(F.col("lang"), F.col("gram").alias("lower"), F.col("p").alias("below")), ["lang", "lower"])
-            below = F.col("below")
+                lower.select(F.col("lang"), F.col("gram").alias("lower"), F.col("p").alias("below"), F.col("seen").alias("seen_below")), ["lang", "lower"])
+            below, seen_below = F.col("below"), F.col("seen_below")
         p = (F.col("c") - F.col("off") + F.col("saved") * below) / F.col("total")
-        lower = materialize(of.select("lang", "gram", "c", p.alias("p")), f"probabilities-{n}")
+        seen = p if n == 1 else F.when(F.col("c") > 1, p).otherwise(_weight() * seen_below)
+        lower = materialize(of.select("lang", "gram", "c", p.alias("p"), seen.alias("seen")), f"probabilities-{n}")
+        out.append((lower, sums))
+    return out
+
+
+def _weight() -> Column:
+    return F.greatest(F.col("saved") / F.col("total"), F.lit(1e-9))
+
+
+def kneser_ney(counts: DataFrame) -> DataFrame:
+    """kind (p: probability, b: back-off weight), n, lang, gram, value (its logarithm), c.
+
+    All orders of the modified Kneser-Ney model of each language.  A row of kind p is an n-gram; one of kind b the
+    context of n - 1 characters.
+    """
+    out = []
+    for n, (lower, sums) in enumerate(_orders(counts), 1):
         out.append(lower.select(F.lit("p").alias("kind"), F.lit(n).alias("n"), "lang", "gram", F.log("p").alias("value"), "c"))
-        out.append(sums.select(F.lit("b").alias("kind"), F.lit(n).alias("n"), "lang", F.col("context").alias("gram"),
-                               F.log(F.greatest(F.col("saved") / F.col("total"), F.lit(1e-9))).alias("value"), F.col("total").alias("c")))
+        out.append(sums.select(F.lit("b").alias("kind"), F.lit(n).alias("n"), "lang", F.col("context").alias("gram"), F.log(_weight()).alias("value"), F.col("total").alias("c")))
     model = out[0]
     for t in out[1:]:
         model = model.unionByName(t)
@@ -205,42 +273,44 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
 
 
 def entry_hash(lang: str, kind: str, n: int, gram: np.ndarray) -> np.ndarray:
-    """The 32-bit hash under which the model has an n-gram or a context."""
+    """The 63-bit hash under which the model has an n-gram or a context."""
     from xxhash import xxh64_intdigest
 
     seed = np.uint64(xxh64_intdigest(f"{kind}{n}{lang}"))
     x = (gram ^ seed) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (x >> np.uint64(32)).astype(np.uint32)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return (x >> np.uint64(1)).astype(np.int64)
 
 
 class Model:
-    """Sorted hashes and values of each kind and order; at most 2 ** HASH_BITS entries each."""
+    """Sorted hashes and values of each kind and order, all in memory: for texts other than the corpus's own.
+
+    quality_rules doesn't use it; its documents' n-grams are joined to the rows of seen_grams().
+    """
 
     def __init__(self, arrays: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]):
         self.arrays = arrays
 
     @classmethod
     def gathered(cls, entries: DataFrame) -> Model:
-        """From kneser_ney(): hashed in the tasks; one entry for each value of the first HASH_BITS bits."""
+        """From kneser_ney(): hashed in the tasks."""
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 rows = batch.to_pandas()
                 for (kind, n, lang), part in rows.groupby(["kind", "n", "lang"]):
                     h = entry_hash(lang, kind, int(n), part["gram"].to_numpy().view(np.uint64))
                     slot = np.full(len(h), n if kind == "p" else -n, np.int8)
-                    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(h.astype(np.int64)), pa.array(part["value"].to_numpy(np.float64)), pa.array(part["c"].to_numpy())], names=["slot", "h", "value", "c"])
+                    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(h), pa.array(part["value"].to_numpy(np.float64))], names=["slot", "h", "value"])
 
         looked_up = entries.filter("kind = 'b' OR n = 1 OR c > 1")
-        best = (looked_up.mapInArrow(hashed, "slot tinyint, h long, value double, c long")
-                .groupBy("slot", F.shiftright("h", 32 - HASH_BITS).alias("first")).agg(F.max(F.struct("c", "h", "value")).alias("best")))
-        found = best.select("slot", F.col("best.h").alias("h"), F.col("best.value").cast("float").alias("value")).toArrow()
+        found = looked_up.mapInArrow(hashed, "slot tinyint, h long, value double").toArrow()
         slot, h, value = (found[x].to_numpy() for x in ("slot", "h", "value"))
         arrays = {}
         for key in [(k, i) for k in "pb" for i in range(1, ORDER + 1)]:
             at = np.flatnonzero(slot == (key[1] if key[0] == "p" else -key[1]))
             at = at[np.argsort(h[at])]
-            arrays[key] = h[at].astype(np.uint32), value[at]
+            arrays[key] = h[at], value[at]
         return cls(arrays)
 
     def _find(self, kind: str, n: int, lang: str, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +319,7 @@ class Model:
             return np.zeros(len(gram), bool), np.zeros(len(gram))
         h = entry_hash(lang, kind, n, gram)
         at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-        return hashes[at] == h, values[at].astype(np.float64)
+        return hashes[at] == h, values[at]
 
     def log_probabilities(self, lang: str, gram: np.ndarray) -> np.ndarray:
         """Of the last character of each ORDER-gram, given those before it."""
@@ -276,29 +346,62 @@ def _rows(docs: DataFrame) -> DataFrame:
     return rows.withColumn("lang", F.coalesce("lang", F.lit("")))
 
 
-def measured(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang, the base measures and log_perplexity (null: no word) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.arrays)
+def seen_grams(counts: DataFrame) -> DataFrame:
+    """lang, gram, value: the logarithm of what every counted ORDER-gram is looked up as."""
+    return _orders(counts)[-1][0].select("lang", "gram", F.log("seen").alias("value"))
+
+
+def measured(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """doc_id, lang, the base measures and log_perplexity (null: no word) of every document, by the model of all of them."""
+    rows = _rows(docs)
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(total // chunk_bytes + 1)))
+    counted = materialize(chunk_grams(rows), "chunk-grams")
+    seen = seen_grams(materialize(counted.groupBy("lang", "gram").agg(F.sum("c").alias("c")), "gram-counts"))
+    known = counted.select("chunk", "lang", "gram").join(seen, ["lang", "gram"]).withColumn("is_doc", F.lit(False))
+    both = known.unionByName(rows.withColumn("is_doc", F.lit(True)), allowMissingColumns=True)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(shared.value)
-        for batch in slices(batches, "text"):
-            base = base_measures(batch.column("text"))
-            score = np.zeros(batch.num_rows)
-            size = np.zeros(batch.num_rows)
-            for lang, rows, texts in _by_language(batch):
-                gram, owner = grams(texts)
-                coded = pa.array(gram).dictionary_encode()
-                logs = own.log_probabilities(lang, np.asarray(coded.dictionary))[np.asarray(coded.indices)]
-                score[rows] = np.bincount(owner, logs, minlength=len(rows))
-                size[rows] = np.bincount(owner, minlength=len(rows))
-            with np.errstate(invalid="ignore", divide="ignore"):
-                log_perplexity = pa.array(-score / size, mask=size == 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), *(pa.array(base[x]) for x in names), log_perplexity],
-                                             names=["doc_id", "lang", *names, "log_perplexity"])
-
-    return _rows(docs).mapInArrow(measure, f"doc_id long, lang string, {', '.join(f'{x} long' for x in names)}, log_perplexity double")
+        # A chunk's n-grams come before its documents, these in order of doc_id and text.
+        chunk, parts, model = None, {}, {}
+        for run in _runs(batches, "chunk", "is_doc"):
+            if run.column("chunk")[0].as_py() != chunk:
+                chunk, parts, model = run.column("chunk")[0].as_py(), {}, {}
+            if not run.column("is_doc")[0].as_py():
+                langs = run.column("lang").dictionary_encode()
+                gram, value = run.column("gram").to_numpy().view(np.uint64), run.column("value").to_numpy()
+                for code, lang in enumerate(langs.dictionary.to_pylist()):
+                    at = np.asarray(langs.indices) == code
+                    parts.setdefault(lang, []).append((gram[at], value[at]))
+                continue
+            for batch in slices([run], "text"):
+                base = base_measures(batch.column("text"))
+                score = np.zeros(batch.num_rows)
+                size = np.zeros(batch.num_rows)
+                for lang, at, texts in _by_language(batch):
+                    gram, owner = grams(texts)
+                    if not len(gram):
+                        continue
+                    if lang not in model:
+                        every, values = (np.concatenate(x) for x in zip(*parts.pop(lang)))
+                        order = np.argsort(every)
+                        model[lang] = every[order], values[order]
+                    every, values = model[lang]
+                    coded = pa.array(gram).dictionary_encode()
+                    different = np.asarray(coded.dictionary)
+                    place = np.minimum(np.searchsorted(every, different), len(every) - 1)
+                    if (every[place] != different).any():
+                        raise ValueError("an n-gram of a document was not counted")
+                    score[at] = np.bincount(owner, values[place][np.asarray(coded.indices)], minlength=len(at))
+                    size[at] = np.bincount(owner, minlength=len(at))
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    log_perplexity = pa.array(-score / size, mask=size == 0)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), *(pa.array(base[x]) for x in names), log_perplexity],
+                                                 names=["doc_id", "lang", *names, "log_perplexity"])
+
+    placed = both.select("chunk", "is_doc", "lang", "gram", "value", "doc_id", "text").repartition("chunk").sortWithinPartitions("chunk", "is_doc", "doc_id", "text")
+    return placed.mapInArrow(measure, f"doc_id long, lang string, {', '.join(f'{x} long' for x in names)}, log_perplexity double")
 
 
 def bands(scores: DataFrame, band: float = BAND) -> DataFrame:
@@ -326,7 +429,7 @@ def quality_rules(docs: DataFrame, band: float = BAND) -> DataFrame:
     texts have no words and fail; a null lang is a language of its own; rows that repeat count as often; an
     empty table gives no rows.
     """
-    scores = materialize(measured(docs, train(docs)), "measures")
+    scores = materialize(measured(docs), "measures")
     judged = scores.join(F.broadcast(bands(scores, band)), "lang", "left")  # a row for each language
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(False))
