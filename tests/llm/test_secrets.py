@@ -5,7 +5,7 @@ import re
 import numpy as np
 
 from tests.llm.helpers import ODD, docs, prose
-from touchline.llm.secrets import FEATURES, RUN, Chain, Field, base_spans, chains, op7_crf_secrets, possible, secret_spans
+from touchline.llm.secrets import FEATURES, RUN, Chain, Field, base_spans, chains, file_features, op7_crf_secrets, possible, secret_spans
 
 KEYWORD = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_key", "apikey"))
 ASSIGN = re.compile(rf"""({KEYWORD})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -80,6 +80,13 @@ def test_the_model_adds_secrets_that_no_base_rule_has(spark):
     assert sum(len(got[1000 + i].added) for i in range(150)) <= 3
 
 
+def test_file_features_are_of_the_whole_text():
+    text = "x" * (1 << 20) + " = { ; } pwd secret" * 5_000
+    at = {k[:2]: k for k in file_features(text, 1)}
+    assert at["fc"] == f"fc{int(200 * 20_000 / len(text))}" != "fc0" and at["fh"] == "fh2"
+    assert file_features("a = 1; secret token", 1, part=3)[1:3] == file_features("a = 1; secret token", 1)[1:3]
+
+
 def test_odd_rows(spark):
     assert secret_spans(docs(spark, ODD)).count() == len(ODD)
     assert secret_spans(docs(spark, [])).collect() == []

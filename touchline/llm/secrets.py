@@ -91,10 +91,15 @@ def word_features(word: str, place: str) -> list[str]:
     return [f"{place}s{shape}", f"{place}h{hint}", f"{place}w{low[:12]}" if hint else f"{place}w"]
 
 
-def file_features(text: str, n_runs: int) -> list[str]:
-    low = text[:1 << 20].lower() if n_runs else ""
-    marks = sum(low.count(c) for c in "={};") / max(1, len(low))
-    return [f"fr{min(n_runs, 15).bit_length()}", f"fc{min(9, int(marks * 200))}", f"fh{sum(h in low for h in HINTS[:6])}", f"fl{len(text).bit_length() // 2}"]
+def file_features(text: str, n_runs: int, part: int = 1 << 20) -> list[str]:
+    """Of the whole text, read in parts; a hint may go over a part's end."""
+    marks, found, longest = 0, set(), max(map(len, HINTS[:6]))
+    for at in range(0, len(text) if n_runs else 0, part):
+        low = text[at : at + part + longest - 1].lower()
+        marks += sum(text.count(c, at, at + part) for c in "={};")
+        found |= {h for h in HINTS[:6] if h not in found and h in low}
+    density = marks / max(1, len(text))
+    return [f"fr{min(n_runs, 15).bit_length()}", f"fc{min(9, int(density * 200))}", f"fh{len(found)}", f"fl{len(text).bit_length() // 2}"]
 
 
 class Chain:
