@@ -5,7 +5,7 @@ import re
 import numpy as np
 
 from tests.llm.helpers import ODD, docs, prose
-from touchline.llm.secrets import FEATURES, RUN, Chain, Field, base_spans, chains, file_features, op7_crf_secrets, possible, secret_spans
+from touchline.llm.secrets import FEATURES, RUN, TOKEN, Chain, Field, base_spans, chains, file_features, op7_crf_secrets, possible, secret_spans
 
 KEYWORD = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_key", "apikey"))
 ASSIGN = re.compile(rf"""({KEYWORD})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -87,6 +87,31 @@ def test_file_features_are_of_the_whole_text():
     assert file_features("a = 1; secret token", 1, part=3)[1:3] == file_features("a = 1; secret token", 1)[1:3]
 
 
+def test_begin_is_possible_beside_hints():
+    for text, secret in [("pwd: hunter2xyz", "hunter2xyz"), ("so passphrase Tr0ub4dor it is", "Tr0ub4dor"), ("auth 8317724190557731", "8317724190557731"), ("x pwd=a1b2 y", "pwd=a1b2")]:
+        (c,) = chains(text, [m.span() for m in RUN.finditer(text)])
+        assert secret in [text[a:z] for (a, z), x in zip(c.spans, c.allowed) if x[1]], text
+    assert chains("plain words without any of it, 12 and A1", []) == []
+
+
+def test_windows_lose_nothing_of_the_text():
+    r = np.random.default_rng(11)
+    parts = ["word", "pwd", ":", "=", "a1b2c3d4e5f6g7", "x-9", "()", "key=5", " ", " ", " ", "\n", "\t", "!!", "%" * 90]
+    texts = ["".join(r.choice(parts, int(r.integers(1, 60)))) for _ in range(300)]
+    texts += ["".join(f"k{i}X9abcdefg7@" for i in range(100)), " ".join(f"ab{i}cdefghij9" for i in range(100))]
+    for text in texts:
+        whole = Chain([(m[0], *m.span()) for m in TOKEN.finditer(text)], [])
+        got = chains(text, [m.span() for m in RUN.finditer(text)])
+        places = [s for c in got for s in c.spans]
+        assert places == sorted(set(places)) and all(any(x[1] for x in c.allowed) for c in got)
+        mine = {s: (x, f) for c in got for s, x, f in zip(c.spans, c.allowed, c.features)}
+        open_ = False
+        for s, x, f in zip(whole.spans, whole.allowed, whole.features):
+            open_ = x[1] or open_ and x[2]
+            if open_:  # can be begin or inside; chains() put four features of the file after the first
+                assert mine[s][0] == x and [mine[s][1][0], *mine[s][1][5:]] == f, (text, s)
+
+
 def test_odd_rows(spark):
     assert secret_spans(docs(spark, ODD)).count() == len(ODD)
     assert secret_spans(docs(spark, [])).collect() == []

@@ -2,10 +2,12 @@
 
 Tokens are runs of the characters that secrets are made of, and runs of other characters that are
 not white space.  Tags are outside, begin and inside.  Features are the shape of a token, the
-words beside it, and what the whole file is like.  Begin is only possible for tokens long and mixed enough
-(``possible``), and inside only for a token that touches the one before it; every chain is a possible
-token with its neighbours, since all tags between two of them are outside.  Within
-these limits Viterbi decoding is exact and texts without a possible token cost one scan.
+words beside it, and what the whole file is like.  Begin is only possible for tokens long and mixed
+enough (``possible``) and for tokens of any length after an assignment mark or, unless they are plain words, a hint word
+(``hinted``), and inside only for a token that touches the one before it.  Chains are cut from white space
+to white space with all words that a possible token's features or tags depend on; outside the chains all
+tags are outside.  Viterbi decoding is exact over the whole of a run, however long it is, and texts without
+a possible token cost one scan.
 
 There are no labelled secrets, so the tokens that base rules mark are the positive examples.
 The words beside a token are dropped from half of all examples, so the shape alone can tell.
@@ -15,7 +17,9 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +35,8 @@ FEATURES = 1 << 14
 SAMPLE = 20_000
 LEAST_TOKEN = 12
 BESIDE = 2
+#: Tokens that are decoded at a time (one chain at least).
+LOT_TOKENS = 1 << 15
 # Base rules: patterns and least lengths.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -40,6 +46,11 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 # Words that often stand beside a secret.
 HINTS = ("pass", "pwd", "secret", "token", "key", "auth", "cred", "bearer", "private", "access", "login", "sign")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}")
+#: What makes the tokens beside it possible: a hint word, or an assignment mark.
+SPOT = re.compile(rf"(?ai:{'|'.join(HINTS)})|[:=]")
+#: White-space words from a spot: before it the context, after it those that a hint reaches and their context.
+WORDS_BEFORE, WORDS_AFTER = BESIDE, 2 * BESIDE
+WORD_END, NEXT_WORDS = re.compile(r"\S*"), re.compile(rf"(?:\s+\S+){{0,{WORDS_AFTER}}}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]+|[^\sA-Za-z0-9+/_.=-]+")
 
 
@@ -68,6 +79,42 @@ def possible(token: str) -> bool:
     return digits > 0 or (body[1:].lower() != body[1:] and body.upper() != body and len(body) >= 16)
 
 
+def hinted(tokens: list[tuple[str, int, int]], i: int) -> bool:
+    """Whether an assignment mark ends the token before, or a hint word and a mark are in the token, or a hint word is before it.
+
+    Only marks may be between; after a hint word alone, plain words ("keys here") can't begin a secret.
+    """
+    word = tokens[i][0]
+    if not any(c.isalnum() for c in word):
+        return False
+    if i:
+        before = tokens[i - 1][0]
+        if before[-1] in ":=":
+            return True
+        body = word.strip("=.-_/+")
+        if not (body.isalpha() and body[1:] in (body[1:].lower(), body[1:].upper())):
+            if _names(before) or i > 1 and not any(c.isalnum() for c in before) and _names(tokens[i - 2][0]):
+                return True
+    return "=" in word.rstrip("=") and _has_hint(word)
+
+
+def _names(word: str) -> bool:
+    """Whether a hint word names what follows; one with a value of its own doesn't."""
+    return _has_hint(word) and "=" not in word.rstrip("=")
+
+
+@lru_cache(1 << 16)
+def _has_hint(word: str) -> bool:
+    return any(h in word.lower() for h in HINTS)
+
+
+@lru_cache(1 << 17)
+def _slot(feature: str) -> int:
+    from xxhash import xxh32_intdigest
+
+    return xxh32_intdigest(feature) % FEATURES
+
+
 def entropy(token: str) -> float:
     counts = [token.count(c) for c in set(token)]
     return -sum(n / len(token) * math.log2(n / len(token)) for n in counts)
@@ -106,42 +153,64 @@ class Chain:
     """A window of tokens: their spans, features, and which tags each may have."""
 
     def __init__(self, tokens: list[tuple[str, int, int]], file: list[str], drop_words: bool = False):
-        from xxhash import xxh32_intdigest
-
         self.spans = [(a, z) for _, a, z in tokens]
         self.features, self.allowed = [], []
         for i, (word, a, z) in enumerate(tokens):
-            own = ["bias", *file]
-            may = possible(word)
+            # A token that can only be outside needs no features.
+            own = []
+            may = possible(word) or hinted(tokens, i)
             touches = i > 0 and tokens[i - 1][2] == a
             if may or touches:
-                own += shape_features(word)
+                own = ["bias", *file, *shape_features(word)]
                 own.append(f"touch{touches}")
                 if not drop_words:
                     for k in range(1, BESIDE + 1):
                         own += word_features(tokens[i - k][0], f"-{k}") if i >= k else [f"-{k}none"]
                         own += word_features(tokens[i + k][0], f"+{k}") if i + k < len(tokens) else [f"+{k}none"]
-            self.features.append([xxh32_intdigest(x) % FEATURES for x in own])
+            self.features.append([_slot(x) for x in own])
             self.allowed.append((True, may, touches))
 
+    def cut(self, first: int, end: int) -> None:
+        self.spans, self.features, self.allowed = (x[first:end] for x in (self.spans, self.features, self.allowed))
+
+
+def windows_of(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Disjoint (start, end), from white space to white space, that hold all possible tokens with their context."""
+    spots = [(a, z) for a, z in runs if possible(text[a:z])] + [m.span() for m in SPOT.finditer(text)]
+    out: list[tuple[int, int]] = []
+    word_end, high = -1, 0
+    for a, z in sorted(spots):
+        done, low = high, a
+        for k in range(WORDS_BEFORE + 1):
+            while k and low > done and text[low - 1].isspace():
+                low -= 1
+            while low > done and not text[low - 1].isspace():
+                low -= 1
+        # Spots of one word end alike: long words are read once.
+        if z > word_end:
+            word_end = WORD_END.match(text, z).end()
+            high = max(high, NEXT_WORDS.match(text, word_end).end())
+        if out and low <= done:
+            out[-1] = out[-1][0], high
+        else:
+            out.append((low, high))
+    return out
+
 
 def chains(text: str, runs: list[tuple[int, int]], drop_words: bool = False) -> list[Chain]:
-    """One for each group of possible tokens that are near each other."""
-    spots = [(a, z) for a, z in runs if possible(text[a:z])]
-    if not spots:
-        return []
-    file, out, group = file_features(text, len(spots)), [], [spots[0]]
-    for s in [*spots[1:], None]:
-        if s is not None and s[0] - group[-1][1] < 80 and len(group) < 32:
-            group.append(s)
-            continue
-        low, high = max(0, group[0][0] - 60), min(len(text), group[-1][1] + 60)
-        # Whole tokens only: the window starts and ends at white space or within the reach.
-        window = [(m[0], low + m.start(), low + m.end()) for m in TOKEN.finditer(text[low:high])]
-        first = next(i for i, t in enumerate(window) if t[2] > group[0][0])
-        last = max(i for i, t in enumerate(window) if t[1] < group[-1][1])
-        out.append(Chain(window[max(0, first - BESIDE) : last + 1 + BESIDE], file, drop_words))
-        group = [s]
+    """One for each window with a possible token."""
+    windows, out = windows_of(text, runs), []
+    file = file_features(text, max(1, sum(possible(text[a:z]) for a, z in runs))) if windows else []
+    for low, high in windows:
+        c = Chain([(m[0], *m.span()) for m in TOKEN.finditer(text, low, high)], file, drop_words)
+        begins = [i for i, (_, begin, _) in enumerate(c.allowed) if begin]
+        if begins:
+            last = begins[-1]
+            while last + 1 < len(c.allowed) and c.allowed[last + 1][INSIDE]:
+                last += 1
+            # One token before the first possible one, and one after all that touch the last.
+            c.cut(max(0, begins[0] - 1), last + 2)
+            out.append(c)
     return out
 
 
@@ -169,13 +238,14 @@ class Field:
         n = np.array([len(c.spans) for c in chains_])
         allowed = np.zeros((len(chains_), longest, 3), dtype=bool)
         allowed[:, :, OUT] = True
-        place, feature = [], []
+        place, size, feature = [], [], array("q")
         for k, c in enumerate(chains_):
             allowed[k, : len(c.spans)] = c.allowed
             for i, f in enumerate(c.features):
-                place += [k * longest + i] * len(f)
-                feature += f
-        return np.array(place), np.array(feature), allowed, n, np.arange(longest) < n[:, None]
+                place.append(k * longest + i)
+                size.append(len(f))
+                feature.extend(f)
+        return np.repeat(place, size), np.frombuffer(feature, dtype=np.int64), allowed, n, np.arange(longest) < n[:, None]
 
     def scores(self, place: np.ndarray, feature: np.ndarray, allowed: np.ndarray) -> np.ndarray:
         size = allowed.shape[0] * allowed.shape[1]
@@ -311,8 +381,10 @@ def secret_spans(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
             added = [[] for _ in base]
             # Chains of like length together, so that padding is small.
             every.sort(key=lambda x: len(x[1].spans))
-            for at in range(0, len(every), 512):
-                lot = every[at : at + 512]
+            while every:
+                # Padded to the longest, so many tokens at most, or one chain.
+                most = max(1, LOT_TOKENS // len(every[-1][1].spans))
+                lot, every = every[-most:], every[:-most]
                 for (i, c), tags in zip(lot, model.decode([c for _, c in lot])):
                     added[i] += [("model", a, z) for a, z in model_spans(c, tags) if not any(s < z and e > a for _, s, e in base[i])]
             cells = lambda spans: pa.array([[{"kind": k, "start": a, "end": z} for k, a, z in x] for x in spans], kind)
