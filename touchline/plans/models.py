@@ -23,6 +23,7 @@ from touchline.operators.attribution import (
 from touchline.operators.comparison import (
     attribution_comparison, channel_breakdown_from_both, comparison_from_both,
 )
+from touchline.operators.credit import credit_by_channel, journey_shares
 from touchline.plans import serving
 from touchline.operators.journeys import rank_touches, user_journeys
 from touchline.operators.staging import stage_conversions, stage_events, stage_sessions
@@ -131,8 +132,14 @@ class Models:
         return serving.channel_breakdown(self.first_click, self.last_click)
 
     def linear(self, by: tuple[str, ...] = ("channel",)) -> DataFrame:
+        """Even credit; by channel it needs no journeys, only counts at their ends."""
+        if by == ("channel",):
+            return credit_by_channel(journey_shares(self.conversions, self.touchpoints, self.cfg.lookback_days))
         return linear_credit(self.journeys, by)
 
+    def time_decay(self, half_life_days: float) -> DataFrame:
+        return credit_by_channel(journey_shares(self.conversions, self.touchpoints, self.cfg.lookback_days, half_life_days))
+
     def materialized_tables(self, columns: dict[str, set] | None = None) -> dict[str, DataFrame]:
         """The derived tables, each written once as a table in the checkpoint
         folder, for consumers that read every table several times (the

@@ -315,6 +315,31 @@ gap_sessions AS (
 """
 
 
+# Accounts of some events' logins, the users they stitch together, and the flat events by stitched user.
+IDENTITY = """, logins AS (
+  SELECT *, CAST(user_pseudo_id AS BIGINT) AS device, (engagement_time_msec - 1000) // 100 AS login FROM flat
+), signed AS (
+  SELECT * REPLACE (CASE login WHEN 11 THEN 'p' || (device // 3) WHEN 57 THEN 'q' || (device // 5)
+                                WHEN 83 THEN 'r' || (device // 2) WHEN 99 THEN 'kiosk' END AS user_id) FROM logins
+), links AS (
+  SELECT DISTINCT user_pseudo_id, user_id FROM signed WHERE user_id IS NOT NULL
+    AND user_id IN (SELECT user_id FROM signed GROUP BY user_id HAVING count(DISTINCT user_pseudo_id) <= 20)
+), identity AS (
+  WITH RECURSIVE near AS (
+    SELECT DISTINCT a.user_pseudo_id AS x, b.user_pseudo_id AS y FROM links a JOIN links b USING (user_id)
+  ), reach AS (
+    SELECT x, y FROM near UNION SELECT r.x, n.y FROM reach r JOIN near n ON r.y = n.x
+  )
+  SELECT user_pseudo_id, coalesce(min(y), user_pseudo_id) AS stitched_id
+  FROM (SELECT DISTINCT user_pseudo_id FROM flat) LEFT JOIN reach ON x = user_pseudo_id GROUP BY user_pseudo_id
+)"""
+STITCHED = IDENTITY + """
+SELECT s.* EXCLUDE (device, login) REPLACE (
+  stitched_id || '-' || event_name || '-' || event_timestamp AS event_id, stitched_id AS user_pseudo_id,
+  stitched_id || '-' || ga_session_id AS session_id)
+FROM signed s JOIN identity USING (user_pseudo_id)"""
+
+
 def q(select: str, flat: str | None = None) -> str:
     """Wrap a final SELECT with the shared CTE chain.
 

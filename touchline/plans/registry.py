@@ -19,14 +19,18 @@ from pyspark.sql import types as T
 from touchline.config import AttributionConfig
 from touchline.plans import serving
 from touchline.plans.models import Models
-from touchline.plans.oracle import AS_OF, STREAM_AS_OF, q
-from touchline.session import ensure_utc
+from touchline.plans.oracle import AS_OF, IDENTITY, STITCHED, STREAM_AS_OF, q
+from touchline.session import ensure_utc, materialize
+from touchline.operators.credit import credit_by_channel, journey_shares
+from touchline.operators.funnel import LIMIT_HOURS, STEPS, funnel_by_channel, funnel_progress
+from touchline.operators.identity import stitch, user_identity
 from touchline.operators.quality import (
     CUSTOM_CHECKS, MODEL_CHECKS, checked_columns, oracle_check_sql, run_checks,
 )
 from touchline.operators.sessionize import (
     gap_sessions, sessionize_by_gap, sessions_by_window, top_conversion_per_session,
 )
+from touchline.sources.adapter import with_logins
 from touchline.sources.scan import raw_events, read_sharded_events
 from touchline.sources.sinks import (
     apply_retention, export_partition, read_event_table, restore_partition, write_clustered, write_incremental, write_mart,
@@ -369,6 +373,107 @@ def q_linear(spark, sf_dir):
     return rounded(models(spark, sf_dir).linear(), ("total_attributed_value",))
 
 
+HALF_LIFE_DAYS = 7
+
+
+@register("time_decay_attribution", q(f"""
+SELECT channel, round(sum(conversion_value * w / total), 2) AS total_attributed_value
+FROM (SELECT *, sum(w) OVER (PARTITION BY conversion_id) AS total
+      FROM (SELECT *, 2 ** ((touchpoint_timestamp - conversion_timestamp) / (86400e6 * {HALF_LIFE_DAYS})) AS w FROM int_user_journeys))
+GROUP BY channel"""))
+def q_time_decay(spark, sf_dir):
+    """Credit that halves with every week between touch and conversion, by channel."""
+    return rounded(models(spark, sf_dir).time_decay(HALF_LIFE_DAYS), ("total_attributed_value",))
+
+
+@register("journey_shares_time_decay", q(f"""
+SELECT conversion_id, any_value(conversion_value) AS value, channel, round(sum(w) / any_value(total), 6) AS share
+FROM (SELECT *, sum(w) OVER (PARTITION BY conversion_id) AS total
+      FROM (SELECT *, 2 ** ((touchpoint_timestamp - conversion_timestamp) / (86400e6 * {HALF_LIFE_DAYS})) AS w FROM int_user_journeys))
+GROUP BY conversion_id, channel"""))
+def q_decay_shares(spark, sf_dir):
+    """Every conversion's shares by channel, that sum to 1."""
+    m = models(spark, sf_dir)
+    return rounded(journey_shares(m.conversions, m.touchpoints, m.cfg.lookback_days, HALF_LIFE_DAYS), (), ("share",))
+
+
+_FUNNEL = f"""
+, f1 AS (
+  SELECT user_pseudo_id AS u, event_timestamp AS t, list_position({list(STEPS)}, event_name) AS step, max(channel) AS channel
+  FROM stg_events WHERE event_name IN {STEPS} GROUP BY ALL
+), f2 AS (
+  SELECT *, CASE WHEN step = 1 THEN t END AS a1, max(t) FILTER (step = 1) OVER w AS p1 FROM f1
+  WINDOW w AS (PARTITION BY u ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), f3 AS (
+  SELECT *, CASE WHEN step = 2 AND t - p1 <= {LIMIT_HOURS} * 3600000000 THEN p1 END AS a2 FROM f2
+), f4 AS (
+  SELECT *, max(a2) OVER (PARTITION BY u ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p2 FROM f3
+), f5 AS (
+  SELECT *, CASE WHEN step = 3 AND t - p2 <= {LIMIT_HOURS} * 3600000000 THEN p2 END AS a3 FROM f4
+), f6 AS (
+  SELECT *, max(a3) OVER (PARTITION BY u ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p3 FROM f5
+), f7 AS (
+  SELECT *, CASE WHEN step = 4 AND t - p3 <= {LIMIT_HOURS} * 3600000000 THEN p3 END AS a4 FROM f6
+), reached AS (
+  SELECT u, step, min(t) AS reached_at, arg_min(coalesce(a1, a2, a3, a4), t) AS started_at
+  FROM f7 WHERE coalesce(a1, a2, a3, a4) IS NOT NULL GROUP BY u, step
+), progress AS (
+  SELECT r.u AS user_pseudo_id, CAST(r.step AS INT) AS step, reached_at, started_at, s.channel
+  FROM reached r JOIN f1 s ON s.u = r.u AND s.t = r.started_at AND s.step = 1
+)"""
+
+
+def after_ctes(more: str, select: str) -> str:
+    """SQL with further CTEs after the shared ones."""
+    return q("").rstrip() + more + "\n" + select
+
+
+@register("funnel_progress", after_ctes(_FUNNEL, "SELECT * FROM progress"))
+def q_funnel_progress(spark, sf_dir):
+    """When every user first reached each step of the funnel, and from which start."""
+    return funnel_progress(models(spark, sf_dir).events)
+
+
+@register("conversion_funnel", after_ctes(_FUNNEL, f"""
+SELECT channel, step, {list(STEPS)}[step] AS step_name, count(*) AS users,
+       CAST(median((reached_at - started_at) // 1000000) AS DOUBLE) AS median_seconds
+FROM progress GROUP BY channel, step"""))
+def q_funnel(spark, sf_dir):
+    """Users and median time to each step of the funnel, by the channel that began it."""
+    return funnel_by_channel(funnel_progress(models(spark, sf_dir).events))
+
+
+# ---------------------------------------------------------------- stitched users
+def signed_models(spark: SparkSession, sf_dir: str, stitched: bool = False) -> Models:
+    """Models over events with logins; over stitched users on request."""
+    m = models(spark, sf_dir)
+    m.raw = with_logins(m.raw)
+    if stitched:
+        m.raw = stitch(m.raw, materialize(user_identity(m.raw), "user_identity"))
+    return m
+
+
+@register("user_identity", q("SELECT * FROM flat", flat=IDENTITY + """
+SELECT user_pseudo_id, i.stitched_id, count(*) OVER (PARTITION BY i.stitched_id) AS devices, coalesce(accounts, 0) AS accounts
+FROM identity i LEFT JOIN (SELECT stitched_id, count(DISTINCT user_id) AS accounts FROM links JOIN identity USING (user_pseudo_id)
+                           GROUP BY stitched_id) a USING (stitched_id)"""))
+def q_identity(spark, sf_dir):
+    """Devices and the users that shared accounts make of them."""
+    return user_identity(signed_models(spark, sf_dir).raw)
+
+
+@register("marts_stitched", q("""
+SELECT * RENAME (first_touch_to_conversion_days AS touch_to_conversion_days) FROM mart_first_click
+UNION ALL BY NAME
+SELECT * RENAME (last_touch_to_conversion_days AS touch_to_conversion_days) FROM mart_last_click""", flat=STITCHED))
+def q_marts_stitched(spark, sf_dir):
+    """Both marts over stitched users: a touch on one device is credited with a conversion on another."""
+    m = signed_models(spark, sf_dir, stitched=True)
+    both = [df.withColumnRenamed(f"{x}_touch_to_conversion_days", "touch_to_conversion_days")
+            for x, df in (("first", m.first_click), ("last", m.last_click))]
+    return ntz(both[0].unionByName(both[1]))
+
+
 # ---------------------------------------------------------------- streaming
 def _stream_rows(spark, sf_dir):
     return stream_rows_from_raw(raw_events(spark, sf_dir))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.functions.params import param
+
 # Fixed values of the mapping (adapter rule table).
 EVENT_NAME_MAP = [
     ("view", "page_view"),
@@ -136,3 +138,18 @@ def raw_events_from_driver(events: DataFrame) -> DataFrame:
         F.lit("WEB").alias("platform"),
         F.lit("adapter-web").alias("stream_id"),
     )
+
+
+# k -> (accounts are shared by so many neighbouring devices, prefix): events with which a login comes.
+LOGINS = {11: (3, "p"), 57: (5, "q"), 83: (2, "r")}
+KIOSK_LOGIN = 99  # one account of all devices
+
+
+def with_logins(raw: DataFrame) -> DataFrame:
+    """Raw events of which some carry the account (``user_id``) that was signed in on the device."""
+    uid = F.col("user_pseudo_id").cast("bigint")
+    k = (param("engagement_time_msec") - 1000) / 100
+    account = F.when(k == KIOSK_LOGIN, "kiosk")
+    for at, (devices, prefix) in LOGINS.items():
+        account = account.when(k == at, F.concat(F.lit(prefix), F.floor(uid / devices).cast("string")))
+    return raw.withColumn("user_id", account)
