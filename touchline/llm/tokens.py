@@ -31,7 +31,7 @@ class WordEncoder:
 
     _made: dict[str, WordEncoder] = {}
 
-    def __init__(self, vocabulary: str, most_words: int = 900_000):
+    def __init__(self, vocabulary: str, most_words: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

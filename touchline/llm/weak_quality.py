@@ -240,15 +240,20 @@ def keep_good(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     w, b, _ = train(docs, sample)
     shared = docs.sparkSession.sparkContext.broadcast((w, b))
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def good(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # Only texts go to Python and only verdicts come back; the rows stay with Spark.
         w, b = shared.value
-        for batch in slices(batches, "text"):
-            found, owner, code, words = measures(batch.column("text").cast(pa.string()))
-            row, column, value = features(found, owner, code, words)
-            z = np.bincount(row, value * w[column], minlength=batch.num_rows) + b
-            yield batch.filter(pa.array((sigmoid(z) >= THRESHOLD) & (found["words"] > 0)))
-
-    return docs.mapInArrow(judge, docs.schema)
+        for texts in arrays:
+            verdicts = [np.zeros(0, dtype=bool)]
+            for batch in slices([pa.RecordBatch.from_arrays([texts], names=["text"])], "text"):
+                found, owner, code, words = measures(batch.column("text").cast(pa.string()))
+                row, column, value = features(found, owner, code, words)
+                z = np.bincount(row, value * w[column], minlength=batch.num_rows) + b
+                verdicts.append((sigmoid(z) >= THRESHOLD) & (found["words"] > 0))
+            yield pa.array(np.concatenate(verdicts))
+
+    return docs.where(good(F.col("text").cast("string")))
 
 
 def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
