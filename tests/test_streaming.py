@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from touchline.sources.scan import raw_events
@@ -105,3 +106,55 @@ def test_the_batch_reads_only_its_dates_of_the_sink_and_damage_is_an_error(spark
     assert append_new_events(one, sink) == 0
     with pytest.raises(Exception):
         append_new_events(rows.where(F.col("event_date") == F.lit(broken.split("=")[1]).cast("date")), sink)
+
+
+def test_failures_are_retried_and_batches_count_once(spark, scratch, monkeypatch):
+    from touchline.streaming import ingest as module
+
+    feed = module.stream_rows_from_raw(raw_events(spark, "/root/testdata/sf0.001"))
+    src = module.write_json_lines(feed, f"{scratch}/in")
+    n, failed, write = feed.count(), [], module.write_clustered
+
+    def written_then_lost(*args, **kw):
+        write(*args, **kw)
+        if len(failed) < 2:
+            failed.append(1)
+            raise OSError("lost the answer")
+
+    monkeypatch.setattr(module, "write_clustered", written_then_lost)
+    report = module.ingest(spark, src, f"{scratch}/sink", f"{scratch}/ckpt")
+    assert len(failed) == 1 and report.rows_inserted == n  # the second try found everything stored
+    stored = module.read_event_table(spark, f"{scratch}/sink", module.STREAM_EVENT_SCHEMA)
+    assert stored.count() == n == stored.select("event_id").distinct().count()
+    log = module.CommitLog(spark, f"{scratch}/ckpt-batches")
+    assert log.rows_done(0) == n and log.rows_done(1) in (None, 0) and log.rows_done(99) is None
+    assert log.begun(0, 5) == n
+
+
+def test_deadline():
+    from touchline.streaming.ingest import with_deadline
+
+    tries = []
+
+    def fails(times):
+        tries.append(1)
+        if len(tries) <= times:
+            raise OSError(len(tries))
+        return "done"
+
+    assert with_deadline(lambda: fails(3), 5, 0.01) == "done" and len(tries) == 4
+    tries.clear()
+    with pytest.raises(OSError):
+        with_deadline(lambda: fails(99), 0.2, 0.05)
+    assert 2 <= len(tries) <= 4
+
+
+def test_no_frame_stays_cached(spark, scratch):
+    from touchline.streaming.ingest import append_new_events, stream_rows_from_raw
+
+    feed = stream_rows_from_raw(raw_events(spark, "/root/testdata/sf0.001"))
+    held = lambda: spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    before = held()
+    for part in range(3):
+        append_new_events(feed.where(f"event_timestamp % 3 = {part}"), f"{scratch}/sink")
+    assert held() == before

@@ -32,6 +32,8 @@ from touchline.operators.sessionize import (
 )
 from touchline.sources.adapter import with_logins
 from touchline.sources.scan import raw_events, read_sharded_events
+from touchline.sources.snapshots import Generation
+from touchline.streaming.refresh_all import build_all, refresh_all
 from touchline.sources.sinks import (
     apply_retention, export_partition, read_event_table, restore_partition, write_clustered, write_incremental, write_mart,
 )
@@ -647,6 +649,47 @@ def q_deduplicated(spark, sf_dir):
     return ntz(replayed_models(spark, sf_dir, cfg=cfg).events)
 
 
+# ---------------------------------------------------------------- refresh of all tables
+LATE = "user_pseudo_id LIKE '%7' AND event_date BETWEEN '20240110' AND '20240112'"
+
+
+def refreshed(spark: SparkSession, sf_dir: str) -> Generation:
+    """All eight tables, built without the events of some users on three days and refreshed when those came in."""
+    raw, cfg = models(spark, sf_dir).raw, AttributionConfig(as_of=RUN_AS_OF)
+    root = new_scratch(spark, "refreshed")
+    build_all(spark, root, raw.where(f"NOT coalesce({LATE}, false)"), cfg)
+    refresh_all(spark, root, raw.where(LATE), cfg)
+    return Generation(spark, root)
+
+
+_REFRESHED = (*_COUNTED, ("stg_ga4_sessions", "stg_sessions"), ("mart_attribution_comparison", "mart_attribution_comparison"))
+
+
+@register("refreshed_row_counts", q(" UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {cte}" for name, cte in _REFRESHED)))
+def q_refreshed_counts(spark, sf_dir):
+    """Rows of the eight tables after late events were propagated through them."""
+    g = refreshed(spark, sf_dir)
+    short = {"mart_first_click": "mart_first_click_attribution", "mart_last_click": "mart_last_click_attribution"}
+    return serving.model_row_counts({name: g.read(short.get(name, name)) for name, _ in _REFRESHED})
+
+
+@register("refreshed_sessions", q("SELECT * REPLACE (round(session_revenue, 2) AS session_revenue) FROM stg_sessions"))
+def q_refreshed_sessions(spark, sf_dir):
+    return ntz(rounded(refreshed(spark, sf_dir).read("stg_ga4_sessions"), SESSION_CENTS))
+
+
+@register("refreshed_journeys", q("SELECT * FROM int_user_journeys"))
+def q_refreshed_journeys(spark, sf_dir):
+    return ntz(refreshed(spark, sf_dir).read("int_user_journeys"))
+
+
+@register("refreshed_comparison", q(_COMPARISON_OUT_SQL))
+def q_refreshed_comparison(spark, sf_dir):
+    """The comparison of both marts after late events."""
+    return comparison_out(refreshed(spark, sf_dir).read("mart_attribution_comparison")).orderBy(F.desc("conversion_date"), "channel")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -22,6 +22,7 @@ because of the anti-join.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import time
 from dataclasses import dataclass, field
@@ -38,6 +39,8 @@ CORRUPT = "_corrupt_record"
 REQUIRED = [f.name for f in STREAM_EVENT_SCHEMA.fields if not f.nullable]
 # Fixed value: short-horizon dedup window on arrival time.
 DEDUP_WINDOW = "1 minute"
+# How long a failing batch is tried again.
+RETRY_SECONDS = 30
 # Wire format of timestamps: ISO-8601 with microseconds and offset.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -141,7 +144,58 @@ def dedup_short_horizon(stream: DataFrame, window: str = DEDUP_WINDOW) -> DataFr
 SAME_EVENT = ("event_id", "user_pseudo_id", "event_name", "event_timestamp")
 
 
-def append_new_events(batch: DataFrame, sink: str, batch_id: int | None = None) -> int:
+class CommitLog:
+    """What became of each batch of a stream: begun (with the rows it set out to write), then done.
+
+    A batch that is done is not run again; one that was begun and failed is completed: what it has
+    stored already is found by the anti-join with the sink.  One small file a state and batch.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _at(self, batch_id: int, state: str) -> str:
+        return f"{self.path}/batch={batch_id}/{state}"
+
+    def _rows(self, batch_id: int, state: str) -> int | None:
+        path = self._at(batch_id, state)
+        if not table_exists(self.spark, f"{path}/_SUCCESS"):
+            return None
+        return self.spark.read.schema("rows long").json(path).first()["rows"]
+
+    def _write(self, batch_id: int, state: str, rows: int) -> None:
+        self.spark.range(1).select(F.lit(rows).cast("long").alias("rows")).coalesce(1).write.mode("overwrite").json(self._at(batch_id, state))
+
+    def begun(self, batch_id: int, rows: int) -> int:
+        """Notes the rows a batch is about to write; returns what it noted at its first try."""
+        first = self._rows(batch_id, "begun")
+        if first is None:
+            self._write(batch_id, "begun", rows)
+        return rows if first is None else first
+
+    def done(self, batch_id: int, rows: int) -> None:
+        self._write(batch_id, "done", rows)
+
+    def rows_done(self, batch_id: int) -> int | None:
+        """Rows of a batch that is done, else None."""
+        return self._rows(batch_id, "done")
+
+
+def with_deadline(action, seconds: float = RETRY_SECONDS, first_wait: float = 0.5, transient: tuple = (Exception,)):
+    """Runs action until it succeeds; failures are repeated with doubled waits until ``seconds`` have passed,
+    then the last one is raised."""
+    end, wait = time.monotonic() + seconds, first_wait
+    while True:
+        try:
+            return action()
+        except transient:
+            if time.monotonic() + wait > end:
+                raise
+            time.sleep(wait)
+            wait *= 2
+
+
+def append_new_events(batch: DataFrame, sink: str, batch_id: int | None = None, log: CommitLog | None = None) -> int:
     """Long-horizon dedup + append (the ``foreachBatch`` body).
 
     Keeps the earliest arrival per event within the batch, removes events
@@ -150,9 +204,10 @@ def append_new_events(batch: DataFrame, sink: str, batch_id: int | None = None)
     as days, so they go into the partition filter as values.  Returns the
     rows written."""
     spark = batch.sparkSession
-    fresh = first_arrivals(batch).persist()
+    arrived = first_arrivals(batch).persist()
     try:
-        dates = [r["event_date"] for r in fresh.select("event_date").distinct().collect()]
+        fresh = arrived
+        dates = [r["event_date"] for r in arrived.select("event_date").distinct().collect()]
         if table_exists(spark, sink) and dates:
             stored = (read_event_table(spark, sink, STREAM_EVENT_SCHEMA)
                       .where(F.col("event_date").isin(dates)).select(*[F.col(c).alias(f"_{c}") for c in SAME_EVENT], "event_date"))
@@ -160,16 +215,20 @@ def append_new_events(batch: DataFrame, sink: str, batch_id: int | None = None)
             for c in SAME_EVENT:
                 same = same & fresh[c].eqNullSafe(stored[f"_{c}"])
             fresh = fresh.join(stored, same, "left_anti")
-        new = fresh.persist()
+        new = fresh.persist() if fresh is not arrived else arrived
         try:
-            n = new.count()
-            if n:
+            n = left = new.count()
+            if log is not None and batch_id is not None:
+                # Of a batch that is tried again, what it first set out to write counts.
+                n = log.begun(batch_id, left)
+            if left:
                 write_clustered(new, sink, "event_date", ("event_name", "user_pseudo_id"))
         finally:
-            new.unpersist()
+            if new is not arrived:
+                new.unpersist()
         return n
     finally:
-        fresh.unpersist()
+        arrived.unpersist()
 
 
 @dataclass
@@ -186,29 +245,46 @@ class IngestReport:
 
 def ingest(spark: SparkSession, source_dir: str, sink: str, checkpoint: str,
            dead_letter: str | None = None, refresh=None,
-           dedup_window: str = DEDUP_WINDOW) -> IngestReport:
+           dedup_window: str = DEDUP_WINDOW, retry_seconds: float = RETRY_SECONDS) -> IngestReport:
     """Run the ingestion stream over everything currently in ``source_dir``
     (``availableNow``) and report what was written.
 
     Both dedup horizons apply: the watermark state drops repeats arriving
     within ``dedup_window``; the batch body anti-joins against the sink.
     ``refresh(spark, new_rows_df)`` is called per batch after the append
-    (e.g. to rebuild the marts of the affected dates)."""
+    (e.g. to rebuild the marts of the affected dates).  A batch that fails is
+    tried again for ``retry_seconds``; a log beside the checkpoint makes a batch
+    that was done already, or in part, count and write once."""
     counts = {"rows": 0, "dead": 0, "batches": 0}
+    log = CommitLog(spark, f"{checkpoint.rstrip('/')}-batches")
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def on_batch(df: DataFrame, batch_id: int):
+        done = log.rows_done(batch_id)
+        if done is None:
+            with_deadline(lambda: run_batch(df, batch_id), retry_seconds)
+        else:
+            counts["rows"] += done
+            counts["batches"] += 1
+
+    def run_batch(df: DataFrame, batch_id: int):
         df = df.persist()
         try:
             good, bad = split_dead_letters(df)
+            nbad = 0
             if dead_letter is not None:
                 nbad = bad.count()
                 if nbad:
-                    bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(dead_letter)
-                counts["dead"] += nbad
-            counts["rows"] += append_new_events(good, sink, batch_id)
-            counts["batches"] += 1
+                    # A folder of the batch's own: a second try writes it over.
+                    bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+                        f"{dead_letter}/stream={stream}/batch={batch_id}")
+            rows = append_new_events(good, sink, batch_id, log)
             if refresh is not None:
                 refresh(spark, good)
+            log.done(batch_id, rows)
+            counts["rows"] += rows
+            counts["dead"] += nbad
+            counts["batches"] += 1
         finally:
             df.unpersist()
 
