@@ -107,6 +107,22 @@ class Models:
             return attribute(self.journeys, self.conversions, model)
         return attribute_from_summary(self.conversions, self.summary, model)
 
+    def mart_totals(self) -> tuple[DataFrame, DataFrame]:
+        """What the totals of the first- and last-click marts need: conversion_id, conversion_value, user_pseudo_id.
+
+        Both marts hold every conversion once; only for ids that come more than once does it matter whether
+        they are touched.  So touches are looked at for the users of those ids alone.
+        """
+        columns = ("conversion_id", "conversion_value", "user_pseudo_id")
+        repeated = materialize(self.conversions.groupBy("conversion_id").count().where("count > 1").select("conversion_id"), "repeated")
+        if repeated.isEmpty():
+            return self.conversions.select(*columns), self.conversions.select(*columns)
+        single = self.conversions.join(repeated, "conversion_id", "left_anti").select(*columns)
+        many = self.conversions.join(repeated, "conversion_id", "left_semi")
+        touches = self.touchpoints.join(many.select("user_pseudo_id").distinct(), "user_pseudo_id", "left_semi")
+        summary = materialize(conversion_touch_summary(many, touches, self.bucket_days, self.mart_summary), "summary")
+        return tuple(single.unionByName(attribute_from_summary(many, summary, x).select(*columns)) for x in ("first", "last"))
+
     @cached_property
     def first_click(self) -> DataFrame:
         return self.mart("first")

@@ -260,9 +260,20 @@ SELECT 'Last-Click', count(DISTINCT conversion_id), round(sum(conversion_value),
        count(DISTINCT user_pseudo_id)
 FROM mart_last_click"""))
 def q_summary(spark, sf_dir):
-    # The totals use no touch column: Catalyst drops the touch side.
-    m = models(spark, sf_dir)
-    return rounded(serving.attribution_summary(m.first_click, m.last_click), ("revenue",))
+    return rounded(serving.attribution_summary(*models(spark, sf_dir).mart_totals()), ("revenue",))
+
+
+@register("attribution_summary_with_replays", q("""
+SELECT 'First-Click' AS model, count(DISTINCT conversion_id) AS conversions,
+       round(sum(conversion_value), 2) AS revenue, count(DISTINCT user_pseudo_id) AS users
+FROM mart_first_click
+UNION ALL
+SELECT 'Last-Click', count(DISTINCT conversion_id), round(sum(conversion_value), 2),
+       count(DISTINCT user_pseudo_id)
+FROM mart_last_click""", flat=REPLAYS))
+def q_summary_replays(spark, sf_dir):
+    """The totals when every tenth event came twice."""
+    return rounded(serving.attribution_summary(*replayed_models(spark, sf_dir).mart_totals()), ("revenue",))
 
 
 SERIES_CENTS = ("first_click_revenue", "last_click_revenue")
@@ -329,8 +340,7 @@ SELECT CAST((SELECT count(DISTINCT conversion_id) FROM mart_last_click)
        round((SELECT round(sum(conversion_value), 2) FROM mart_last_click)
           - (SELECT round(sum(conversion_value), 2) FROM mart_first_click), 2) AS revenue_delta"""))
 def q_kpi(spark, sf_dir):
-    m = models(spark, sf_dir)
-    summary = rounded(serving.attribution_summary(m.first_click, m.last_click), ("revenue",))
+    summary = rounded(serving.attribution_summary(*models(spark, sf_dir).mart_totals()), ("revenue",))
     return rounded(serving.kpi_deltas(summary), ("revenue_delta",))
 
 

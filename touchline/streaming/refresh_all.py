@@ -48,7 +48,10 @@ SESSION_KEY = ("session_id", "user_pseudo_id", "user_id")
 def build_all(spark: SparkSession, root: str, raw: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> int:
     """Writes all tables from raw events and publishes them; returns the generation's number."""
     g = Generation(spark, root)
-    for name, df in Models(raw, cfg).materialize().tables().items():
+    models = Models(raw, cfg).materialize()
+    for name in ("conversions", "touchpoints", "summary"):  # read by several tables
+        models.__dict__[name] = materialize(getattr(models, name), name)
+    for name, df in models.tables().items():
         g.replace(name, df, *_at(name))
     return g.commit()
 
