@@ -80,6 +80,30 @@ def test_the_model_adds_secrets_that_no_base_rule_has(spark):
     assert sum(len(got[1000 + i].added) for i in range(150)) <= 3
 
 
+def test_the_model_finds_shapes_it_was_not_made_for(spark):
+    """Eight kinds of secrets in the given documents, none of which base rules or made examples name."""
+    r = np.random.default_rng(5)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    v = lambda n: "".join(r.choice(letters, n))
+    shapes = [lambda: ("pwd: ", v(12)), lambda: ("auth ", v(20)), lambda: ("Bearer ", v(40)), lambda: ("client_key = ", v(32)), lambda: ("", "ghp_" + v(36)),
+              lambda: ("", "xoxb-" + v(24)), lambda: ("", f"eyJ{v(17)}.eyJ{v(30)}.{v(43)}"), lambda: ("passphrase ", v(9))]
+    rows = [(x.doc_id, x.text) for x in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    put = {}
+    for k, i in enumerate(r.permutation([i for i, (_, t) in enumerate(rows) if t and " " in t])[:80]):
+        (lead, value), (doc_id, text) = shapes[k % 8](), rows[i]
+        at = text.index(" ", int(r.integers(0, text.rindex(" ") + 1))) + 1
+        rows[i] = doc_id, f"{text[:at]}{lead}{value} {text[at:]}"
+        put[doc_id] = value
+    texts, found, false = dict(rows), set(), 0
+    for x in secret_spans(docs(spark, rows)).collect():
+        for s in x.added:
+            if put.get(x.doc_id, " ") in texts[x.doc_id][s.start : s.end]:
+                found.add(x.doc_id)
+            else:
+                false += 1
+    assert len(found) >= 0.8 * len(put) and false <= 3, (len(found), false)
+
+
 def test_file_features_are_of_the_whole_text():
     text = "x" * (1 << 20) + " = { ; } pwd secret" * 5_000
     at = {k[:2]: k for k in file_features(text, 1)}

@@ -9,13 +9,20 @@ to white space with all words that a possible token's features or tags depend on
 tags are outside.  Viterbi decoding is exact over the whole of a run, however long it is, and texts without
 a possible token cost one scan.
 
-There are no labelled secrets, so the tokens that base rules mark are the positive examples.
+There are no labelled secrets.  Positive examples are the tokens that base rules mark and, since those have
+few shapes, made ones: values drawn from several alphabets, lengths and part counts, put into the sampled
+texts behind a hint word or alone (``made_secret``).  Negative ones are the other tokens of the texts and
+made ones of the texts' own words: addresses, paths, dates, numbers, names (``made_plain``).  Hint words are
+features only as a class, so what follows one of them tells about all.  The field is fitted to base and made
+examples first; chains without a label in which it finds nothing are negative examples of a second fit, the others
+may hold secrets and teach nothing.
 The words beside a token are dropped from half of all examples, so the shape alone can tell.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
 from array import array
 from collections.abc import Iterator
@@ -23,16 +30,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import input_table, slices, table
+from touchline.llm.common import input_table, joined_ranges, slices, table
 
 KINDS = ("assign", "access", "hex", "model")
 OUT, BEGIN, INSIDE = 0, 1, 2
 FEATURES = 1 << 14
-#: At most about so many chains train the model.
-SAMPLE = 20_000
+#: About so many texts at most train the field, half of them with a long run if there are enough, and of each so many
+#: chains of its own (the first ones); longer chains are cut into pieces of so many tokens.
+SAMPLE, PER_TEXT, LONGEST = 4_000, 2, 16
+#: Made examples of each sort in a sampled text: so many, and more, up to MOST_MADE, where the table has fewer texts than SAMPLE.
+MADE, MOST_MADE = 2, 16
 LEAST_TOKEN = 12
 BESIDE = 2
 #: Tokens that are decoded at a time (one chain at least).
@@ -43,6 +54,14 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
+# What made examples draw from: names of secrets, what is between name and value, and the values' alphabets.
+NAMES = ("secret", "token", "password", "credential", "login", "private", "access")
+BETWEEN = (" ", " ", ": ", ": ", " = ", "=", ":", " is ", ' = "', " := ")
+DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+ALPHABETS = (DIGITS + LOWER[:6], DIGITS + LOWER[:6].upper(), DIGITS + LOWER, DIGITS + LOWER.upper(),
+             DIGITS + LOWER + LOWER.upper(), DIGITS + LOWER + LOWER.upper(), DIGITS + LOWER + LOWER.upper() + "+/", LOWER + LOWER.upper())
+PLAIN = re.compile(r"[^\w\s:=]*[^\W\d_]+[^\w\s:=]*")
+LETTERS = re.compile(r"[^\W\d_]{2,12}")
 # Words that often stand beside a secret.
 HINTS = ("pass", "pwd", "secret", "token", "key", "auth", "cred", "bearer", "private", "access", "login", "sign")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}")
@@ -120,22 +139,34 @@ def entropy(token: str) -> float:
     return -sum(n / len(token) * math.log2(n / len(token)) for n in counts)
 
 
+def _class(c: str) -> str:
+    return "d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "m"
+
+
 def shape_features(token: str) -> list[str]:
-    n = len(token)
-    digits, upper, lower = (sum(map(f, token)) for f in (str.isdigit, str.isupper, str.islower))
-    turns = sum((a.isdigit() != b.isdigit()) for a, b in zip(token, token[1:]))
-    marks = n - digits - upper - lower
-    kinds = f"{'d' * (digits > 0)}{'u' * (upper > 0)}{'l' * (lower > 0)}{'m' * (marks > 0)}"
-    return [f"n{min(n, 64).bit_length()}", f"n4{min(n, 80) // 4}", f"d{10 * digits // n}", f"u{10 * upper // n}", f"l{10 * lower // n}", f"m{min(marks, 6)}",
-            f"t{10 * turns // n}", f"e{int(2 * entropy(token))}", f"k{kinds}", f"x{int(all(c in '0123456789abcdefABCDEF' for c in token))}",
-            f"p{token[:4]}", f"a{'.' in token}{'/' in token}{'@' in token}{'=' in token[:-2]}"]
+    n, classes = len(token), "".join(map(_class, token))
+    digits, upper, lower, marks = (classes.count(c) for c in "dulm")
+    turns = sum(a != b for a, b in zip(classes, classes[1:]))
+    longest = max(map(len, re.findall(r"l+|ul+|u+", classes)), default=0)
+    vowels = sum(token.count(c) for c in "aeiouAEIOU")
+    kinds = "".join(c for c in "dulm" if c in classes)
+    bits = entropy(token)
+    return [f"n{min(n, 64).bit_length()}", f"n8{min(n, 80) // 8}", f"d{10 * digits // n}", f"u{10 * upper // n}", f"l{10 * lower // n}", f"m{min(marks, 6)}",
+            f"t{10 * turns // n}", f"e{int(2 * bits)}", f"q{int(10 * bits / math.log2(n)) if n > 1 else 0}", f"k{kinds}", f"r{min(longest, 12)}", f"s{10 * longest // n}",
+            f"v{10 * vowels // max(1, upper + lower)}", f"x{int(all(c in '0123456789abcdefABCDEF' for c in token))}", f"kt{kinds}{5 * turns // n}",
+            f"a{'.' in token}{'/' in token}{'=' in token[:-2]}"]
 
 
 def word_features(word: str, place: str) -> list[str]:
-    low = word.lower()
     shape = re.sub(r"[a-z]+", "a", re.sub(r"[A-Z]+", "A", re.sub(r"[0-9]+", "0", word)))[:6]
-    hint = next((h for h in HINTS if h in low), "")
-    return [f"{place}s{shape}", f"{place}h{hint}", f"{place}w{low[:12]}" if hint else f"{place}w"]
+    return [f"{place}s{shape}", f"{place}h{_has_hint(word)}"]
+
+
+def beside_features(tokens: list[tuple[str, int, int]], i: int, shape: list[str]) -> list[str]:
+    """Whether a hint word or an assignment mark is before the token, alone and along with parts of its shape."""
+    before = [tokens[k][0] for k in range(max(0, i - BESIDE), i)]
+    kind = f"b{any(map(_has_hint, before))}{bool(before) and before[-1][-1] in ':='}"
+    return [kind, *(kind + x for x in shape if x[0] in "ktnr")]
 
 
 def file_features(text: str, n_runs: int, part: int = 1 << 20) -> list[str]:
@@ -161,9 +192,11 @@ class Chain:
             may = possible(word) or hinted(tokens, i)
             touches = i > 0 and tokens[i - 1][2] == a
             if may or touches:
-                own = ["bias", *file, *shape_features(word)]
+                shape = shape_features(word)
+                own = ["bias", *file, *shape]
                 own.append(f"touch{touches}")
                 if not drop_words:
+                    own += beside_features(tokens, i, shape)
                     for k in range(1, BESIDE + 1):
                         own += word_features(tokens[i - k][0], f"-{k}") if i >= k else [f"-{k}none"]
                         own += word_features(tokens[i + k][0], f"+{k}") if i + k < len(tokens) else [f"+{k}none"]
@@ -197,10 +230,11 @@ def windows_of(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def chains(text: str, runs: list[tuple[int, int]], drop_words: bool = False) -> list[Chain]:
-    """One for each window with a possible token."""
+def chains(text: str, runs: list[tuple[int, int]], drop_words: bool = False, file: list[str] | None = None) -> list[Chain]:
+    """One for each window with a possible token.  file: the features of the whole file, if the text is a part of one."""
     windows, out = windows_of(text, runs), []
-    file = file_features(text, max(1, sum(possible(text[a:z]) for a, z in runs))) if windows else []
+    if windows and file is None:
+        file = file_features(text, max(1, sum(possible(text[a:z]) for a, z in runs)))
     for low, high in windows:
         c = Chain([(m[0], *m.span()) for m in TOKEN.finditer(text, low, high)], file, drop_words)
         begins = [i for i, (_, begin, _) in enumerate(c.allowed) if begin]
@@ -253,34 +287,39 @@ class Field:
         return np.where(allowed, out, -1e9)
 
     @classmethod
-    def fit(cls, chains_: list[Chain], tags: list[list[int]], steps: int = 150, rate: float = 0.1, l2: float = 1e-3) -> Field:
-        """Maximum likelihood with forward-backward sums over all chains at once, by Adam."""
-        place, feature, allowed, n, real = cls.lots(chains_)
-        c, length = len(chains_), allowed.shape[1]
-        gold_ = np.zeros((c, length), dtype=np.int64)
-        for k, t in enumerate(tags):
-            gold_[k, : len(t)] = t
-        params = np.zeros(FEATURES * 3 + 9)
+    def fit(cls, place: np.ndarray, feature: np.ndarray, allowed: np.ndarray, tags: np.ndarray, n: np.ndarray,
+            start: Field | None = None, steps: int = 120, rate: float = 0.1, l2: float = 1e-4) -> Field:
+        """Maximum likelihood with forward-backward sums over all chains at once, by Adam.
+
+        Cells are all chains' first tokens, then all second ones, and so on, longest chain first, so that each
+        step over the chains works on whole blocks without padding.  Entries (place, feature); allowed[cell, tag],
+        tags[cell], n[chain] (descending).
+        """
+        at = [int((n > i).sum()) for i in range(int(n[0]))]
+        begin = np.concatenate([[0], np.cumsum(at)])
+        chain = np.concatenate([np.arange(m) for m in at])
+        later = np.arange(begin[1], begin[-1])
+        earlier = np.concatenate([np.arange(begin[i], begin[i] + m) for i, m in enumerate(at[1:])] or [later])
+        last = begin[n - 1] + np.arange(len(n))
+        target, cells = np.eye(3)[tags], len(chain)
+        pairs = target[earlier].T @ target[later]
+        params = np.zeros(FEATURES * 3 + 9) if start is None else np.concatenate([start.weights.ravel(), start.moves.ravel()])
         mean, square = np.zeros_like(params), np.zeros_like(params)
-        target = np.eye(3)[gold_] * real[:, :, None]
-        pairs = (real[:, 1:] * 1.0)[:, :, None, None] * np.einsum("cia,cib->ciab", target[:, :-1], target[:, 1:])
         for step in range(1, steps + 1):
-            field = cls(params[:-9].reshape(FEATURES, 3), params[-9:].reshape(3, 3))
-            emit = field.scores(place, feature, allowed)
-            forward, backward = np.zeros_like(emit), np.zeros_like(emit)
-            forward[:, 0] = emit[:, 0]
-            for i in range(1, length):
-                new = _log_sum(forward[:, i - 1, :, None] + field.moves, 1) + emit[:, i]
-                forward[:, i] = np.where(real[:, i, None], new, forward[:, i - 1])
-            total = _log_sum(forward[:, -1], 1)
-            for i in range(length - 2, -1, -1):
-                new = _log_sum(field.moves + (emit[:, i + 1] + backward[:, i + 1])[:, None, :], 2)
-                backward[:, i] = np.where(real[:, i + 1, None], new, 0.0)
-            chance = np.exp(np.minimum(forward + backward - total[:, None, None], 0)) * real[:, :, None]
-            move = np.exp(np.minimum(forward[:, :-1, :, None] + field.moves + (emit[:, 1:] + backward[:, 1:])[:, :, None, :] - total[:, None, None, None], 0)) * real[:, 1:, None, None]
-            error = ((chance - target) / c).reshape(-1, 3)
+            weights, moves = params[:-9].reshape(FEATURES, 3), params[-9:].reshape(3, 3)
+            emit = np.where(allowed, np.stack([np.bincount(place, weights[feature, t], minlength=cells) for t in range(3)], axis=1), -1e9)
+            forward, backward = emit.copy(), np.zeros_like(emit)
+            for i, m in enumerate(at[1:], 1):
+                forward[begin[i] : begin[i + 1]] += _log_sum(forward[begin[i - 1] : begin[i - 1] + m, :, None] + moves, 1)
+            total = _log_sum(forward[last], 1)
+            for i in range(len(at) - 1, 0, -1):
+                after = emit[begin[i] : begin[i + 1]] + backward[begin[i] : begin[i + 1]]
+                backward[begin[i - 1] : begin[i - 1] + at[i]] = _log_sum(moves + after[:, None, :], 2)
+            chance = np.exp(np.minimum(forward + backward - total[chain, None], 0))
+            move = np.exp(np.minimum(forward[earlier][:, :, None] + moves + (emit + backward)[later][:, None, :] - total[chain[later], None, None], 0)).sum(axis=0)
+            error = (chance - target) / len(n)
             grad_w = np.stack([np.bincount(feature, error[place, t], minlength=FEATURES) for t in range(3)], axis=1)
-            grad = np.concatenate([grad_w.ravel(), ((move - pairs).sum(axis=(0, 1)) / c).ravel()]) + l2 / 10 * params
+            grad = np.concatenate([grad_w.ravel(), ((move - pairs) / len(n)).ravel()]) + l2 * params
             mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad**2
             params = params - rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
         return cls(params[:-9].reshape(FEATURES, 3), params[-9:].reshape(3, 3))
@@ -290,6 +329,11 @@ class Field:
         if not chains_:
             return []
         place, feature, allowed, n, real = self.lots(chains_)
+        rows = self.best(place, feature, allowed, real)
+        return [r[:k].tolist() for r, k in zip(rows, n)]
+
+    def best(self, place: np.ndarray, feature: np.ndarray, allowed: np.ndarray, real: np.ndarray) -> np.ndarray:
+        """tags[chain, place] of chains as lots() gives them."""
         emit = self.scores(place, feature, allowed)
         best, back = emit[:, 0], []
         for i in range(1, emit.shape[1]):
@@ -303,8 +347,7 @@ class Field:
         for came in reversed(back):
             tag = came[np.arange(len(tag)), tag]
             tags.append(tag)
-        rows = np.stack(tags[::-1], axis=1)
-        return [r[:k].tolist() for r, k in zip(rows, n)]
+        return np.stack(tags[::-1], axis=1)
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -323,40 +366,143 @@ def model_spans(chain: Chain, tags: list[int]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Field:
-    """A field trained on base spans, from about ``sample`` texts with a long run at most (by hash)."""
-    rows = input_table(docs, doc_id="long", text="string").withColumn("h", F.xxhash64("doc_id", "text"))
-    some = rows.filter(F.col("text").rlike("[A-Za-z0-9+/_.=-]*[0-9][A-Za-z0-9+/_.=-]{11}|[A-Za-z0-9+/_.=-]{11}[0-9]"))
-    share = min(1.0, sample / max(1, some.count()))
-    chosen = some.filter(F.pmod("h", F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+def made_value(r: random.Random, alone: bool) -> str:
+    """A random value: of one part or several, some with a short prefix; longer ones where no name tells."""
+    chars = r.choice(ALPHABETS)
+    size = int(round((16 if alone else 8) * 2 ** r.uniform(0, 2 if alone else 3)))
+    if not alone and r.random() < 0.15:
+        chars, size = DIGITS, max(10, size)
+    value = "".join(r.choices(chars, k=size))
+    if r.random() < 0.3:
+        mark = r.choice("-_.")
+        for _ in range(r.randint(1, 3)):
+            value += mark + "".join(r.choices(chars, k=r.randint(6, 32)))
+    if r.random() < 0.3:
+        value = "".join(r.choices(LOWER, k=r.randint(2, 5))) + r.choice("-_") + value
+    return value
+
+
+def made_secret(r: random.Random, words: list[str]) -> tuple[str, str]:
+    """What leads to a made value (nothing, or a name and what is between), and the value."""
+    if r.random() < 0.4:
+        return "", made_value(r, True)
+    name = r.choice(NAMES)
+    if r.random() < 0.4:
+        name = r.choice(words) + r.choice("_-") + name
+    name = r.choice((name, name, name.upper(), name.capitalize()))
+    return name + r.choice(BETWEEN), made_value(r, False)
+
+
+def made_plain(r: random.Random, words: list[str]) -> str:
+    """Something of the text's own words that looks a little like a secret and isn't one."""
+    w = lambda: r.choice(words)
+    n = lambda digits: str(r.randrange(10**digits))
+    low = w().lower()
+    date = f"20{r.randrange(10, 30)}-{r.randrange(1, 13):02d}-{r.randrange(1, 29):02d}"
+    said = r.choice((w(), w().capitalize(), n(r.randint(1, 6)), f"{n(2)}.{n(2)}", date, f"{w()}_{w()}", f"{w()}-{n(2)}", "true"))
+    name = r.choice((*NAMES, w(), w()))
+    return r.choice((
+        f"{name}{r.choice(BETWEEN)}{said}", f"{name}{r.choice(BETWEEN)}{said}", f"{name} {w()} {said}",
+        f"https://www.{low}{w().lower()}.com/{w()}/{w()}-{n(3)}", f"/{w()}/{w()}/{w()}_{n(2)}.txt", f"{low}.{n(2)}@{w().lower()}.org",
+        f"{w()}-{date}-{n(3)}", f"{date}T{n(1)}0:{n(1)}5:00", f"{low}{w().capitalize()}{w().capitalize()}", f"{w().upper()}_{w().upper()}_{n(2)}",
+        f"{w()}-{n(1)}.{n(1)}.{n(2)}", f"+{n(2)}-{n(3)}-{n(7)}", f"{low}_{w()}_{w()}_{n(4)}", f"{low}-{w()}.{w()}.{low}{n(1)}"))
+
+
+def made_chains(text: str, r: random.Random, n_runs: int, drop_words: bool, made: int = MADE) -> list[tuple[Chain, list[int]]]:
+    """Chains with made secrets and made plain tokens among words of the text, and their tags.
+
+    n_runs: possible runs of the text; the file features are those of the text with what is put in.
+    """
+    out = []
+    for k in range(2 * made):
+        at = r.randrange(len(text) + 1)
+        # Plain words alone: other tokens of the text may be secrets that nobody has labelled.
+        around = [w for w in text[max(0, at - 120) : at + 120].split()[1:-1] if PLAIN.fullmatch(w) and not possible(w)]
+        words = LETTERS.findall(" ".join(around)) or ["name"]
+        lead, value = made_secret(r, words) if k < made else ("", made_plain(r, words))
+        place = r.randrange(len(around) + 1)
+        head = " ".join([*around[:place], lead]) if around[:place] else lead
+        head = head if lead or not head else head.rstrip() + " "
+        small = head + value + " " + " ".join(around[place:])
+        runs = [m.span() for m in RUN.finditer(small)]
+        spans = base_spans(small, runs)
+        if k < made:
+            spans.append(("model", len(head), len(head) + len(value)))
+        file = file_features(f"{text} {small}", max(1, n_runs + sum(possible(small[a:z]) for a, z in runs)))
+        out += [(c, gold(c, spans)) for c in chains(small, runs, drop_words, file)]
+    return out
+
+
+def training_chains(docs: DataFrame, sample: int = SAMPLE) -> pa.Table:
+    """h, k, features, sizes (features a token), allowed, tags, sure: the chains the field is fitted to, in a fixed order.
+
+    sure: whether the chain has a label, that of a base span or of being made.
+    """
+    rows = input_table(docs, doc_id="long", text="string").select(F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
+    rows = rows.withColumn("long_run", F.col("text").rlike("[A-Za-z0-9+/_.=-]*[0-9][A-Za-z0-9+/_.=-]{11}|[A-Za-z0-9+/_.=-]{11}[0-9]"))
+    n_long, n = rows.agg(F.count_if("long_run"), F.count(F.lit(1))).first()
+    of_long = min(n_long, max(sample // 2, sample - (n - n_long)))
+    share = F.when(F.col("long_run"), of_long / max(1, n_long)).otherwise((sample - of_long) / max(1, n - n_long))
+    made = min(MOST_MADE, MADE * max(1, sample // max(1, n)))
+    chosen = rows.filter(F.pmod("h", F.lit(1_000_000)) < share * 1_000_000)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             out = []
             for h, text in zip(batch.column("h").to_pylist(), batch.column("text").to_pylist()):
-                runs = [m.span() for m in RUN.finditer(text)]
+                r, runs, drop = random.Random(h), [m.span() for m in RUN.finditer(text)], bool(h & 1)
                 spans = base_spans(text, runs)
-                # A text trains with a few chains; texts that are all keys don't outweigh the others.
-                for k, c in enumerate(chains(text, runs, drop_words=bool(h & 1))[:4]):
-                    if len(c.spans) <= 64:
-                        ends = np.cumsum([len(f) for f in c.features]).tolist()
-                        out.append((h, k, [x for f in c.features for x in f], ends, [int(m) + 2 * int(t) for _, m, t in c.allowed], gold(c, spans)))
+                n_runs = sum(possible(text[a:z]) for a, z in runs)
+                every = [(c, gold(c, spans), False) for c in chains(text, runs, drop)[:PER_TEXT]]
+                every += [(c, t, True) for c, t in made_chains(text, r, n_runs, drop, made)]
+                pieces = [(c, t, known or any(t), at) for c, t, known in every for at in range(0, len(t), LONGEST)]
+                for k, (c, tags, sure, at) in enumerate(pieces):
+                    features = c.features[at : at + LONGEST]
+                    out.append((h, k, [x for f in features for x in f], [len(f) for f in features],
+                                [int(m) + 2 * int(t) for _, m, t in c.allowed[at : at + LONGEST]], tags[at : at + LONGEST], sure))
             if out:
-                yield pa.RecordBatch.from_pydict(dict(zip(("h", "k", "features", "ends", "allowed", "tags"), map(list, zip(*out)))))
-
-    found = chosen.mapInArrow(windows, "h long, k long, features array<long>, ends array<long>, allowed array<long>, tags array<long>").toArrow()
-    rows_ = sorted(found.to_pylist(), key=lambda r: (r["h"], r["k"], r["ends"]))
-    every, tags = [], []
-    for r in rows_:
-        c = Chain.__new__(Chain)
-        c.spans = [(0, 0)] * len(r["tags"])
-        c.features = [r["features"][a:z] for a, z in zip([0, *r["ends"]], r["ends"])]
-        c.allowed = [(True, bool(x & 1), bool(x & 2)) for x in r["allowed"]]
-        every.append(c)
-        tags.append(r["tags"])
-    if not every:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=names)
+
+    names = ["h", "k", "features", "sizes", "allowed", "tags", "sure"]
+    short, byte = pa.list_(pa.int16()), pa.list_(pa.int8())
+    kinds = [pa.int64(), pa.int32(), short, short, byte, byte, pa.bool_()]
+    found = chosen.mapInArrow(windows, "h long, k int, features array<short>, sizes array<short>, allowed array<byte>, tags array<byte>, sure boolean").toArrow()
+    # Rows alike in doc_id and text give the same chains.
+    return found.sort_by([("h", "ascending"), ("k", "ascending")]).combine_chunks()
+
+
+def train(docs: DataFrame, sample: int = SAMPLE) -> Field:
+    """A field fitted to chains of about ``sample`` texts at most (chosen by hash) and to examples made in them.
+
+    What the driver holds are arrays, bounded by the sample and by the first ``PER_TEXT`` chains of a text.
+    """
+    found = training_chains(docs, sample)
+    if not found.num_rows:
         return Field(np.zeros((FEATURES, 3)), np.zeros((3, 3)))
-    return Field.fit(every, tags)
+    flat = lambda name: np.asarray(found.column(name).combine_chunks().flatten())
+    n = np.asarray(pc.list_value_length(found.column("tags"))).astype(np.int64)
+    sizes, feature, tags = flat("sizes").astype(np.int64), flat("features"), flat("tags")
+    allowed = np.stack([np.ones(len(tags), dtype=bool), flat("allowed") & 1 > 0, flat("allowed") & 2 > 0], axis=1)
+    entries = np.cumsum(sizes) - sizes
+
+    def fit(kept: np.ndarray, start: Field | None = None, steps: int = 120) -> Field:
+        mine = np.flatnonzero(kept)[np.argsort(-n[kept], kind="stable")]
+        first = (np.cumsum(n) - n)[mine]
+        # Token i of all chains that have one, for each i.
+        cells = np.concatenate([first[n[mine] > i] + i for i in range(int(n[mine].max()))])
+        at = joined_ranges(entries[cells], sizes[cells])
+        return Field.fit(np.repeat(np.arange(len(cells)), sizes[cells]), feature[at].astype(np.int64), allowed[cells], tags[cells].astype(np.int64), n[mine], start, steps)
+
+    sure = np.asarray(found.column("sure").combine_chunks().to_numpy(zero_copy_only=False)).astype(bool)
+    field = fit(sure) if sure.any() else fit(~sure)
+    # Unlabelled chains that the field tags may hold secrets: they don't teach it that theirs is none.
+    longest, chain = int(n.max()), np.repeat(np.arange(len(n)), n)
+    cell = chain * longest + joined_ranges(np.zeros(len(n), np.int64), n)
+    padded = np.zeros((len(n) * longest, 3), dtype=bool)
+    padded[:, OUT] = True
+    padded[cell] = allowed
+    found_tags = field.best(np.repeat(cell, sizes), feature.astype(np.int64), padded.reshape(-1, longest, 3), np.arange(longest) < n[:, None])
+    return fit(sure | (found_tags == OUT).all(axis=1), field, 60) if sure.any() else field
 
 
 def secret_spans(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
