@@ -65,3 +65,22 @@ def test_relationship_on_driver_tables(spark):
                                      to_column="c_custkey")]).collect()
     known = {x[0] for x in tables["customer"].select("c_custkey").collect()}
     assert r.failures == sum(x[0] is not None and x[0] not in known for x in tables["orders"].select("o_custkey").collect())
+
+
+def test_checks_scan_each_table_once_and_store_rows(spark, scratch):
+    from touchline.operators.quality import failing_keys, read_failures
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (2, None), (None, None), (None, None), (9, "z")], "k int, v string")
+    b = spark.createDataFrame([(1,), (2,), (2,)], "id int")
+    checks = [Check("a", "unique", "k"), Check("a", "not_null", "k"), Check("a", "not_null", "v"), Check("a", "accepted_values", "v", ("x",)),
+              Check("a", "relationships", "k", to_table="b", to_column="id"), Check("b", "unique", "id"), Check("a", "expression", "k", expr="k < 5")]
+    got = {(r.table_name, r.check_name, r.column_name): r.failures for r in run_checks({"a": a, "b": b}, checks).collect()}
+    assert [got[c.table, c.kind, c.column] for c in checks] == [1, 2, 3, 2, 1, 1, 1]
+    store_failures({"a": a, "b": b}, scratch, checks)
+    stored = {(r.table_name, r.check_name, r.column_name, r.key, r.n_rows) for r in read_failures(spark, scratch).collect()}
+    assert {("a", "unique", "k", "1", 2), ("a", "not_null", "k", "{}", 2), ("a", "relationships", "k", "9", 1), ("a", "expression", "k", '{"k":9,"v":"z"}', 1)} <= stored
+    paths = []
+    for name, df in (("a", a), ("b", b)):
+        df.write.parquet(f"{scratch}-{name}")
+        paths.append(spark.read.parquet(f"{scratch}-{name}"))
+    plan = failing_keys(dict(zip("ab", paths)), checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2

@@ -8,7 +8,7 @@ from touchline.plans.models import Models
 from touchline.sources.schemas import STREAM_EVENT_SCHEMA
 from touchline.sources.scan import raw_events, read_sharded_events
 from touchline.sources.sinks import (
-    apply_retention, ensure_event_table, export_partition, register_views, restore_partition,
+    apply_retention, retain_in_place, ensure_event_table, export_partition, register_views, restore_partition,
     write_clustered, write_mart,
 )
 from touchline.streaming.ingest import first_arrivals, stream_rows_from_raw, with_resends
@@ -73,6 +73,24 @@ def test_export_restore_and_retention(spark, scratch):
     assert kept.count() == rows.where(F.to_date("ingestion_timestamp") >= F.lit(date(2024, 1, 24))).count()
 
 
+def test_retention_in_place(spark, scratch):
+    """Expired dates go, a date with some expired rows is rewritten, all other files stay as they are."""
+    days = [(f"2024-01-{d:02d}", f"2024-01-{s:02d} 10:00:00", f"{d}-{s}") for d in range(1, 11) for s in (d, d + 1)]
+    rows = spark.createDataFrame(days + [("2024-01-02", None, "no stamp")], "event_date string, at string, id string")
+    rows = rows.selectExpr("cast(event_date as date) event_date", "cast(at as timestamp) ingestion_timestamp", "id")
+    path = os.path.join(scratch, "events")
+    write_clustered(rows, path, "event_date", ("id",))
+    files = lambda: {os.path.join(b, f): os.path.getmtime(os.path.join(b, f)) for b, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    before = files()
+    done = retain_in_place(spark, path, days=3, as_of="2024-01-10")
+    assert done == {"dropped": ["2024-01-01", "2024-01-03", "2024-01-04", "2024-01-05"], "rewritten": ["2024-01-02", "2024-01-06"]}
+    got = {r.id for r in spark.read.parquet(path).collect()}
+    assert got == {r.id for r in rows.where("ingestion_timestamp is null or to_date(ingestion_timestamp) >= '2024-01-07'").collect()}
+    late = {f: t for f, t in before.items() if any(f"event_date=2024-01-{d:02d}" in f for d in range(7, 11))}
+    assert late and all(files().get(f) == t for f, t in late.items()) and len(files()) < len(before)
+    assert retain_in_place(spark, path, days=3, as_of="2024-01-10") == {"dropped": [], "rewritten": []}
+
+
 def test_stream_ingest_with_refresh_handles_late_events(spark, scratch):
     """Ingest with the mart-refresh callback; a later file carries events for
     early dates (late arrivals).  The incrementally refreshed marts must

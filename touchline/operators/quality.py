@@ -1,9 +1,8 @@
 """Declarative data-quality checks over the derived tables.
 
-``run_checks`` evaluates every not_null / accepted_values / expression
-check of a table in ONE aggregate pass (``count_if`` per check), each
-unique check as one grouped count, and each relationship as one
-``left_anti`` join; the result is one small DataFrame
+``run_checks`` scans each table once: keys to be unique or related and
+whatever fails another check are stacked and aggregated by (check, key);
+the result is one small DataFrame
 ``(table_name, check_name, column_name, failures)``.
 """
 
@@ -96,23 +95,6 @@ def checked_columns(checks) -> dict[str, set]:
     return need
 
 
-def _row(check: Check, failures) -> DataFrame:
-    return failures.select(
-        F.lit(check.table).alias("table_name"), F.lit(check.kind).alias("check_name"),
-        F.lit(check.column).alias("column_name"), F.col("failures").cast("bigint").alias("failures"))
-
-
-def _scalar_failures(check: Check):
-    c = F.col(check.column)
-    if check.kind == "not_null":
-        return F.count_if(c.isNull())
-    if check.kind == "accepted_values":
-        return F.count_distinct(F.when(~c.isin(*check.values), c))
-    if check.kind == "expression":
-        return F.count_if(~F.expr(check.expr))
-    raise ValueError(check.kind)
-
-
 def violations(tables: dict[str, DataFrame], check: Check) -> DataFrame:
     """The failing rows (or values) of one check, for storing."""
     df = tables[check.table]
@@ -132,32 +114,72 @@ def violations(tables: dict[str, DataFrame], check: Check) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
+def _marks(check: Check, number: int, columns: list[str]):
+    """The struct a row of the checked table adds to the stack (null: nothing)."""
+    c = F.col(check.column)
+    key, when = c.cast("string"), c.isNotNull()
+    if check.kind in ("not_null", "expression"):
+        # The whole row, so that the stored failure tells which one it is.
+        key, when = F.to_json(F.struct(*columns)), c.isNull() if check.kind == "not_null" else ~F.expr(check.expr)
+    elif check.kind == "accepted_values":
+        when = ~c.isin(*check.values)
+    return F.when(when, F.struct(F.lit(number).alias("check"), key.alias("key"), F.lit(0).alias("parents")))
+
+
+def failing_keys(tables: dict[str, DataFrame], checks=MODEL_CHECKS) -> DataFrame:
+    """check (its number), key, n_rows: every value, or row as JSON, that fails a check.
+
+    Each table is scanned once: a row adds its keys of the unique and relationships checks, and what fails one
+    of the other checks, to one stack for all tables, which is aggregated by (check, key) with
+    map-side sums, so neither a hot key nor a column that is null throughout makes a large group.
+    """
+    stacks = []
+    for name, df in tables.items():
+        marks = [_marks(ch, i, df.columns) for i, ch in enumerate(checks) if ch.table == name]
+        marks += [F.when(F.col(ch.to_column).isNotNull(), F.struct(F.lit(i).alias("check"), F.col(ch.to_column).cast("string").alias("key"), F.lit(1).alias("parents")))
+                  for i, ch in enumerate(checks) if ch.kind == "relationships" and ch.to_table == name]
+        if marks:
+            stacks.append(df.select(F.explode(F.array_compact(F.array(*marks))).alias("m")).select("m.*"))
+    kinds = {kind: [i for i, ch in enumerate(checks) if ch.kind == kind] for kind in ("unique", "relationships")}
+    per_key = reduce(DataFrame.unionAll, stacks).groupBy("check", "key").agg(
+        F.count_if(F.col("parents") == 0).alias("n_rows"), F.sum("parents").alias("n_parents"))
+    fails = F.when(F.col("check").isin(kinds["unique"]), F.col("n_rows") > 1).when(
+        F.col("check").isin(kinds["relationships"]), (F.col("n_parents") == 0)).otherwise(True)
+    return per_key.where(fails).select("check", "key", "n_rows")
+
+
+def _named(spark, checks) -> DataFrame:
+    return spark.createDataFrame([(i, ch.table, ch.kind, ch.column) for i, ch in enumerate(checks)],
+                                 "check int, table_name string, check_name string, column_name string")
+
+
+def count_failures(failing: DataFrame, checks=MODEL_CHECKS) -> DataFrame:
+    """One row for each check: table_name, check_name, column_name, failures (0 where all is well).
+
+    Keys are counted for unique and accepted_values checks, rows for the others.
+    """
+    by_key = [i for i, ch in enumerate(checks) if ch.kind in ("unique", "accepted_values")]
+    counts = failing.groupBy("check").agg(F.sum(F.when(F.col("check").isin(by_key), 1).otherwise(F.col("n_rows"))).alias("failures"))
+    return _named(failing.sparkSession, checks).join(counts, "check", "left").select(
+        "table_name", "check_name", "column_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
+
+
 def run_checks(tables: dict[str, DataFrame], checks=MODEL_CHECKS) -> DataFrame:
-    parts = []
-    by_table: dict[str, list[Check]] = {}
-    for ch in checks:
-        if ch.kind in ("not_null", "accepted_values", "expression"):
-            by_table.setdefault(ch.table, []).append(ch)
-        else:
-            parts.append(_row(ch, violations(tables, ch).agg(F.count(F.lit(1)).alias("failures"))))
-    for table, chs in by_table.items():
-        one_pass = tables[table].agg(*[_scalar_failures(ch).alias(f"f{i}") for i, ch in enumerate(chs)])
-        stacked = one_pass.select(F.explode(F.array(*[
-            F.struct(F.lit(ch.table).alias("table_name"), F.lit(ch.kind).alias("check_name"),
-                     F.lit(ch.column).alias("column_name"), F.col(f"f{i}").cast("bigint").alias("failures"))
-            for i, ch in enumerate(chs)])).alias("r")).select("r.*")
-        parts.append(stacked)
-    return reduce(DataFrame.unionByName, parts)
+    return count_failures(failing_keys(tables, checks), checks)
 
 
 def store_failures(tables: dict[str, DataFrame], path: str, checks=MODEL_CHECKS) -> list[str]:
-    """Write the violating rows of each check under ``path/<check name>``."""
-    written = []
-    for ch in checks:
-        target = os.path.join(path, ch.name)
-        violations(tables, ch).write.mode("overwrite").parquet(target)
-        written.append(target)
-    return written
+    """Write what fails, in one job: table_name, check_name, column_name, key, n_rows, one folder for each
+    table and kind of check.  A run replaces what the run before stored.  Returns each check's folder, which
+    is absent where nothing fails."""
+    failing = failing_keys(tables, checks).join(_named(next(iter(tables.values())).sparkSession, checks), "check").drop("check")
+    failing.write.mode("overwrite").partitionBy("table_name", "check_name").parquet(path)
+    return [os.path.join(path, f"table_name={ch.table}", f"check_name={ch.kind}") for ch in checks]
+
+
+def read_failures(spark, path: str) -> DataFrame:
+    """What store_failures wrote; empty if nothing failed."""
+    return spark.read.schema("column_name string, key string, n_rows bigint, table_name string, check_name string").parquet(path)
 
 
 def oracle_check_sql(check: Check, cte: dict[str, str]) -> str:

@@ -25,8 +25,9 @@ from touchline.operators.credit import credit_by_channel, journey_shares
 from touchline.operators.funnel import LIMIT_HOURS, STEPS, funnel_by_channel, funnel_progress
 from touchline.operators.identity import stitch, user_identity
 from touchline.operators.quality import (
-    CUSTOM_CHECKS, MODEL_CHECKS, checked_columns, oracle_check_sql, run_checks,
+    CUSTOM_CHECKS, MODEL_CHECKS, Check, checked_columns, count_failures, oracle_check_sql, read_failures, run_checks, store_failures,
 )
+from touchline.operators.sketches import STANDARD_ERROR, store_sketches, users_in_range
 from touchline.operators.sessionize import (
     gap_sessions, sessionize_by_gap, sessions_by_window, top_conversion_per_session,
 )
@@ -35,7 +36,7 @@ from touchline.sources.scan import raw_events, read_sharded_events
 from touchline.sources.snapshots import Generation
 from touchline.streaming.refresh_all import build_all, refresh_all
 from touchline.sources.sinks import (
-    apply_retention, export_partition, read_event_table, restore_partition, write_clustered, write_incremental, write_mart,
+    apply_retention, export_partition, read_event_table, register_views, restore_partition, retain_in_place, write_clustered, write_incremental, write_mart,
 )
 from touchline.streaming.ingest import (
     STREAM_EVENT_SCHEMA, first_arrivals, ingest, new_scratch, stream_rows_from_raw, with_resends, write_json_lines,
@@ -595,6 +596,48 @@ def q_approx_users(spark, sf_dir):
     return serving.approx_unique_users(models(spark, sf_dir).events)
 
 
+_STORED_CHECKS = (
+    Check("stg_ga4_events", "not_null", "traffic_source"), Check("stg_ga4_events", "accepted_values", "channel", ("Direct", "Organic Search")),
+    Check("int_touchpoints", "unique", "touchpoint_date"), Check("int_touchpoints", "relationships", "channel", to_table="stg_ga4_conversions", to_column="conversion_channel"),
+    Check("stg_ga4_conversions", "expression", "conversion_value", expr="conversion_value > 50"),
+)
+
+
+@register("failures_stored", q(" UNION ALL ".join(oracle_check_sql(c, _ORACLE_CTE) for c in _STORED_CHECKS)))
+def q_failures_stored(spark, sf_dir):
+    """Checks, most of which fail, counted from the failing keys and rows that one job stored."""
+    m = models(spark, sf_dir)
+    path = new_scratch(spark, "failures")
+    store_failures({"stg_ga4_events": m.events, "int_touchpoints": m.touchpoints, "stg_ga4_conversions": m.conversions}, path, _STORED_CHECKS)
+    names = spark.createDataFrame([(i, c.table, c.kind, c.column) for i, c in enumerate(_STORED_CHECKS)], "check int, table_name string, check_name string, column_name string")
+    return count_failures(read_failures(spark, path).join(names, ["table_name", "check_name", "column_name"]), _STORED_CHECKS)
+
+
+@register("users_in_range_from_sketches", q("""
+SELECT channel, count(DISTINCT user_pseudo_id) AS exact_users, true AS estimate_within_bound
+FROM stg_events WHERE CAST(event_datetime AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+GROUP BY GROUPING SETS ((channel), ())"""))
+def q_range_sketches(spark, sf_dir):
+    """Users of a range of dates by channel and in all: stored sketches against the exact counts."""
+    path = new_scratch(spark, "user-sketches")
+    events = models(spark, sf_dir).events
+    store_sketches(events, path)
+    estimates = users_in_range(spark, path, "2024-01-05", "2024-01-20")
+    exact = (events.where(F.to_date("event_datetime").between("2024-01-05", "2024-01-20")).groupingSets([["channel"], []], "channel")
+             .agg(F.countDistinct("user_pseudo_id").alias("exact_users")))
+    far = F.abs(F.col("estimated_users") - F.col("exact_users"))
+    return (exact.alias("x").join(estimates.alias("e"), F.expr("x.channel <=> e.channel"), "left")
+            .select("x.channel", "exact_users", F.coalesce(far <= F.greatest(F.lit(1.0), 3 * STANDARD_ERROR * F.col("exact_users")), F.lit(False)).alias("estimate_within_bound")))
+
+
+@register("views_of_models", q("SELECT session_channel, count(*) AS sessions FROM stg_sessions GROUP BY session_channel"))
+def q_views(spark, sf_dir):
+    """Sessions by channel, from the models registered as views."""
+    m = models(spark, sf_dir)
+    register_views({"stg_ga4_sessions_view": m.sessions})
+    return spark.sql("SELECT session_channel, count(*) AS sessions FROM stg_ga4_sessions_view GROUP BY session_channel")
+
+
 # ---------------------------------------------------------------- written tables, read back
 @register("events_in_shard_range", q("""
 SELECT event_date, count(*) AS events FROM raw
@@ -634,6 +677,17 @@ def q_retained(spark, sf_dir):
     return apply_retention(spark, path, f"{path}-kept", days=7, as_of=STREAM_AS_OF[:10]).select("event_id", "event_date")
 
 
+@register("events_retained_in_place", q(f"""
+SELECT event_id, event_date FROM stream_sink
+WHERE CAST(ingestion_timestamp AS DATE) >= CAST(TIMESTAMP '{STREAM_AS_OF}' AS DATE) - 7"""))
+def q_retained_in_place(spark, sf_dir):
+    """The stored stream events after expired ones were deleted from the table itself."""
+    path = new_scratch(spark, "stream-events")
+    write_clustered(first_arrivals(with_resends(_stream_rows(spark, sf_dir))), path, "event_date", ("event_name", "user_pseudo_id"))
+    retain_in_place(spark, path, days=7, as_of=STREAM_AS_OF[:10])
+    return read_event_table(spark, path, STREAM_EVENT_SCHEMA).select("event_id", "event_date")
+
+
 @register("dead_letters", q("""
 SELECT 'malformed_json' AS reason, count(*) AS lines FROM stream_rows WHERE event_timestamp % 20 = 0
 UNION ALL

@@ -1,5 +1,5 @@
 """Sinks: event table, views, partitioned marts, incremental refresh,
-export / restore by date and retention rewrites.
+export / restore by date and retention (to a new path or in place).
 
 All writes are Parquet directories (shared storage on a cluster); a
 failed job leaves no partial output because each write commits as a
@@ -9,9 +9,11 @@ whole through the output committer.
 from __future__ import annotations
 
 import os
+import uuid
 from datetime import date, datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,3 +127,37 @@ def apply_retention(spark: SparkSession, path: str, out_path: str, days: int = 7
         w = w.partitionBy(*partition_cols)
     w.parquet(out_path)
     return spark.read.parquet(out_path)
+
+
+def retain_in_place(spark: SparkSession, path: str, days: int = 7, as_of=None, ts_col: str = "ingestion_timestamp",
+                    partition_col: str = "event_date") -> dict[str, list[str]]:
+    """Delete rows of the table at ``path`` whose ``date(ts_col)`` is more than ``days`` before ``as_of``.
+
+    One scan of ``ts_col`` alone tells what each date holds.  Dates of which every row is expired go as folders;
+    a date with some expired rows is rewritten, first to a folder beside the table and from there by
+    dynamic overwrite, whose commit swaps whole dates; all other dates keep their files.  Rows without
+    a ``ts_col`` stay.  A run that failed is finished by the next one.  Returns the dates dropped and rewritten.
+    """
+    today = _day(as_of) if as_of is not None else datetime.utcnow().date()
+    cutoff = F.lit(today - timedelta(days=days))
+    table = spark.read.parquet(path)
+    stays = F.coalesce(F.to_date(ts_col) >= cutoff, F.lit(True))
+    held = table.groupBy(partition_col).agg(F.count_if(stays).alias("kept"), F.count_if(~stays).alias("expired")).where("expired > 0").collect()
+    dropped = [r[0] for r in held if not r.kept]
+    boundary = [r[0] for r in held if r.kept]
+    if boundary:
+        beside = f"{path.rstrip('/')}-retained-{uuid.uuid4().hex}"
+        cut = reduce(Column.__or__, [F.col(partition_col).eqNullSafe(d) for d in boundary])
+        table.where(cut & stays).write.partitionBy(partition_col).parquet(beside)
+        # By the table's own schema: dates may be strings there.
+        write_incremental(spark.read.schema(table.schema).parquet(beside), path, partition_col)
+        _delete(spark, beside)
+    for d in dropped:
+        _delete(spark, os.path.join(path, f"{partition_col}={'__HIVE_DEFAULT_PARTITION__' if d is None else d}"))
+    spark.catalog.refreshByPath(path)
+    return {"dropped": sorted(map(str, dropped)), "rewritten": sorted(map(str, boundary))}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
