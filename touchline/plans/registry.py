@@ -32,9 +32,12 @@ from touchline.operators.sessionize import (
     gap_sessions, sessionize_by_gap, sessions_by_window, top_conversion_per_session,
 )
 from touchline.sources.adapter import with_logins
+from touchline.operators.staging import stage_events
 from touchline.sources.scan import raw_events, read_sharded_events
+from touchline.sources.schemas import RAW_EVENT_SCHEMA
 from touchline.sources.snapshots import Generation
 from touchline.streaming.refresh_all import build_all, refresh_all
+from touchline.streaming.session_state import current_sessions, store_session_changes
 from touchline.sources.sinks import (
     apply_retention, export_partition, read_event_table, register_views, restore_partition, retain_in_place, write_clustered, write_incremental, write_mart,
 )
@@ -561,6 +564,22 @@ def q_gap_sessions(spark, sf_dir):
     return ntz(gap_sessions(sessionize_by_gap(models(spark, sf_dir).events)))
 
 
+@register("sessions_streamed", q("SELECT * FROM gap_sessions"))
+def q_streamed_sessions(spark, sf_dir):
+    """The sessions that a stream's stored changes lead to.  Every seventh event of the whole table
+    arrives last, in a run of its own, days late for most, and corrects the sessions of the first run."""
+    ensure_utc(spark)
+    base = new_scratch(spark, "stream-sessions")
+    raw = raw_events(spark, sf_dir)
+    late = F.col("event_timestamp") % 7 == 0
+    for part in (raw.where(~late | late.isNull()), raw.where(late)):
+        part.write.mode("append").parquet(f"{base}/incoming")
+        events = stage_events(spark.readStream.schema(RAW_EVENT_SCHEMA).parquet(f"{base}/incoming"),
+                              AttributionConfig(as_of=RUN_AS_OF))
+        store_session_changes(spark, events, f"{base}/changes", f"{base}/state")
+    return ntz(current_sessions(spark.read.parquet(f"{base}/changes")))
+
+
 @register("sessions_by_window", q("SELECT user_pseudo_id, session_day, session_start, session_end, events FROM gap_sessions"))
 def q_window_sessions(spark, sf_dir):
     return ntz(sessions_by_window(models(spark, sf_dir).events))
