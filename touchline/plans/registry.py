@@ -505,7 +505,7 @@ def _stream_view(df):
                          F.col("traffic_source.medium").alias("medium"), "ingestion_timestamp"))
 
 
-def ingested(spark, sf_dir) -> DataFrame:
+def ingested(spark, sf_dir, indexed: bool = False) -> DataFrame:
     """A sink filled by the Structured Streaming ingest in two runs: the feed,
     then its resends with another stamp and a third of the feed once more."""
     base = new_scratch(spark, "stream-ingest")
@@ -513,7 +513,8 @@ def ingested(spark, sf_dir) -> DataFrame:
     src = f"{base}/incoming"
     for part in (feed, with_resends(feed).exceptAll(feed).unionByName(feed.where(F.col("event_timestamp") % 3 == 0))):
         write_json_lines(part, src)
-        ingest(spark, src, f"{base}/sink", f"{base}/checkpoint", f"{base}/dead_letter")
+        ingest(spark, src, f"{base}/sink", f"{base}/checkpoint", f"{base}/dead_letter",
+               ids=f"{base}/ids" if indexed else None)
     return read_event_table(spark, f"{base}/sink", STREAM_EVENT_SCHEMA)
 
 
@@ -524,6 +525,12 @@ def q_stream_ingest(spark, sf_dir):
     return _stream_view(ingested(spark, sf_dir))
 
 
+@register("stream_ingest_indexed", q("SELECT * FROM stream_sink"))
+def q_stream_ingest_indexed(spark, sf_dir):
+    """The sink of the streaming ingest when an index of stored events by date says which dates to read."""
+    return _stream_view(ingested(spark, sf_dir, indexed=True))
+
+
 @register("recent_stream_events", q("""
 SELECT event_id, event_name, user_pseudo_id, make_timestamp(event_timestamp) AS event_time,
        source, medium, ingestion_timestamp

@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from touchline.functions.ids import hashed_event_id
 from touchline.sources.schemas import RAW_EVENT_SCHEMA, STREAM_EVENT_SCHEMA
 from touchline.sources.sinks import read_event_table, table_exists, write_clustered
+from touchline.streaming.id_index import StoredIds
 
 CORRUPT = "_corrupt_record"
 REQUIRED = [f.name for f in STREAM_EVENT_SCHEMA.fields if not f.nullable]
@@ -195,22 +196,31 @@ def with_deadline(action, seconds: float = RETRY_SECONDS, first_wait: float = 0.
             wait *= 2
 
 
-def append_new_events(batch: DataFrame, sink: str, batch_id: int | None = None, log: CommitLog | None = None) -> int:
+def append_new_events(batch: DataFrame, sink: str, batch_id: int | None = None, log: CommitLog | None = None,
+                      ids: str | None = None) -> int:
     """Long-horizon dedup + append (the ``foreachBatch`` body).
 
     Keeps the earliest arrival per event within the batch, removes events
     already in the sink, appends the rest partitioned by ``event_date``.
     Of the sink only the batch's dates are read: there are as many of them
-    as days, so they go into the partition filter as values.  Returns the
-    rows written."""
+    as days, so they go into the partition filter as values.  With ``ids``, the
+    folder of an index of the sink's events, only those of them on which the
+    index has an event of the batch.  Returns the rows written."""
     spark = batch.sparkSession
+    index = StoredIds(spark, ids, SAME_EVENT) if ids is not None else None
     arrived = first_arrivals(batch).persist()
     try:
         fresh = arrived
         dates = [r["event_date"] for r in arrived.select("event_date").distinct().collect()]
         if table_exists(spark, sink) and dates:
-            stored = (read_event_table(spark, sink, STREAM_EVENT_SCHEMA)
-                      .where(F.col("event_date").isin(dates)).select(*[F.col(c).alias(f"_{c}") for c in SAME_EVENT], "event_date"))
+            stored = read_event_table(spark, sink, STREAM_EVENT_SCHEMA)
+            if index is not None:
+                index.cover(stored)
+                dates = index.dates_to_look_at(arrived, dates)
+        else:
+            dates = []
+        if dates:
+            stored = (stored.where(F.col("event_date").isin(dates)).select(*[F.col(c).alias(f"_{c}") for c in SAME_EVENT], "event_date"))
             same = fresh["event_date"] == stored["event_date"]
             for c in SAME_EVENT:
                 same = same & fresh[c].eqNullSafe(stored[f"_{c}"])
@@ -222,6 +232,8 @@ def append_new_events(batch: DataFrame, sink: str, batch_id: int | None = None,
                 # Of a batch that is tried again, what it first set out to write counts.
                 n = log.begun(batch_id, left)
             if left:
+                if index is not None:
+                    index.add(new)
                 write_clustered(new, sink, "event_date", ("event_name", "user_pseudo_id"))
         finally:
             if new is not arrived:
@@ -245,7 +257,8 @@ class IngestReport:
 
 def ingest(spark: SparkSession, source_dir: str, sink: str, checkpoint: str,
            dead_letter: str | None = None, refresh=None,
-           dedup_window: str = DEDUP_WINDOW, retry_seconds: float = RETRY_SECONDS) -> IngestReport:
+           dedup_window: str = DEDUP_WINDOW, retry_seconds: float = RETRY_SECONDS,
+           ids: str | None = None) -> IngestReport:
     """Run the ingestion stream over everything currently in ``source_dir``
     (``availableNow``) and report what was written.
 
@@ -254,7 +267,9 @@ def ingest(spark: SparkSession, source_dir: str, sink: str, checkpoint: str,
     ``refresh(spark, new_rows_df)`` is called per batch after the append
     (e.g. to rebuild the marts of the affected dates).  A batch that fails is
     tried again for ``retry_seconds``; a log beside the checkpoint makes a batch
-    that was done already, or in part, count and write once."""
+    that was done already, or in part, count and write once.  ``ids`` names the
+    folder of an index of the sink's events (see ``id_index``); without it the
+    sink's rows of the batch's dates are read."""
     counts = {"rows": 0, "dead": 0, "batches": 0}
     log = CommitLog(spark, f"{checkpoint.rstrip('/')}-batches")
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
@@ -278,7 +293,7 @@ def ingest(spark: SparkSession, source_dir: str, sink: str, checkpoint: str,
                     # A folder of the batch's own: a second try writes it over.
                     bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
                         f"{dead_letter}/stream={stream}/batch={batch_id}")
-            rows = append_new_events(good, sink, batch_id, log)
+            rows = append_new_events(good, sink, batch_id, log, ids)
             if refresh is not None:
                 refresh(spark, good)
             log.done(batch_id, rows)
