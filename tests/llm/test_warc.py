@@ -48,6 +48,17 @@ def test_null_and_repeated_page_ids(spark, scratch):
     assert all(r.payload_bytes == 1500 for r in got if r.payload_digest == hashlib.sha1(p.encode()).hexdigest())
 
 
+def test_repeated_rows_have_records_of_their_own(spark, scratch):
+    p = "y" * 1500
+    rows = [(5, "b", p)] * 3 + [(5, "c", p), (4, "b", p), (4, "b", p), (None, "a", p), (None, "a", p)] + [(6, "s", "short")] * 2
+    heads = read_archives(write_archives(pages(spark, rows), f"{scratch}/w"), f"{scratch}/w").collect()
+    assert len({h.record_id for h in heads}) == len(rows)
+    (original,) = [h.record_id for h in heads if h.record_type == "response" and h.page_id == 5]
+    revisits = [h for h in heads if h.record_type == "revisit"]
+    assert len(revisits) == 7
+    assert all(h.refers_to_record == original != h.record_id for h in revisits)
+
+
 def test_empty_table(spark, scratch):
     manifest = write_archives(pages(spark, []), f"{scratch}/w")
     assert resolve(read_archives(manifest, f"{scratch}/w")).collect() == []

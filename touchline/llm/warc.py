@@ -28,14 +28,15 @@ VERSION = b"WARC/1.1\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def record_id(page_id: int | None, payload_digest: str) -> str:
-    """The same for every attempt to write the record."""
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{payload_digest}')}>"
+def record_id(page_id: int | None, payload_digest: str, nth: int = 1) -> str:
+    """The same for every attempt to write the record; nth: which of the rows of one page_id and payload."""
+    name = f"{page_id}/{payload_digest}" if nth == 1 else f"{page_id}/{payload_digest}/{nth}"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, original: int | None, revisit: bool,
-           date: str = DATE) -> bytes:
-    """One record, compressed as a gzip member of its own."""
+           date: str = DATE, nth: int = 1) -> bytes:
+    """One record, compressed as a gzip member of its own.  A revisit refers to its original page's first row."""
     import gzip
 
     uri = "".join(" " if c < " " else c for c in url) if url else f"urn:page:{page_id}"
@@ -43,7 +44,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, or
     block = http if revisit else http + payload
     head = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", record_id(page_id, digest)),
+        ("WARC-Record-ID", record_id(page_id, digest, nth)),
         ("WARC-Date", date),
         ("WARC-Target-URI", uri),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
@@ -113,10 +114,10 @@ def write_archives(pages: DataFrame, out: str, least_bytes: int = LEAST_BYTES) -
     rows = with_digest(pages)
     found = verdicts(rows.select("page_id", "page_key", "payload_bytes", "payload_digest"), least_bytes)
     joined = rows.join(found, ["page_key", "payload_digest"], "left").withColumn("shared", F.col("shared").isNotNull())
-    # Repeats of the original's own row; other rows need no order.
+    # Rows of one page_id and payload have records of their own; of the original's, the first is the response.
     is_original = F.col("shared") & F.col("page_id").eqNullSafe(F.col("original"))
-    nth = F.row_number().over(Window.partitionBy("page_key", "payload_digest").orderBy("url"))
-    judged = joined.withColumn("revisit", F.col("shared") & (~is_original | (nth > 1)))
+    judged = joined.withColumn("nth", F.row_number().over(Window.partitionBy("page_key", "payload_digest").orderBy("url")))
+    judged = judged.withColumn("revisit", F.col("shared") & (~is_original | (F.col("nth") > 1)))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system = sink = None
@@ -127,7 +128,7 @@ def write_archives(pages: DataFrame, out: str, least_bytes: int = LEAST_BYTES) -
                 path = f"{where}/{spread_name('pages', '.warc.gz')}"
                 sink = system.open_output_stream(path, compression=None)
             for r in batch.to_pylist():
-                sink.write(record(r["page_id"], r["url"], r["payload"], r["payload_digest"], r["original"], r["revisit"]))
+                sink.write(record(r["page_id"], r["url"], r["payload"], r["payload_digest"], r["original"], r["revisit"], nth=r["nth"]))
             n += batch.num_rows
         if sink is not None:
             sink.close()
@@ -184,6 +185,7 @@ def resolve(headers: DataFrame) -> DataFrame:
 
 
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, from the archives read back."""
     out = folder(spark, "warc")
     manifest = write_archives(table(spark, sf_dir, "pages"), out)
     return resolve(materialize(read_archives(manifest, out), "warc-headers"))
