@@ -144,6 +144,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of each document; null texts have no words."""
     found = hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", F.size("hit_words").cast("long").alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),

@@ -263,4 +263,5 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token piece of all documents with its sequence and offset; null texts have the end id alone."""
     return pack(table(spark, sf_dir, "documents"))

@@ -437,5 +437,6 @@ def quality_rules(docs: DataFrame, band: float = BAND) -> DataFrame:
 
 
 def op4_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures, log perplexity, its language's band and the verdict of each document; null texts fail."""
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lang", "log_perplexity", "low", "high")

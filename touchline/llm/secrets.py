@@ -541,6 +541,7 @@ def secret_spans(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 
 def op7_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the base spans, and all spans, of each document; null and empty texts have none."""
     found = secret_spans(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")

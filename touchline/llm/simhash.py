@@ -214,4 +214,5 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bits: int
 
 
 def op3_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, fingerprint, component_id of each document; texts without words have fingerprint zero and are linked by it."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")

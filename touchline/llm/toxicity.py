@@ -195,4 +195,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pe
 
 
 def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted of each document; null and empty texts are scored as well."""
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
