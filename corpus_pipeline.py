@@ -3,6 +3,9 @@
 Stages, in order: quality classifier, line deduplication, SimHash near-deduplication,
 benchmark decontamination, best-fit packing.  Each function takes (spark, docs, sf_dir),
 works on all rows of docs and returns the table that the next stage reads.
+
+Every stage takes null and repeated doc_ids, null, empty and very long texts, repeated rows, empty
+tables and further columns of any name; all but the last return the columns of docs.
 """
 
 from __future__ import annotations
@@ -18,27 +21,33 @@ from touchline.llm.weak_quality import keep_good
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weakly trained scorer takes for good."""
+    """Documents that the weakly trained scorer takes for good; those with a null or empty text go.
+
+    The verdict is the text's alone, so repeated rows stay or go together.
+    """
     return keep_good(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier document has, or nearly; those of which nothing is left go."""
+    """Documents without lines that an earlier document has, or nearly; those of which nothing is left go.
+
+    "Earlier" is by doc_id (null first) and text; rows alike in both are one document and stay or go together.
+    """
     return drop_repeated_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates."""
+    """The document with the smallest doc_id (null: largest) of each group of near-duplicates; repeated rows become one."""
     return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
+    """Documents without any window of a benchmark item; null and empty texts have none."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"), remove="documents")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each token piece of the documents lies in which sequence."""
+    """Where each token piece of the documents lies in which sequence; null and repeated doc_ids are kept, row by row."""
     return pack(docs)
 
 
