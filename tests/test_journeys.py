@@ -195,3 +195,51 @@ def test_replayed_conversions_have_one_attributed_row(spark):
         assert first[0].attributed_channel == "Organic Search" and first[0].total_touchpoints == n
         comparison = m.comparison.collect()
         assert sum(r.first_click_revenue for r in comparison) == sum(r.last_click_revenue for r in comparison) == 10.0
+
+
+def exchanged_columns(df):
+    """Names of the columns of every exchange in a plan (without AQE: the plan as it would run)."""
+    return [{a.name() for a in _scala(node.output())} for node in _nodes(df._jdf.queryExecution().executedPlan())
+            if node.nodeName().startswith("Exchange")]
+
+
+def _scala(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _nodes(plan):
+    yield plan
+    for child in _scala(plan.children()):
+        yield from _nodes(child)
+
+
+def test_pairs_are_not_shuffled_with_both_sides(spark):
+    # Every touch is within a journey of many conversions: wide pairs in an exchange grow far beyond the input.
+    from touchline.sources.scan import raw_events
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, v in zip(before, ("false", "-1")):
+            spark.conf.set(c, v)
+        raw = raw_events(spark, "/root/testdata/sf0.001")
+        for plan in ("ranked", "windowed"):
+            moved = exchanged_columns(Models(raw, CFG, journey_plan=plan).journeys)
+            assert moved and not [x for x in moved if {"touchpoint_id", "conversion_value"} <= x], plan
+            if plan == "ranked":
+                assert not [x for x in moved if {"touchpoint_id", "conversion_id"} <= x]
+        for model in ("first_click", "last_click"):
+            m = Models(raw, CFG, mart_plan="windowed", journey_plan="windowed")
+            # Pairs are formed once: one exchange of touches by day bucket.
+            assert len([x for x in exchanged_columns(getattr(m, model)) if {"_t_user", "_bucket"} <= x]) == 1
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
+def test_journeys_over_several_rank_slices(spark):
+    # 700 touches of one user, a conversion amid them and two at the end, one of them twice.
+    rows = [ev("u", "page_view", f"2024-03-{1 + i // 60:02d} {i % 60 // 3:02d}:{i % 3 * 20:02d}:00", source=f"s{i}", medium="referral", session=i) for i in range(700)]
+    rows += [ev("u", "purchase", "2024-03-06 09:10:00", revenue=1.0, session=9001), ev("u", "purchase", "2024-03-12 23:00:00", revenue=2.0, session=9002)]
+    rows += [ev("u", "begin_checkout", "2024-03-12 23:00:00", value=3, session=9003)] * 2
+    ranked, windowed = build(spark, rows).journeys, build(spark, rows, journey_plan="windowed").journeys
+    assert ranked.count() > 2000
+    assert ranked.exceptAll(windowed).count() == 0 and windowed.exceptAll(ranked).count() == 0

@@ -3,8 +3,8 @@
 Two equivalent plans:
 
 * :func:`attribute` reads the row-level journeys: keep the first (or
-  last) touch of each conversion, and add conversions that have no touch
-  (``left_anti``) as their own channel with medium ``direct``.
+  last) touch of each conversion, and left join the conversions with it; those
+  that have no touch become their own channel with medium ``direct``.
 * :func:`attribute_single_pass` needs one summary row per conversion id
   (first and last touch, count, length), by default from touch counts at the
   ends of each journey, without any pair; one left join with the
@@ -42,50 +42,14 @@ def _check(model: str) -> str:
     return MODELS[model]
 
 
-def _direct_rows(conversions: DataFrame, model: str) -> DataFrame:
-    label = _check(model)
-    return conversions.select(
-        "conversion_id", "conversion_date", "conversion_datetime", "conversion_event",
-        "conversion_value", "transaction_id", "user_pseudo_id",
-        F.col("conversion_channel").alias("attributed_channel"),
-        F.col("conversion_traffic_source").alias("attributed_source"),
-        F.lit("direct").alias("attributed_medium"),
-        F.lit(None).cast("string").alias("attributed_campaign"),
-        F.col("conversion_page").alias("attributed_landing_page"),
-        F.col("conversion_date").alias("attributed_touchpoint_date"),
-        F.col("conversion_datetime").alias("attributed_touchpoint_datetime"),
-        F.lit(1).cast("bigint").alias("total_touchpoints"),
-        F.lit("Single Touch").alias("journey_type"),
-        F.lit(0).cast("bigint").alias("journey_length_days"),
-        F.lit(0).cast("bigint").alias(f"{model}_touch_to_conversion_days"),
-        "conversion_channel",
-        F.col("device_category").alias("conversion_device"),
-        F.col("country").alias("conversion_country"),
-        F.lit(label).alias("attribution_model"),
-    )
-
-
 def attribute(journeys: DataFrame, conversions: DataFrame, model: str = "first") -> DataFrame:
-    """Mart from row-level journeys (flag filter + anti-join + union)."""
-    label = _check(model)
+    """Mart from row-level journeys: the flagged touch of each conversion id, and
+    conversions without one as their own channel (one left join, so the journeys are computed once)."""
+    _check(model)
     flag = "is_first_touchpoint" if model == "first" else "is_last_touchpoint"
     touched = journeys.where(F.col(flag)).select(
-        "conversion_id", "conversion_date", "conversion_datetime", "conversion_event",
-        "conversion_value", "transaction_id", "user_pseudo_id",
-        F.col("channel").alias("attributed_channel"),
-        F.col("traffic_source").alias("attributed_source"),
-        F.col("traffic_medium").alias("attributed_medium"),
-        F.col("traffic_campaign").alias("attributed_campaign"),
-        F.col("landing_page").alias("attributed_landing_page"),
-        F.col("touchpoint_date").alias("attributed_touchpoint_date"),
-        F.col("touchpoint_datetime").alias("attributed_touchpoint_datetime"),
-        "total_touchpoints", "journey_type", "journey_length_days",
-        F.col("days_to_conversion").alias(f"{model}_touch_to_conversion_days"),
-        "conversion_channel", "conversion_device", "conversion_country",
-        F.lit(label).alias("attribution_model"),
-    )
-    untouched = conversions.join(journeys.select("conversion_id"), "conversion_id", "left_anti")
-    return touched.unionByName(_direct_rows(untouched, model))
+        "conversion_id", F.struct(*_PAYLOAD).alias(f"_{model}"), "total_touchpoints", "journey_length_days")
+    return attribute_from_summary(conversions, touched, model)
 
 
 # Payload of the first and the last touch.
