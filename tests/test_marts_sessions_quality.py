@@ -84,3 +84,19 @@ def test_checks_scan_each_table_once_and_store_rows(spark, scratch):
         paths.append(spark.read.parquet(f"{scratch}-{name}"))
     plan = failing_keys(dict(zip("ab", paths)), checks)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 2
+
+
+def test_failures_of_one_check_are_written_by_many_tasks(spark, scratch):
+    import glob
+
+    from touchline.operators.quality import Check, store_failures
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, v in zip(before, ("false", "-1")):
+            spark.conf.set(c, v)
+        store_failures({"t": spark.range(400)}, f"{scratch}/f", [Check("t", "expression", "id", expr="id < 0")])
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert len(glob.glob(f"{scratch}/f/table_name=t/check_name=expression/*.parquet")) > 1
+    assert spark.read.parquet(f"{scratch}/f").count() == 400

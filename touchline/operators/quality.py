@@ -172,7 +172,9 @@ def store_failures(tables: dict[str, DataFrame], path: str, checks=MODEL_CHECKS)
     """Write what fails, in one job: table_name, check_name, column_name, key, n_rows, one folder for each
     table and kind of check.  A run replaces what the run before stored.  Returns each check's folder, which
     is absent where nothing fails."""
-    failing = failing_keys(tables, checks).join(_named(next(iter(tables.values())).sparkSession, checks), "check").drop("check")
+    # The names go to the failures: joined by shuffle, all failures of a check would meet in one task.
+    names = F.broadcast(_named(next(iter(tables.values())).sparkSession, checks))
+    failing = failing_keys(tables, checks).join(names, "check").drop("check")
     failing.write.mode("overwrite").partitionBy("table_name", "check_name").parquet(path)
     return [os.path.join(path, f"table_name={ch.table}", f"check_name={ch.kind}") for ch in checks]
 

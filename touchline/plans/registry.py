@@ -636,7 +636,7 @@ def q_failures_stored(spark, sf_dir):
     path = new_scratch(spark, "failures")
     store_failures({"stg_ga4_events": m.events, "int_touchpoints": m.touchpoints, "stg_ga4_conversions": m.conversions}, path, _STORED_CHECKS)
     names = spark.createDataFrame([(i, c.table, c.kind, c.column) for i, c in enumerate(_STORED_CHECKS)], "check int, table_name string, check_name string, column_name string")
-    return count_failures(read_failures(spark, path).join(names, ["table_name", "check_name", "column_name"]), _STORED_CHECKS)
+    return count_failures(read_failures(spark, path).join(F.broadcast(names), ["table_name", "check_name", "column_name"]), _STORED_CHECKS)
 
 
 @register("users_in_range_from_sketches", q("""
