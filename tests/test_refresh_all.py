@@ -73,3 +73,14 @@ def test_appended_columns_are_null_in_older_partitions(spark, scratch):
 
 def test_tables_are_the_eight_models(spark):
     assert set(TABLES) == set(Models(raw_events(spark, SF), CFG).tables())
+
+
+def test_journeys_are_written_without_a_shuffle_by_date(spark, scratch, monkeypatch):
+    from touchline.sources import sinks
+    asked = {}
+    write = sinks.write_clustered
+    monkeypatch.setattr(sinks, "write_clustered", lambda df, path, *a, **kw: (asked.update({path.split("/")[-2]: kw.get("rebalance", True)}), write(df, path, *a, **kw)))
+    raw = raw_events(spark, SF).where("user_pseudo_id IN ('1', '2', '3')")
+    build_all(spark, scratch, raw, CFG)
+    assert {n for n, rebalanced in asked.items() if not rebalanced} == {"int_user_journeys"} and set(asked) == set(TABLES)
+    assert rows(Generation(spark, scratch).read("int_user_journeys")) == rows(Models(raw, CFG).journeys)

@@ -24,7 +24,9 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def _clustered(df: DataFrame, partition_col: str, cluster_by: tuple[str, ...]) -> DataFrame:
+def _clustered(df: DataFrame, partition_col: str, cluster_by: tuple[str, ...], rebalance: bool = True) -> DataFrame:
+    if not rebalance:
+        return df.sortWithinPartitions(partition_col, *cluster_by)
     # Rebalancing gives small dates one file and splits large ones (also a
     # date that has most rows) at the advisory partition size.
     df = df.hint("rebalance", partition_col)
@@ -48,12 +50,14 @@ def read_event_table(spark: SparkSession, path: str, schema: T.StructType) -> Da
 
 
 def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: tuple[str, ...],
-                    mode: str = "append") -> None:
+                    mode: str = "append", rebalance: bool = True) -> None:
     """Write partitioned by ``partition_col`` with rows sorted by
     ``cluster_by`` inside each file, so Parquet min/max statistics prune
     reads on those columns.  Rows of a date meet in tasks of about the
-    advisory partition size, so files are few and no task gets a whole hot date."""
-    _clustered(df, partition_col, cluster_by).write.mode(mode).partitionBy(partition_col).parquet(path)
+    advisory partition size, so files are few and no task gets a whole hot date.
+    Without ``rebalance`` the rows stay in the tasks that made them, each of which writes a sorted
+    file for every date it has: more files, but a table much wider than its inputs isn't shuffled."""
+    _clustered(df, partition_col, cluster_by, rebalance).write.mode(mode).partitionBy(partition_col).parquet(path)
 
 
 def register_views(tables: dict[str, DataFrame]) -> list[str]:

@@ -69,14 +69,15 @@ class Generation:
         found = self.spark.read.schema(columns).option("basePath", f"{self.root}/{table}").parquet(*paths)
         return found.select(*columns.fieldNames())
 
-    def append(self, table: str, df: DataFrame, date_column: str, cluster_by: tuple[str, ...] = (), dropping: set[str] = frozenset()) -> set[str]:
+    def append(self, table: str, df: DataFrame, date_column: str, cluster_by: tuple[str, ...] = (), dropping: set[str] = frozenset(),
+               rebalance: bool = True) -> set[str]:
         """Writes rows, after taking the dates in dropping out of the table; returns the dates written."""
         from touchline.sources.sinks import write_clustered
 
         if any(self.number in gs for gs in self.places.get(table, {}).values()):
             raise ValueError(f"{table} is already written in this generation")
         columns = with_appended(self.columns.get(table), df.schema)
-        write_clustered(df, f"{self.root}/{table}/generation={self.number}", date_column, cluster_by, mode="overwrite")
+        write_clustered(df, f"{self.root}/{table}/generation={self.number}", date_column, cluster_by, mode="overwrite", rebalance=rebalance)
         written = {x.split("=", 1)[1] for x in _children(self.spark, f"{self.root}/{table}/generation={self.number}") if x.startswith(f"{date_column}=")}
         places = {d: list(gs) for d, gs in self.places.get(table, {}).items() if d not in dropping}
         for d in written:
@@ -84,9 +85,10 @@ class Generation:
         self.places[table], self.columns[table], self.date_column[table] = places, columns, date_column
         return written
 
-    def replace(self, table: str, df: DataFrame, date_column: str, dates: set[str] | None = None, cluster_by: tuple[str, ...] = ()) -> set[str]:
+    def replace(self, table: str, df: DataFrame, date_column: str, dates: set[str] | None = None, cluster_by: tuple[str, ...] = (),
+                rebalance: bool = True) -> set[str]:
         """Writes rows in place of the given dates, or of all."""
-        return self.append(table, df, date_column, cluster_by, self.dates(table) if dates is None else dates)
+        return self.append(table, df, date_column, cluster_by, self.dates(table) if dates is None else dates, rebalance)
 
     def commit(self) -> int:
         """Makes everything written visible at once."""

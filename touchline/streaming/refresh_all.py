@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from touchline.config import DEFAULT_CONFIG, AttributionConfig
 from touchline.operators.attribution import attribute_from_summary, conversion_touch_summary
 from touchline.operators.comparison import attribution_comparison
-from touchline.operators.journeys import user_journeys
+from touchline.operators.journeys import rank_touches, user_journeys
 from touchline.operators.staging import stage_conversions, stage_events, stage_sessions
 from touchline.operators.touchpoints import touchpoints
 from touchline.plans.models import Models
@@ -42,6 +42,8 @@ TABLES = {
     "mart_last_click_attribution": ("conversion_date", ("attributed_channel",)),
     "mart_attribution_comparison": ("conversion_date", ("channel",)),
 }
+#: Journeys are many times their inputs: their rows are written where the pairs were formed, not shuffled by date.
+UNSHUFFLED = ("int_user_journeys",)
 SESSION_KEY = ("session_id", "user_pseudo_id", "user_id")
 
 
@@ -58,7 +60,7 @@ def build_all(spark: SparkSession, root: str, raw: DataFrame, cfg: AttributionCo
 
 def _at(name: str, dates: set[str] | None = None) -> tuple:
     column, cluster_by = TABLES[name]
-    return column, dates, cluster_by
+    return column, dates, cluster_by, name not in UNSHUFFLED
 
 
 def _values(df: DataFrame, column: Column) -> set[str]:
@@ -116,8 +118,9 @@ def refresh_all(spark: SparkSession, root: str, new_raw: DataFrame, cfg: Attribu
     dates = _values(touched, F.col("conversion_date"))
     back = _values(touched.select(F.explode(F.sequence(F.date_sub("conversion_date", cfg.lookback_days), "conversion_date")).alias("d")).distinct(), F.col("d"))
     users = touched.select("user_pseudo_id").distinct()
-    touches = materialize(g.read("int_touchpoints", back).join(users, "user_pseudo_id", "left_semi"), "touches")
-    ids = touched.select("conversion_id").distinct()
+    touches = materialize(rank_touches(g.read("int_touchpoints", back).join(users, "user_pseudo_id", "left_semi")), "touches")
+    # Rows that stay are told by user and date, one row a changed user: the stored rows needn't be shuffled for it.
+    gone = materialize(changed.groupBy(F.col("user_pseudo_id").alias("_user")).agg(F.collect_set("day").alias("_days")), "changed-users")
     summary = materialize(conversion_touch_summary(touched, touches), "touched-summary")
     again = {
         "int_user_journeys": user_journeys(touched, touches),
@@ -125,7 +128,9 @@ def refresh_all(spark: SparkSession, root: str, new_raw: DataFrame, cfg: Attribu
         "mart_last_click_attribution": attribute_from_summary(touched, summary, "last"),
     }
     for name, df in again.items():
-        kept = g.read(name, dates).join(ids, "conversion_id", "left_anti")
+        kept = g.read(name, dates)
+        kept = kept.join(gone, (kept["user_pseudo_id"] == gone["_user"]) & F.exists(
+            gone["_days"], lambda d: kept["conversion_date"].between(d, F.date_add(d, cfg.lookback_days))), "left_anti")
         g.replace(name, kept.unionByName(df), *_at(name, dates))
     first, last = (g.read(f"mart_{x}_click_attribution", dates) for x in ("first", "last"))
     g.replace("mart_attribution_comparison", attribution_comparison(first, last), *_at("mart_attribution_comparison", dates))
