@@ -158,3 +158,13 @@ def test_no_frame_stays_cached(spark, scratch):
     for part in range(3):
         append_new_events(feed.where(f"event_timestamp % 3 = {part}"), f"{scratch}/sink")
     assert held() == before
+
+
+def test_resends_are_the_feed_without_its_first_arrivals(spark):
+    from touchline.sources.scan import raw_events
+    from touchline.streaming.ingest import resends, stream_rows_from_raw, with_resends
+    feed = stream_rows_from_raw(raw_events(spark, "/root/testdata/sf0.001")).unionByName(
+        stream_rows_from_raw(raw_events(spark, "/root/testdata/sf0.001")).where("event_timestamp % 5 = 0"))
+    expected = with_resends(feed).exceptAll(feed)
+    assert resends(feed).count() > 0
+    assert resends(feed).exceptAll(expected).count() == 0 and expected.exceptAll(resends(feed)).count() == 0

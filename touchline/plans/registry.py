@@ -42,7 +42,7 @@ from touchline.sources.sinks import (
     apply_retention, export_partition, read_event_table, register_views, restore_partition, retain_in_place, write_clustered, write_incremental, write_mart,
 )
 from touchline.streaming.ingest import (
-    STREAM_EVENT_SCHEMA, first_arrivals, ingest, new_scratch, stream_rows_from_raw, with_resends, write_json_lines,
+    STREAM_EVENT_SCHEMA, first_arrivals, ingest, new_scratch, resends, stream_rows_from_raw, with_resends, write_json_lines,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -511,7 +511,7 @@ def ingested(spark, sf_dir, indexed: bool = False) -> DataFrame:
     base = new_scratch(spark, "stream-ingest")
     feed = _stream_rows(spark, sf_dir)
     src = f"{base}/incoming"
-    for part in (feed, with_resends(feed).exceptAll(feed).unionByName(feed.where(F.col("event_timestamp") % 3 == 0))):
+    for part in (feed, resends(feed).unionByName(feed.where(F.col("event_timestamp") % 3 == 0))):
         write_json_lines(part, src)
         ingest(spark, src, f"{base}/sink", f"{base}/checkpoint", f"{base}/dead_letter",
                ids=f"{base}/ids" if indexed else None)

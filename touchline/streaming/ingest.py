@@ -72,13 +72,17 @@ def stream_rows_from_raw(raw: DataFrame, lag_seconds: int = 5) -> DataFrame:
     )
 
 
+def resends(rows: DataFrame, every: int = 10, delay_minutes: int = 30) -> DataFrame:
+    """Rows whose timestamp is divisible by ``every`` once more, arriving ``delay_minutes`` later."""
+    return rows.where(F.col("event_timestamp") % every == 0).withColumn(
+        "ingestion_timestamp", F.col("ingestion_timestamp") + F.make_dt_interval(mins=F.lit(delay_minutes)))
+
+
 def with_resends(rows: DataFrame, every: int = 10, delay_minutes: int = 30) -> DataFrame:
     """Arrival feed: every row once, plus a resend of rows whose timestamp is
     divisible by ``every``, arriving ``delay_minutes`` later (a client retry
     outside the short dedup window)."""
-    resent = rows.where(F.col("event_timestamp") % every == 0).withColumn(
-        "ingestion_timestamp", F.col("ingestion_timestamp") + F.make_dt_interval(mins=F.lit(delay_minutes)))
-    return rows.unionByName(resent)
+    return rows.unionByName(resends(rows, every, delay_minutes))
 
 
 def first_arrivals(arrivals: DataFrame) -> DataFrame:
