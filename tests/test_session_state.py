@@ -90,3 +90,21 @@ def test_a_hot_user_reaches_the_state_as_intervals(spark):
     assert sum(r["events"] for r in found) == 50_000 and len(found) <= 10
     odd = rows.limit(1).select(F.lit(None).cast("string").alias("user_pseudo_id"), "event_datetime")
     assert intervals(odd).count() == 0 and intervals(rows.limit(0)).count() == 0
+
+
+def test_users_of_a_day_share_their_state_and_timers(spark, scratch, monkeypatch):
+    """Each bucket of users is one group of the stream; users close one by one."""
+    from touchline.streaming import session_state
+    monkeypatch.setattr(session_state, "BUCKETS", 2)
+    rows = [e for n in range(60) for e in at(["2024-03-01T10:00:00", "2024-03-01T12:00:00"], f"u{n:02}")]
+    changes = drop_in(spark, scratch, rows, keep_minutes=0.01)
+    states = spark.read.format("statestore").option("stateVarName", "sessions").load(os.path.join(scratch, "state"))
+    assert states.count() == 2
+    # The users that come again stay open, the others of their bucket are closed in the same run.
+    again = [e for n in range(0, 60, 3) for e in at(["2024-03-01T11:30:00"], f"u{n:02}")]
+    changes = drop_in(spark, scratch, again, keep_minutes=0.01)
+    closed = changes.where("state = 'closed'")
+    assert closed.count() == 80 and closed.where("substr(user_pseudo_id, 2) % 3 = 0").isEmpty()
+    changes = drop_in(spark, scratch, at(["2024-03-01T12:30:00"], "u01"), keep_minutes=0.01)
+    assert changes.where("state = 'closed'").count() == 80 + 40
+    assert same(current_sessions(changes), batch_sessions(spark, rows + again + at(["2024-03-01T12:30:00"], "u01")))

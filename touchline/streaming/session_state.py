@@ -5,12 +5,14 @@ A session of a user-day is an interval and a number of events, and intervals tha
 
 * each Arrow batch of events is reduced to its intervals before the shuffle; a hot user sends a
   few rows a batch, not its events;
-* the state of a (user, UTC day) is its list of intervals, at most as many as timeouts fit into a
+* a (user, UTC day) has a list of intervals, at most as many as timeouts fit into a
   day.  Events that come late extend, join or bridge intervals; what changed goes out at once:
   sessions that are new or different as ``open``, those that another one took in as ``withdrawn``;
-* a processing-time timer closes a user-day that has been quiet for ``keep_minutes``: its sessions
-  go out once more as ``closed`` and the state is removed.  An event that comes still later
-  starts another epoch of the user-day, and ``current_sessions`` merges the epochs.
+* users are dealt to ``BUCKETS`` by hash, and the state of a (bucket, UTC day) holds those of its
+  users: reading and writing state takes a few calls a bucket, not a few for every user;
+* a user-day that has been quiet for ``keep_minutes`` is closed by a processing-time timer, which stands
+  at the bucket's earliest such time: its sessions go out once more as ``closed`` and leave the state.
+  An event that comes still later starts another epoch of the user-day, and ``current_sessions`` merges the epochs.
 
 There is no event-time watermark, so no event is dropped as late.
 """
@@ -21,7 +23,8 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -29,6 +32,8 @@ from touchline.functions.ids import dash_id
 
 TIMEOUT_MINUTES = 30
 KEEP_MINUTES = 2 * 24 * 60
+# Parts of the users whose state of a day is kept together.
+BUCKETS = 256
 MINUTE = 60 * 1_000_000
 # State variables and timers need this store; without batches that have no data a run over what there is
 # would not end, since processing-time timers ask for another batch each time.
@@ -38,7 +43,9 @@ STREAM_SETTINGS = {
 }
 INTERVALS = "user_pseudo_id string, day int, first long, last long, events long"
 CHANGES = "user_pseudo_id string, day int, epoch long, revision long, first long, last long, events long, state string"
-STATE = "first array<long>, last array<long>, events array<long>, epoch long, revision long, timer long"
+# A row for each session of the bucket's users; epoch, revision and due (when it closes) are its user-day's.
+KEPT = pa.schema([("user", pa.string()), *((x, pa.int64()) for x in ("first", "last", "events", "epoch", "revision", "due"))])
+STATE = "sessions binary"
 
 
 def intervals(events: DataFrame, timeout_minutes: int = TIMEOUT_MINUTES) -> DataFrame:
@@ -69,7 +76,7 @@ def put_in(sessions: list[tuple[int, int, int]], first: int, last: int, events:
 
 
 class SessionKeeper(StatefulProcessor):
-    """The sessions of one (user, UTC day)."""
+    """The sessions of one (bucket of users, UTC day)."""
 
     def __init__(self, timeout_minutes: int, keep_minutes: float):
         self.gap, self.keep_ms = timeout_minutes * MINUTE, int(keep_minutes * 60_000)
@@ -78,36 +85,70 @@ class SessionKeeper(StatefulProcessor):
         self.handle = handle
         self.kept = handle.getValueState("sessions", STATE)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        now, state = timerValues.getCurrentProcessingTimeInMs(), self.kept.get()
-        first, last, events, epoch, revision, timer = state or ([], [], [], now, 0, None)
-        before = list(zip(first, last, events))
-        after = before.copy()
-        for row in rows:
-            put_in(after, row["first"], row["last"], row["events"], self.gap)
-        revision += 1
-        if timer is not None:
-            self.handle.deleteTimer(timer)
-        timer = now + self.keep_ms
-        self.handle.registerTimer(timer)
-        self.kept.update(([s[0] for s in after], [s[1] for s in after], [s[2] for s in after], epoch, revision, timer))
-        starts = {s[0] for s in after}
-        gone = [s for s in before if s[0] not in starts]
-        known = set(before)
-        for sessions, what in ((gone, "withdrawn"), ([s for s in after if s not in known], "open")):
-            for s in sessions:
-                yield self._change(key, epoch, revision, s, what)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        first, last, events, epoch, revision, _ = self.kept.get()
-        self.kept.clear()
-        for s in zip(first, last, events):
-            yield self._change(key, epoch, revision + 1, s, "closed")
+    def _load(self) -> dict[str, tuple[int, int, int, list]]:
+        """user -> epoch, revision, due, sessions"""
+        state, users = self.kept.get(), {}
+        if state is not None:
+            columns = pa.ipc.open_stream(state[0]).read_all().to_pydict().values()
+            for user, first, last, events, epoch, revision, due in zip(*columns):
+                users.setdefault(user, (epoch, revision, due, []))[3].append((first, last, events))
+        return users
+
+    def _store(self, users: dict[str, tuple[int, int, int, list]], timer: int | None) -> None:
+        """Writes the state and moves the timer, which is at timer now, to the earliest due."""
+        rows = [(user, *s, epoch, revision, due) for user, (epoch, revision, due, sessions) in users.items() for s in sessions]
+        if rows:
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, KEPT) as stream:
+                stream.write_table(pa.table([list(x) for x in zip(*rows)], schema=KEPT))
+            self.kept.update((out.getvalue().to_pybytes(),))
+        else:
+            self.kept.clear()
+        due = self._timer(users)
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
 
     @staticmethod
-    def _change(key, epoch: int, revision: int, session: tuple[int, int, int], state: str) -> Row:
-        return Row(user_pseudo_id=key[0], day=key[1], epoch=epoch, revision=revision, first=session[0],
-                   last=session[1], events=session[2], state=state)
+    def _timer(users: dict[str, tuple[int, int, int, list]]) -> int | None:
+        return min((due for _, _, due, _ in users.values()), default=None)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now, users, arrived = timerValues.getCurrentProcessingTimeInMs(), self._load(), {}
+        timer = self._timer(users)
+        for frame in rows:
+            for user, *interval in zip(*(frame[x].tolist() for x in ("user_pseudo_id", "first", "last", "events"))):
+                arrived.setdefault(user, []).append(interval)
+        changes = []
+        for user, found in arrived.items():
+            epoch, revision, _, before = users.get(user, (now, 0, None, []))
+            after = before.copy()
+            for interval in found:
+                put_in(after, *interval, self.gap)
+            users[user] = (epoch, revision + 1, now + self.keep_ms, after)
+            starts, known = {s[0] for s in after}, set(before)
+            changes += [(user, epoch, revision + 1, *s, "withdrawn") for s in before if s[0] not in starts]
+            changes += [(user, epoch, revision + 1, *s, "open") for s in after if s not in known]
+        self._store(users, timer)
+        yield self._changes(key, changes)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now, timer, users = timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs(), self._load()
+        quiet = [user for user, (_, _, due, _) in users.items() if due < now or due <= timer]
+        changes = []
+        for user in quiet:
+            epoch, revision, _, sessions = users.pop(user)
+            changes += [(user, epoch, revision + 1, *s, "closed") for s in sessions]
+        self._store(users, timer)
+        yield self._changes(key, changes)
+
+    @staticmethod
+    def _changes(key, changes: list[tuple]) -> pd.DataFrame:
+        found = pd.DataFrame(changes, columns=["user_pseudo_id", "epoch", "revision", "first", "last", "events", "state"])
+        found.insert(1, "day", int(key[1]))
+        return found
 
     def close(self) -> None:
         pass
@@ -119,7 +160,8 @@ def session_changes(events: DataFrame, timeout_minutes: int = TIMEOUT_MINUTES, k
     user_pseudo_id, session_day, epoch, revision, session_start, session_end, events, state
     (``open``, ``withdrawn`` or ``closed``).
     """
-    out = intervals(events, timeout_minutes).groupBy("user_pseudo_id", "day").transformWithState(
+    dealt = intervals(events, timeout_minutes).withColumn("bucket", F.pmod(F.xxhash64("user_pseudo_id"), F.lit(BUCKETS)))
+    out = dealt.groupBy("bucket", "day").transformWithStateInPandas(
         SessionKeeper(timeout_minutes, keep_minutes), CHANGES, "Append", "ProcessingTime")
     return out.select("user_pseudo_id", F.date_from_unix_date("day").alias("session_day"), "epoch", "revision",
                       F.timestamp_micros("first").alias("session_start"), F.timestamp_micros("last").alias("session_end"),
