@@ -168,3 +168,13 @@ def test_resends_are_the_feed_without_its_first_arrivals(spark):
     expected = with_resends(feed).exceptAll(feed)
     assert resends(feed).count() > 0
     assert resends(feed).exceptAll(expected).count() == 0 and expected.exceptAll(resends(feed)).count() == 0
+
+
+def test_valid_lines_go_on_without_their_text(spark, scratch):
+    from touchline.streaming.ingest import parse_lines
+    src = os.path.join(scratch, "src")
+    write_json_lines(_ten(spark), src)
+    spark.createDataFrame([("{oops",), ('{"event_id": "only-id"}',)], "value string").write.mode("append").text(src)
+    lines = parse_lines(spark.read.text(src))
+    assert lines.where("_valid AND _line IS NULL").count() == 10
+    assert sorted(r[0] for r in lines.where("NOT _valid").select("_line").collect()) == ['{"event_id": "only-id"}', "{oops"]
