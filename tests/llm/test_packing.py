@@ -97,6 +97,27 @@ def test_full_cache_keeps_results():
         assert ids.tolist() == [i for t in texts for i in Tokenizer_.encode(t, add_special_tokens=False).ids]
 
 
+def test_known_words_are_not_encoded_again_in_other_forms():
+    import pyarrow as pa
+
+    encoder, asked = WordEncoder(PATH, most_words=100), []
+    own = encoder.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return own.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counting()
+    words = [f"{a}{b}{c}" for a in "bcdf" for b in "aeiou" for c in "kln"]
+    encoder.encode(pa.array([" ".join(f"{w} {w.title()} {w}," for w in words)]))
+    assert asked
+    asked.clear()
+    text = " ".join(f"{w}. {w.upper()} {w.title()}," for w in words)
+    assert encoder.encode(pa.array([text]))[0].tolist() == Tokenizer_.encode(text, add_special_tokens=False).ids
+    assert asked == []
+
+
 def check_rows(rows, texts, capacity):
     by_place = {}
     for r in rows:
