@@ -79,6 +79,17 @@ def test_no_counted_gram_is_lost(spark):
             assert got[d] == pytest.approx(-np.mean(logs), rel=1e-9)
 
 
+def test_no_text_is_shuffled(spark):
+    rows = [(i, prose(i, 200)) for i in range(20)]
+    few, many = measured(docs(spark, rows)), measured(docs(spark, rows), chunk_bytes=2_000)
+    for df in (few, many):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in plan and "text#" not in plan
+    assert len(spark.read.parquet(next(x for x in few.inputFiles() if "chunk-grams" in x)).filter("path IS NOT NULL").collect()) > 0
+    by = [{r.doc_id: r.log_perplexity for r in df.collect()} for df in (few, many)]
+    assert by[0] == pytest.approx(by[1]) and len(by[0]) == 20
+
+
 def test_rules(spark):
     good = [(i, prose(i, 120)) for i in range(40)]
     noise = "".join(chr(x) for x in np.random.default_rng(1).integers(33, 123, 900))

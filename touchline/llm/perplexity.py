@@ -2,18 +2,18 @@
 
 The model is over characters: orders 1 to ``ORDER`` of a text whose white space is one
 space between words.  Word n-grams of a corpus are nearly all different, so their counts don't
-fit in any task; character n-grams are few and repeat in every task.  Documents are dealt
-to chunks of about ``CHUNK_BYTES`` by hash; each chunk's different n-grams are counted
-and Spark sums the counts, by language.
+fit in any task; character n-grams are few and repeat in every task.  Documents that a task
+reads one after another are a chunk of about ``CHUNK_BYTES``, kept in a file of its own; each
+chunk's different n-grams are counted and Spark sums the counts, by language.
 
 Modified Kneser-Ney: three discounts for each order (from the counts of counts),
 lower orders counted by the number of different characters before them, all orders
 interpolated.  N-grams of two and more characters that were met once only are not looked
 up but back off: a document is part of the corpus, and would otherwise find its own
 oddities well known.  Every ORDER-gram of the corpus has a row with the logarithm of
-what it is looked up as.  These rows are joined to the chunks' different n-grams and go
-to the chunks' documents, so a task holds one chunk's n-grams, all counted n-grams
-are kept, and nothing of the model is gathered in the driver or broadcast.
+what it is looked up as.  These rows are joined to the chunks' different n-grams and meet
+the chunks' files, so a task holds one chunk's n-grams, all counted n-grams are kept,
+no text is shuffled, and nothing of the model is gathered in the driver or broadcast.
 
 Bands: for each language the quartiles of all documents' log perplexity, found from a
 histogram of fixed steps; documents beyond either band are rejected.
@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import input_table, materialize, slices, table
+from touchline.llm.common import folder, input_table, materialize, open_folder, slices, spread_name, table
 
 ORDER = 4
 #: Text bytes of the documents that are scored with the n-grams of one chunk.
@@ -160,35 +160,52 @@ def count_grams(docs: DataFrame, held_most: int = 500_000) -> DataFrame:
     return docs.mapInArrow(tally, "lang string, gram long, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
-def chunk_grams(docs: DataFrame) -> DataFrame:
-    """chunk, lang, gram, c: how often each ORDER-gram is in a chunk's texts, in one or more rows.
+def chunk_grams(docs: DataFrame, out: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """chunk, lang, gram, c: how often each ORDER-gram is in a chunk's texts; and a row for each chunk with path.
 
-    docs: chunk, text, lang (not null).
+    docs: doc_id, text, lang (not null).  A chunk is documents that one task reads one after another.  They stay
+    together in a file below out, which path names: a compressed Arrow stream, written once and never shuffled.  A
+    file that a failed attempt left behind is in no row.
     """
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Chunks come one after another; the held sums are of one.
-        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-        chunk = None
+        from pyspark import TaskContext
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for lang, parts in held.items():
-                gram, c = _summed(parts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), chunk)), pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(c)],
-                                                 names=["chunk", "lang", "gram", "c"])
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        chunk, size, writer = TaskContext.get().partitionId() << 32, 0, None
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for lang, (gram, c) in held.items():
+                n = len(gram)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array([lang] * n, pa.string()), pa.array(gram.view(np.int64)), pa.array(c), pa.nulls(n, pa.string())],
+                                                 names=["chunk", "lang", "gram", "c", "path"])
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((chunk, None, None, None, path), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()))],
+                                             names=["chunk", "lang", "gram", "c", "path"])
             held.clear()
 
-        for run in _runs(batches, "chunk"):
-            if run.column("chunk")[0].as_py() != chunk:
-                yield from out()
-                chunk = run.column("chunk")[0].as_py()
-            for part in slices([run], "text"):
-                for lang, _, texts in _by_language(part):
-                    gram, c = np.unique(grams(texts)[0], return_counts=True)
-                    held[lang] = [_summed([*held.get(lang, []), (gram, c.astype(np.int64))])]
-        yield from out()
+        for part in slices(batches, "text"):
+            # In order of doc_id and text, as the rows come out again.
+            part = part.take(pc.sort_indices(part, [("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start"))
+            if writer is None:
+                system, where = open_folder(out)
+                path = f"{where}/{spread_name(f'chunk-{chunk}', '.arrows')}"
+                sink = system.open_output_stream(path, compression=None)
+                writer = pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+            writer.write_batch(part)
+            size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+            for lang, _, texts in _by_language(part):
+                gram, c = np.unique(grams(texts)[0], return_counts=True)
+                held[lang] = _summed([*([held[lang]] if lang in held else []), (gram, c.astype(np.int64))])
+            if size >= chunk_bytes:
+                writer.close()
+                sink.close()
+                yield from rows()
+                chunk, size, writer = chunk + 1, 0, None
+        if writer is not None:
+            writer.close()
+            sink.close()
+            yield from rows()
 
-    placed = docs.select("chunk", "text", "lang").repartition("chunk").sortWithinPartitions("chunk")
-    return placed.mapInArrow(tally, "chunk long, lang string, gram long, c long")
+    return docs.select("doc_id", "text", "lang").mapInArrow(tally, "chunk long, lang string, gram long, c long, path string")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[pa.RecordBatch]:
@@ -354,28 +371,37 @@ def seen_grams(counts: DataFrame) -> DataFrame:
 def measured(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, lang, the base measures and log_perplexity (null: no word) of every document, by the model of all of them."""
     rows = _rows(docs)
+    # Partitions of less than a chunk are read together, or their n-grams would be counted apart.
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(total // chunk_bytes + 1)))
-    counted = materialize(chunk_grams(rows), "chunk-grams")
+    out = folder(docs.sparkSession, "chunks")
+    stored = materialize(chunk_grams(rows.coalesce(total // chunk_bytes + 1), out, chunk_bytes), "chunk-grams")
+    counted = stored.filter("gram IS NOT NULL").select("chunk", "lang", "gram", "c")
     seen = seen_grams(materialize(counted.groupBy("lang", "gram").agg(F.sum("c").alias("c")), "gram-counts"))
-    known = counted.select("chunk", "lang", "gram").join(seen, ["lang", "gram"]).withColumn("is_doc", F.lit(False))
-    both = known.unionByName(rows.withColumn("is_doc", F.lit(True)), allowMissingColumns=True)
+    known = counted.select("chunk", "lang", "gram").join(seen, ["lang", "gram"]).withColumn("is_path", F.lit(False))
+    both = known.unionByName(stored.filter("gram IS NULL").select("chunk", "path", F.lit(True).alias("is_path")), allowMissingColumns=True)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A chunk's n-grams come before its documents, these in order of doc_id and text.
+        # A chunk's n-grams come before the path of its documents.
+        system, _ = open_folder(out)
+
+        def documents(paths: list[str]) -> Iterator[pa.RecordBatch]:
+            for path in paths:
+                with system.open_input_file(path) as source, pa.ipc.open_stream(source) as stream:
+                    yield from stream
+
         chunk, parts, model = None, {}, {}
-        for run in _runs(batches, "chunk", "is_doc"):
+        for run in _runs(batches, "chunk", "is_path"):
             if run.column("chunk")[0].as_py() != chunk:
                 chunk, parts, model = run.column("chunk")[0].as_py(), {}, {}
-            if not run.column("is_doc")[0].as_py():
+            if not run.column("is_path")[0].as_py():
                 langs = run.column("lang").dictionary_encode()
                 gram, value = run.column("gram").to_numpy().view(np.uint64), run.column("value").to_numpy()
                 for code, lang in enumerate(langs.dictionary.to_pylist()):
                     at = np.asarray(langs.indices) == code
                     parts.setdefault(lang, []).append((gram[at], value[at]))
                 continue
-            for batch in slices([run], "text"):
+            for batch in slices(documents(run.column("path").to_pylist()), "text"):
                 base = base_measures(batch.column("text"))
                 score = np.zeros(batch.num_rows)
                 size = np.zeros(batch.num_rows)
@@ -400,7 +426,7 @@ def measured(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), *(pa.array(base[x]) for x in names), log_perplexity],
                                                  names=["doc_id", "lang", *names, "log_perplexity"])
 
-    placed = both.select("chunk", "is_doc", "lang", "gram", "value", "doc_id", "text").repartition("chunk").sortWithinPartitions("chunk", "is_doc", "doc_id", "text")
+    placed = both.select("chunk", "is_path", "lang", "gram", "value", "path").repartition("chunk").sortWithinPartitions("chunk", "is_path")
     return placed.mapInArrow(measure, f"doc_id long, lang string, {', '.join(f'{x} long' for x in names)}, log_perplexity double")
 
 
