@@ -100,3 +100,16 @@ def test_failures_of_one_check_are_written_by_many_tasks(spark, scratch):
             spark.conf.set(c, v)
     assert len(glob.glob(f"{scratch}/f/table_name=t/check_name=expression/*.parquet")) > 1
     assert spark.read.parquet(f"{scratch}/f").count() == 400
+
+
+def test_failing_row_becomes_json_once_for_all_checks(spark):
+    from touchline.operators.quality import failing_keys
+    df = spark.createDataFrame([(1, None, None, "x"), (2, None, "q", "y"), (3, "p", "q", "x")], "k int, u string, v string, w string")
+    checks = [Check("a", "unique", "k"), Check("a", "not_null", "u"), Check("a", "not_null", "v"), Check("a", "not_null", "w"),
+              Check("a", "expression", "k", expr="k > 1"), Check("a", "accepted_values", "w", ("x",))]
+    failing = failing_keys({"a": df}, checks)
+    assert {(r.check, r.key, r.n_rows) for r in failing.collect()} == {
+        (1, '{"k":1,"w":"x"}', 1), (1, '{"k":2,"v":"q","w":"y"}', 1), (2, '{"k":1,"w":"x"}', 1), (4, '{"k":1,"w":"x"}', 1), (5, "y", 1)}
+    execution = failing._jdf.queryExecution()
+    assert execution.analyzed().toString().count("to_json") == 1
+    assert execution.optimizedPlan().toString().count("AS _failing_row") == 1  # not copied into the checks

@@ -114,16 +114,35 @@ def violations(tables: dict[str, DataFrame], check: Check) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
-def _marks(check: Check, number: int, columns: list[str]):
-    """The struct a row of the checked table adds to the stack (null: nothing)."""
+# Checks whose failures are whole rows; the others' are values.
+ROW_KINDS = ("not_null", "expression")
+
+
+def _fails(check: Check):
+    """Whether a row of the checked table adds something to the stack (null: no)."""
     c = F.col(check.column)
-    key, when = c.cast("string"), c.isNotNull()
-    if check.kind in ("not_null", "expression"):
+    if check.kind == "expression":
+        return ~F.expr(check.expr)
+    if check.kind == "accepted_values":
+        return ~c.isin(*check.values)
+    return c.isNull() if check.kind == "not_null" else c.isNotNull()
+
+
+def _stacked(df: DataFrame, own: list[tuple[int, Check]], parents: list[tuple[int, Check]]) -> DataFrame:
+    """check, key, parents (0 or 1): what the rows of one table add to the stack.
+
+    A row that fails a check as a whole becomes JSON once, whatever the number of checks, and other rows never:
+    with the JSON in every check's expression the code is too large to be compiled."""
+    rows = [F.coalesce(_fails(ch), F.lit(False)) for _, ch in own if ch.kind in ROW_KINDS]
+    if rows:
         # The whole row, so that the stored failure tells which one it is.
-        key, when = F.to_json(F.struct(*columns)), c.isNull() if check.kind == "not_null" else ~F.expr(check.expr)
-    elif check.kind == "accepted_values":
-        when = ~c.isin(*check.values)
-    return F.when(when, F.struct(F.lit(number).alias("check"), key.alias("key"), F.lit(0).alias("parents")))
+        df = df.withColumn("_failing_row", F.when(reduce(lambda a, b: a | b, rows), F.to_json(F.struct(*df.columns))))
+    marks = {2 * i: F.when(_fails(ch), F.col("_failing_row") if ch.kind in ROW_KINDS else F.col(ch.column).cast("string")) for i, ch in own}
+    marks |= {2 * i + 1: F.col(ch.to_column).cast("string") for i, ch in parents}
+    wide = df.select(*[m.alias(str(n)) for n, m in marks.items()])
+    mark = F.col("_mark").cast("int")
+    return wide.unpivot([], [F.col(f"`{n}`") for n in marks], "_mark", "_key").where(F.col("_key").isNotNull()).select(
+        F.shiftright(mark, 1).alias("check"), F.col("_key").alias("key"), mark.bitwiseAND(1).alias("parents"))
 
 
 def failing_keys(tables: dict[str, DataFrame], checks=MODEL_CHECKS) -> DataFrame:
@@ -135,11 +154,10 @@ def failing_keys(tables: dict[str, DataFrame], checks=MODEL_CHECKS) -> DataFrame
     """
     stacks = []
     for name, df in tables.items():
-        marks = [_marks(ch, i, df.columns) for i, ch in enumerate(checks) if ch.table == name]
-        marks += [F.when(F.col(ch.to_column).isNotNull(), F.struct(F.lit(i).alias("check"), F.col(ch.to_column).cast("string").alias("key"), F.lit(1).alias("parents")))
-                  for i, ch in enumerate(checks) if ch.kind == "relationships" and ch.to_table == name]
-        if marks:
-            stacks.append(df.select(F.explode(F.array_compact(F.array(*marks))).alias("m")).select("m.*"))
+        own = [(i, ch) for i, ch in enumerate(checks) if ch.table == name]
+        parents = [(i, ch) for i, ch in enumerate(checks) if ch.kind == "relationships" and ch.to_table == name]
+        if own or parents:
+            stacks.append(_stacked(df, own, parents))
     kinds = {kind: [i for i, ch in enumerate(checks) if ch.kind == kind] for kind in ("unique", "relationships")}
     per_key = reduce(DataFrame.unionAll, stacks).groupBy("check", "key").agg(
         F.count_if(F.col("parents") == 0).alias("n_rows"), F.sum("parents").alias("n_parents"))

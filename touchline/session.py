@@ -50,6 +50,14 @@ def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def ensure_small_methods(spark: SparkSession) -> None:
+    """HotSpot never compiles a method above 8,000 bytes, and staged events come from one: a stage with such a
+    method runs per operator instead, whose code is split.  A lower limit of the session stays."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(key)) > int(LOCAL_DEFAULTS[key]):
+        spark.conf.set(key, LOCAL_DEFAULTS[key])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
 

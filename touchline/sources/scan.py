@@ -26,8 +26,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The table's timestamps are UTC wall-clock values, so the session time
     zone is pinned to UTC before they are converted."""
-    from touchline.session import ensure_utc
+    from touchline.session import ensure_small_methods, ensure_utc
     ensure_utc(spark)
+    ensure_small_methods(spark)
     return raw_events_from_driver(read_table(spark, sf_dir, "events"))
 
 
