@@ -113,3 +113,23 @@ def test_failing_row_becomes_json_once_for_all_checks(spark):
     execution = failing._jdf.queryExecution()
     assert execution.analyzed().toString().count("to_json") == 1
     assert execution.optimizedPlan().toString().count("AS _failing_row") == 1  # not copied into the checks
+
+
+def test_row_counts_stage_the_events_once(spark, scratch):
+    from touchline.plans import registry
+    path, limit = f"{scratch}/sf/events.parquet", "spark.sql.codegen.hugeMethodLimit"
+    spark.createDataFrame([(1, "2024-01-02 10:00:00", 7, "view", 1.0, '{"k": 1}'), (2, "2024-01-03 10:00:00", 7, "purchase", 5.0, '{"k": 4}'),
+                           (3, "2024-01-04 10:00:00", 7, "purchase", 6.0, '{"k": 3}'), (4, "2024-01-04 10:00:00", None, "view", 6.0, None)],
+                          "event_id long, ts string, user_id long, event_type string, value double, props string") \
+        .selectExpr("event_id", "cast(ts as timestamp_ntz) ts", "user_id", "event_type", "value", "props").write.parquet(path)
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "65535")
+        counts = registry.QUERIES["model_row_counts"](spark, f"{scratch}/sf")
+        # Staging is too large a method to be compiled whole.
+        assert int(spark.conf.get(limit)) <= 8000
+    finally:
+        spark.conf.set(limit, before)
+    assert {r.table_name: r.row_count for r in counts.collect()} == {
+        "stg_ga4_events": 3, "stg_ga4_conversions": 2, "int_touchpoints": 3, "int_user_journeys": 3, "mart_first_click": 2, "mart_last_click": 2}
+    assert not [f for f in counts.inputFiles() if path in f]

@@ -66,6 +66,13 @@ class Models:
             self.__dict__.pop(name, None)
         return self
 
+    def materialize_shared(self) -> "Models":
+        """Events, touchpoints and the mart summary written once each, for consumers that read most models."""
+        self.materialize()
+        for name in ("touchpoints", "summary"):
+            self.__dict__[name] = materialize(getattr(self, name), name)
+        return self
+
     @cached_property
     def sessions(self) -> DataFrame:
         return stage_sessions(self.events)

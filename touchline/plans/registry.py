@@ -366,7 +366,7 @@ _COUNTED = (
 @register("model_row_counts", q(" UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {cte}" for name, cte in _COUNTED)))
 def q_counts(spark, sf_dir):
-    m = models(spark, sf_dir)
+    m = models(spark, sf_dir).materialize_shared()
     tables = {"stg_ga4_events": m.events, "stg_ga4_conversions": m.conversions,
               "int_touchpoints": m.touchpoints, "int_user_journeys": m.journeys,
               "mart_first_click": m.first_click, "mart_last_click": m.last_click}
