@@ -178,3 +178,44 @@ def test_valid_lines_go_on_without_their_text(spark, scratch):
     lines = parse_lines(spark.read.text(src))
     assert lines.where("_valid AND _line IS NULL").count() == 10
     assert sorted(r[0] for r in lines.where("NOT _valid").select("_line").collect()) == ['{"event_id": "only-id"}', "{oops"]
+
+
+def _state_files(checkpoint):
+    return {os.path.splitext(f)[1] for at, _, files in os.walk(f"{checkpoint}/state/0") if not at.endswith("_metadata")
+            for f in files if f[0] not in "._"}
+
+
+def test_keys_of_the_dedup_and_batches_are_not_kept_on_the_heap(spark, scratch):
+    from touchline.streaming.ingest import STREAM_SETTINGS
+    src = write_json_lines(_ten(spark), os.path.join(scratch, "src"))
+    spark.createDataFrame([("{oops",), ("{oops",)], "value string").write.mode("append").text(src)
+    cached = lambda: dict(spark.sparkContext._jsc.getPersistentRDDs())
+    others, in_memory, blocks = {*cached()}, [], set()
+
+    def kept(_, rows):
+        blocks.add(rows.sparkSession.conf.get("spark.sql.inMemoryColumnarStorage.batchSize"))
+        in_memory.extend(rdd.getStorageLevel().useMemory() for k, rdd in cached().items() if k not in others)
+
+    for dead in (2, 0):
+        r = ingest(spark, src, f"{scratch}/sink", f"{scratch}/ck", f"{scratch}/dl", kept)
+        assert r.rows_inserted == (10 if dead else 0) and r.dead_letters == dead
+        write_json_lines(_ten(spark), src)
+    # Files of the store on disk; the one on the heap leaves .delta files.
+    assert ".zip" in _state_files(f"{scratch}/ck") and ".delta" not in _state_files(f"{scratch}/ck")
+    # A batch is on disk between its steps, in small blocks.
+    assert in_memory and not any(in_memory) and blocks == {"250"}
+    assert all(spark.conf.get(key, None) is None for key in STREAM_SETTINGS)
+
+
+def test_the_state_store_of_the_session_and_of_an_older_checkpoint_stays(spark, scratch):
+    from touchline.streaming.ingest import STATE_STORE
+    src = write_json_lines(_ten(spark), os.path.join(scratch, "src"))
+    key = f"{STATE_STORE}.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        assert ingest(spark, src, f"{scratch}/sink", f"{scratch}/ck").rows_inserted == 10
+    finally:
+        spark.conf.unset(key)
+    write_json_lines(_ten(spark), src)
+    assert ingest(spark, src, f"{scratch}/sink", f"{scratch}/ck").rows_inserted == 0
+    assert ".delta" in _state_files(f"{scratch}/ck") and ".zip" not in _state_files(f"{scratch}/ck")
